@@ -49,15 +49,15 @@ def train(
     """
     ensure_checkpoint_dir(train_rows.sparkSession)
     settings = {**DEFAULTS, **params}
-    trees = GBTRegressor(
-        featuresCol=FEATURE_VECTOR, labelCol=label, predictionCol=RAW_PREDICTION, checkpointInterval=10, **settings
-    )
     rows = train_rows
     if stop_early:
         keys = split_key if isinstance(split_key, list) else [split_key] if split_key is not None else features
         # A salt makes this draw independent of the train/test draw on the same key.
         rows = rows.withColumn(HELD_OUT, in_first_part(F.lit("validation"), *keys, percent=20))
-        trees = trees.setValidationIndicatorCol(HELD_OUT).setValidationTol(tolerance)
+        settings.update(validationIndicatorCol=HELD_OUT, validationTol=tolerance)
+    trees = GBTRegressor(
+        featuresCol=FEATURE_VECTOR, labelCol=label, predictionCol=RAW_PREDICTION, checkpointInterval=10, **settings
+    )
     assemble = VectorAssembler(inputCols=features, outputCol=FEATURE_VECTOR)
     return Pipeline(stages=[assemble, trees]).fit(rows)
 

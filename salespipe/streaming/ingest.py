@@ -9,17 +9,17 @@ from salespipe.streaming.triggers import with_trigger
 
 
 def append_to_table(
-    stream: DataFrame, table: str, checkpoint: str, *, every: str | None = None, name: str | None = None
+    stream: DataFrame, table: str, checkpoint: str, *, every: str | None = None, path: str | None = None
 ) -> StreamingQuery:
     """Append each micro-batch to a table, which is made on first use.
 
     The checkpoint holds the progress, so a restarted run goes on with the
-    files it has not seen. When later batches bring new columns, read the
+    files it has not seen. ``path`` makes it an external table. When later batches bring new columns, read the
     table's folder with ``read_parquet(..., merge_schema=True)``.
     """
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
+    if path:
+        writer = writer.option("path", path)
     return with_trigger(writer, every).toTable(table)
 
 
