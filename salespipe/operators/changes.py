@@ -100,6 +100,7 @@ class MergeParts:
 
     kept: DataFrame
     inserted: DataFrame
+    source: SourceFacts
     source_broadcast: bool
 
 
@@ -169,7 +170,7 @@ def merge_parts(
     else:
         unmatched = rows.join(known.distinct(), keys, "left_anti")
     inserted = conform(unmatched, target.schema, missing="null")
-    return MergeParts(kept, inserted, small)
+    return MergeParts(kept, inserted, facts, small)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | list[str], **options) -> DataFrame:

@@ -14,7 +14,7 @@ def append_to_table(
     """Append each micro-batch to a table, which is made on first use.
 
     The checkpoint holds the progress, so a restarted run goes on with the
-    files it has not seen. ``path`` makes it an external table. When later batches bring new columns, read the
+    files it has not seen; a table and its checkpoint belong together. ``path`` makes it an external table. When later batches bring new columns, read the
     table's folder with ``read_parquet(..., merge_schema=True)``.
     """
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)

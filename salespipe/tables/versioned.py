@@ -239,7 +239,8 @@ class VersionedTable:
         """Upsert by key, with the options of ``changes.merge_parts``.
 
         ``batch`` is (stream id, batch id); a batch already committed is left
-        out, so a replayed micro-batch has no effect.
+        out, so a replayed micro-batch has no effect. An empty source makes no
+        version.
         """
         head = self._commit()
         if batch is not None and self._has_batch(head, batch):
@@ -254,6 +255,8 @@ class VersionedTable:
             touched = [p for p in head.paths if _bucket_of(p) in hit]
         target = self._scan(head, touched)
         halves = changes.merge_parts(target, source, keys, **options)
+        if not halves.source.rows:
+            return head.version
         if not head.buckets:
             rows = halves.kept.unionByName(halves.inserted)
         elif halves.source_broadcast:
