@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
+import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -13,7 +16,6 @@ from pyspark.sql import functions as F
 
 from salespipe.functions.scalars import truncate_to_int
 from salespipe.operators.profile import regression_metrics
-from salespipe.operators.split import in_first_part
 from salespipe.session import ensure_checkpoint_dir
 from salespipe.sources import storage
 
@@ -39,6 +41,7 @@ def train(
     split_key: str | Column | list | None = None,
     stop_early: bool = True,
     tolerance: float = 0.01,
+    partitions: int | None = None,
     **params,
 ) -> PipelineModel:
     """Fit assembler and trees as one pipeline; all rows stay in Spark.
@@ -46,20 +49,31 @@ def train(
     Early stopping watches a fifth of the training rows, chosen by a hash of
     ``split_key`` (default: of the features), so the test rows stay unseen.
     Trees are capped at depth 30 by Spark ML.
+
+    Every level of every tree passes over the rows, so they are spread evenly
+    first, over ``spark.sql.shuffle.partitions`` unless told otherwise.
     """
     ensure_checkpoint_dir(train_rows.sparkSession)
     settings = {**DEFAULTS, **params}
+    needed = [*features, label]
     rows = train_rows
     if stop_early:
         keys = split_key if isinstance(split_key, list) else [split_key] if split_key is not None else features
-        # A salt makes this draw independent of the train/test draw on the same key.
-        rows = rows.withColumn(HELD_OUT, in_first_part(F.lit("validation"), *keys, percent=20))
+        # Not the hash of the train/test draw, so the two draws are independent.
+        rows = rows.withColumn(HELD_OUT, F.pmod(F.xxhash64(*keys), F.lit(100)) < 20)
         settings.update(validationIndicatorCol=HELD_OUT, validationTol=tolerance)
+        needed.append(HELD_OUT)
     trees = GBTRegressor(
         featuresCol=FEATURE_VECTOR, labelCol=label, predictionCol=RAW_PREDICTION, checkpointInterval=10, **settings
     )
     assemble = VectorAssembler(inputCols=features, outputCol=FEATURE_VECTOR)
-    return Pipeline(stages=[assemble, trees]).fit(rows)
+    spread = partitions or int(train_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Fitting reads the rows several times before it keeps its own binned copy.
+    rows = rows.select(*needed).repartition(spread).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=[assemble, trees]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, prediction: str = "prediction", *, as_int: bool = True) -> DataFrame:
@@ -69,6 +83,17 @@ def score(model: PipelineModel, df: DataFrame, prediction: str = "prediction", *
     return model.transform(df).select(*df.columns, value.alias(prediction))
 
 
+def model_udf(predict: Callable[[pd.DataFrame], object], features: list[str], returns: str = "double") -> Column:
+    """A model from outside Spark ML as a column: Arrow batches of the features go
+    to ``predict``, which returns one number per row."""
+
+    @F.pandas_udf(returns)
+    def run(batch: pd.DataFrame) -> pd.Series:
+        return pd.Series(predict(batch))
+
+    return run(F.struct(*features))
+
+
 def evaluate(model: PipelineModel, test_rows: DataFrame, label: str) -> DataFrame:
     """One row of (n, mae, mse, r2, loss); loss is -r2, the quantity to minimise."""
     scored = score(model, test_rows, RAW_PREDICTION, as_int=False)

@@ -162,13 +162,15 @@ def merge_parts(
         ]
     )
 
-    known = target.select(*keys)
+    known = target.select(*keys).filter(_keys_set(keys))
     if small:
         known = known.join(F.broadcast(rows.select(*keys)), keys, "left_semi").distinct()
         # No more keys than the source has, so bounded by the same measure.
         unmatched = rows.join(F.broadcast(known), keys, "left_anti")
     else:
-        unmatched = rows.join(known.distinct(), keys, "left_anti")
+        # NULL keys match nothing; left out of the join, they do not all meet in one task.
+        unmatched = rows.filter(_keys_set(keys)).join(known.distinct(), keys, "left_anti")
+        unmatched = unmatched.unionByName(rows.filter(~_keys_set(keys)))
     inserted = conform(unmatched, target.schema, missing="null")
     return MergeParts(kept, inserted, facts, small)
 
@@ -181,6 +183,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | list[str], **option
     which makes the result independent of how rows fell into batches.
     ``missing="keep"``: a target column the source lacks keeps its value, and is
     NULL in inserted rows. Source columns the target lacks are left out.
+
+    The source is read several times: persist one that is costly to compute.
     """
     parts = merge_parts(target, source, keys, **options)
     return parts.kept.unionByName(parts.inserted)
@@ -234,7 +238,8 @@ def change_feed(before: DataFrame, after: DataFrame, keys: str | list[str]) -> D
     """Rows that differ between two states with a unique key.
 
     ``_change`` is insert, update or delete; a deleted row shows its old
-    values, an updated row its new ones. Columns compare NULL-safe.
+    values, an updated row its new ones. Columns compare NULL-safe. Rows with a
+    NULL key match nothing; a table with repeated keys needs ``row_difference``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     old, new = _same_columns(before, after)

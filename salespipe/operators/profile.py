@@ -1,7 +1,10 @@
-"""Table profiles: each is one pass over the columns it needs."""
+"""Table profiles: aggregates over only the columns they need."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +18,13 @@ def null_count(df: DataFrame, column: str, alias: str | None = None) -> DataFram
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """(column_name, nulls) for every column, from one aggregate."""
-    counted = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
-    return counted.unpivot([], df.columns, "column_name", "nulls")
+    """(column_name, nulls) for every column; each column is read once."""
+
+    def job(names: list) -> DataFrame:
+        counted = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in names])
+        return counted.unpivot([], [F.col(f"`{c}`") for c in names], "column_name", "nulls")
+
+    return _in_groups(df.columns, 90, job)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -25,45 +32,73 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None, fill: float | None = 0) -> DataFrame:
-    """Pearson correlations of the numeric columns as (x, y, r), from one aggregate.
+    """Pearson correlations of the numeric columns as (x, y, r).
 
     NULLs become ``fill`` first; with ``fill=None`` a pair skips the rows where
     either is NULL. A constant column gives NULL.
     """
     names = columns or numeric_columns(df)
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in names])
-    if fill is not None:
-        values = values.na.fill(float(fill))
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-
-    def only_both(i: int, j: int) -> tuple[Column, Column]:
-        a, b = F.col(f"`{names[i]}`"), F.col(f"`{names[j]}`")
-        if fill is not None:
-            return a, b
-        return F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-
-    found = []
-    for i, j in pairs:
-        a, b = only_both(i, j)
-        found.append(F.covar_pop(a, b).alias(f"c_{i}_{j}"))
-        if fill is None:
-            found += [F.stddev_pop(a).alias(f"a_{i}_{j}"), F.stddev_pop(b).alias(f"b_{i}_{j}")]
-    if fill is not None:
-        found += [F.stddev_pop(F.col(f"`{n}`")).alias(f"s_{i}") for i, n in enumerate(names)]
-    moments = values.agg(*found)
-
-    cells = []
-    for i in range(len(names)):
-        for j in range(len(names)):
-            lo, hi = min(i, j), max(i, j)
-            spread = (
-                F.col(f"s_{i}") * F.col(f"s_{j}")
-                if fill is not None
-                else F.col(f"a_{lo}_{hi}") * F.col(f"b_{lo}_{hi}")
-            )
-            r = F.try_divide(F.col(f"c_{lo}_{hi}"), spread)
-            cells.append(F.struct(F.lit(names[i]).alias("x"), F.lit(names[j]).alias("y"), r.alias("r")))
-    return moments.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    pairs = [(x, y) for i, x in enumerate(names) for y in names[i:]]
+    if fill is None:
+        halves = _pairwise_correlations(values, pairs)
+    else:
+        halves = _standardised_correlations(values.na.fill(float(fill)), names, pairs)
+    mirrored = F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y", "r"))).otherwise(
+        F.array(F.struct("x", "y", "r"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
+    )
+    return halves.select(F.explode(mirrored).alias("cell")).select("cell.*")
+
+
+def _in_groups(pairs: list, size: int, job: Callable[[list], DataFrame]) -> DataFrame:
+    """Spread many aggregates over several passes.
+
+    Spark compiles an aggregate of up to 100 buffer fields to code and
+    interprets a wider one, which costs far more than the extra scans.
+    """
+    jobs = [job(pairs[i : i + size]) for i in range(0, len(pairs), size)]
+    return reduce(DataFrame.unionByName, jobs)
+
+
+def _as_cells(sums: DataFrame, pairs: list, r: Callable[[int], Column]) -> DataFrame:
+    cells = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r(i).alias("r")) for i, (x, y) in enumerate(pairs)]
+    return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
+def _standardised_correlations(values: DataFrame, names: list[str], pairs: list) -> DataFrame:
+    """Mean and spread of each column first (two numbers per column come to the
+    driver), then r as the mean product of the standardised columns."""
+    moments = values.agg(
+        *[F.avg(f"`{c}`").alias(f"m_{i}") for i, c in enumerate(names)],
+        *[F.stddev_pop(f"`{c}`").alias(f"s_{i}") for i, c in enumerate(names)],
+    ).first()
+
+    def standard(i: int) -> Column:
+        if not moments[f"s_{i}"]:
+            return F.lit(None).cast("double")
+        return (F.col(f"`{names[i]}`") - F.lit(moments[f"m_{i}"])) / F.lit(moments[f"s_{i}"])
+
+    scaled = values.select(*[standard(i).alias(f"z_{i}") for i in range(len(names))])
+    at = {c: f"z_{i}" for i, c in enumerate(names)}
+
+    def job(group: list) -> DataFrame:
+        sums = scaled.agg(*[F.avg(F.col(at[x]) * F.col(at[y])).alias(f"r_{i}") for i, (x, y) in enumerate(group)])
+        return _as_cells(sums, group, lambda i: F.col(f"r_{i}"))
+
+    return _in_groups(pairs, 45, job)
+
+
+def _pairwise_correlations(values: DataFrame, pairs: list) -> DataFrame:
+    def job(group: list) -> DataFrame:
+        found = []
+        for i, (x, y) in enumerate(group):
+            a = F.when(F.col(f"`{y}`").isNotNull(), F.col(f"`{x}`"))
+            b = F.when(F.col(f"`{x}`").isNotNull(), F.col(f"`{y}`"))
+            found += [F.covar_pop(a, b).alias(f"c_{i}"), F.stddev_pop(a).alias(f"a_{i}"), F.stddev_pop(b).alias(f"b_{i}")]
+        spread = lambda i: F.col(f"a_{i}") * F.col(f"b_{i}")
+        return _as_cells(values.agg(*found), group, lambda i: F.try_divide(F.col(f"c_{i}"), spread(i)))
+
+    return _in_groups(pairs, 9, job)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salespipe.functions.scalars import truncate_to_int
 from salespipe.model import regression
 from salespipe.operators.split import hash_split
 from salespipe.plans.registry import query
-from salespipe.plans.tables import lines_with_nulls
+from salespipe.plans.tables import lines_with_nulls, load
 from salespipe.session import scratch_dir
 from salespipe.sources import readers
 
@@ -47,9 +48,26 @@ _TEST_ROWS = """
     SELECT count(*) AS n, true AS good_fit {_TEST_ROWS}
 """)
 def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model's contract on unseen rows: R² above 0.9."""
+    """The model's contract on unseen rows, R² above 0.9, as recorded with the run."""
     model, test_rows = _fitted(spark, sf_dir)
-    return regression.evaluate(model, test_rows, LABEL).select("n", (F.col("loss") < -0.9).alias("good_fit"))
+    metrics = regression.evaluate(model, test_rows, LABEL).first().asDict()
+    path = scratch_dir(spark, "runs")
+    regression.record_run(spark, path, SETTINGS, metrics)
+    recorded = F.col("metrics")
+    return regression.runs(spark, path).select(
+        recorded["n"].cast("long").alias("n"), (recorded["loss"] < -0.9).alias("good_fit")
+    )
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, CAST(trunc(100 + 1.5 * l_quantity - 20 * l_discount) AS INTEGER) AS prediction
+    FROM lineitem
+""")
+def score_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model from outside Spark (here a linear one) scores Arrow batches of the features."""
+    lines = load(spark, sf_dir, "lineitem")
+    linear = regression.model_udf(lambda x: 100 + 1.5 * x["l_quantity"] - 20 * x["l_discount"], FEATURES)
+    return lines.select(*KEY, truncate_to_int(linear).alias("prediction"))
 
 
 @query(f"""

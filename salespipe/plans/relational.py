@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,7 +182,7 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT o_orderkey AS order_id, CAST(trunc(o_totalprice) AS INTEGER) AS price, -o_totalprice AS loss,
            CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS closed,
-           'order-' || CAST(o_orderkey AS VARCHAR) || '/' || o_orderstatus AS label
+           'order-' || CAST(o_orderkey AS VARCHAR) || '/' || o_orderstatus AS label, '2024-01-31' AS exported_on
     FROM orders
 """)
 def project_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,6 +192,7 @@ def project_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         (-F.col("o_totalprice")).alias("loss"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("closed"),
         F.format_string("order-%d/%s", "o_orderkey", "o_orderstatus").alias("label"),
+        scalars.day_label(dt.date(2024, 1, 31)).alias("exported_on"),
     )
 
 
@@ -294,6 +297,11 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------------- changes
 
 
+@query("SELECT * FROM orders")
+def not_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.require_not_null(load(spark, sf_dir, "orders"), ["o_custkey", "o_orderkey"])
+
+
 def _state(df: DataFrame) -> DataFrame:
     return latest_per_key(df.select(*ORDER_STATE), "o_custkey", "o_orderdate", ties="one", tie_break="o_orderkey")
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from salespipe.plans.relational import ORDER_STATE
 from salespipe.plans.tables import lines_with_nulls, load
 from salespipe.session import scratch_dir
 from salespipe.sources import readers, writers
-from salespipe.tables.versioned import VersionedTable
+from salespipe.tables.versioned import VersionedTable, VersionRetired
 
 # ---------------------------------------------------------------- file formats
 
@@ -214,6 +215,26 @@ def append_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+@query(f"""
+    SELECT CAST(0 AS BIGINT) AS version, CAST(0 AS BIGINT) AS rows
+    UNION ALL SELECT 3, count(*) FROM ({_V3})
+    UNION ALL SELECT 4, count(*) FROM ({_V4})
+    UNION ALL SELECT 5, count(*) FROM ({_V4})
+""")
+def vacuum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions that still read after a vacuum; the last append shares its parts with the version before it."""
+    table = _line_versions(spark, sf_dir)
+    table.vacuum(0.01, check=False, now=_hours(5))
+    counts = []
+    for version in range(table.version() + 1):
+        try:
+            rows = table.read(version=version)
+        except VersionRetired:
+            continue
+        counts.append(rows.agg(F.lit(version).cast("long").alias("version"), F.count(F.lit(1)).alias("rows")))
+    return reduce(DataFrame.unionByName, counts)
+
+
 _CHANGED = """
     SELECT o_custkey, o_orderkey, o_orderdate,
            CASE WHEN o_orderkey % 7 = 1 THEN 0 ELSE o_totalprice END AS o_totalprice,

@@ -41,14 +41,13 @@ def upsert_batch(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         stream = stream_id or batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        done = (stream, batch_id) if stream else None
-        if done and table.has_batch(done):
+        if not stream:
+            raise RuntimeError("the stream has no id to commit its batches under; pass stream_id")
+        done = (stream, batch_id)
+        if table.has_batch(done):
             return
-        newest = latest_per_key(batch, keys, order_by, ties=ties, tie_break=breaks).persist()
-        try:
-            table.upsert(newest, keys, batch=done, **options)
-        finally:
-            newest.unpersist()
+        newest = latest_per_key(batch, keys, order_by, ties=ties, tie_break=breaks)
+        table.upsert(newest, keys, batch=done, **options)
 
     return apply
 

@@ -17,6 +17,7 @@ import datetime as dt
 import json
 from dataclasses import asdict, dataclass, field, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -246,6 +247,15 @@ class VersionedTable:
         if batch is not None and self._has_batch(head, batch):
             return head.version
         keys = [keys] if isinstance(keys, str) else list(keys)
+        names = [f.name for f in head.struct if f.name in source.columns]
+        # Measured, joined and searched for new keys: computed once for all of it.
+        source = source.select(*names).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._merge(head, source, keys, batch, now, options)
+        finally:
+            source.unpersist()
+
+    def _merge(self, head: Commit, source: DataFrame, keys: list[str], batch, now, options: dict) -> int:
         touched = head.paths
         if head.buckets and set(head.bucket_by) <= set(keys):
             shared = T.StructType([f for f in head.struct if f.name in source.columns])
@@ -253,8 +263,7 @@ class VersionedTable:
             # At most one value per bucket comes to the driver.
             hit = {r[0] for r in aligned.select(self._bucket(head)).distinct().collect()}
             touched = [p for p in head.paths if _bucket_of(p) in hit]
-        target = self._scan(head, touched)
-        halves = changes.merge_parts(target, source, keys, **options)
+        halves = changes.merge_parts(self._scan(head, touched), source, keys, **options)
         if not halves.source.rows:
             return head.version
         if not head.buckets:
