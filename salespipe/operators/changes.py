@@ -146,7 +146,14 @@ def merge_parts(
     on = F.lit(True)
     for k in keys:
         on = on & (F.col(f"`{k}`") == F.col(f"`__s_{k}`"))
-    joined = target.join(F.broadcast(incoming) if small else incoming, on, "left")
+    if small:
+        joined = target.join(F.broadcast(incoming), on, "left")
+    else:
+        # A source that is already distributed by its keys would be joined as it
+        # lies, and adaptive execution splits hot keys only where both sides are
+        # shuffled for the join. The hash in the condition makes it shuffle both.
+        on = on & (F.xxhash64(*keys) == F.xxhash64(*[f"__s_{k}" for k in keys]))
+        joined = target.join(incoming, on, "left")
 
     use = F.col("__s").isNotNull()
     if on_match == "if_newer":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salespipe.operators.sizing import BROADCAST_LIMIT, fits_broadcast, measure
+from salespipe.operators.sizing import fits_broadcast, measure
 from salespipe.session import ensure_checkpoint_dir
 
 NULL_CODE = -1
@@ -18,14 +18,19 @@ def category_vocabulary(
     df: DataFrame, column: str, code: str, *, small: int = SMALL_VOCABULARY
 ) -> tuple[DataFrame, bool]:
     """((value, code) with codes 0..n-1 in sorted order, whether it may be broadcast)."""
-    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    rows, size = measure(values)
-    if rows <= small:
-        # Bounded by the count above: one task ranks at most `small` values.
-        coded = values.select(column, (F.row_number().over(Window.orderBy(column)) - 1).cast("long").alias(code))
-    else:
-        coded = _rank_by_ranges(values, column, code)
-    return coded, fits_broadcast(rows, size, BROADCAST_LIMIT)
+    known = df.select(column).filter(F.col(column).isNotNull())
+    values = known.distinct()
+    # An estimate without a shuffle tells which way to go; only the way with few
+    # values has to know the exact number, and for few values it is cheap.
+    estimate = known.agg(F.approx_count_distinct(column)).first()[0]
+    if estimate <= 1.5 * small:
+        rows, size = measure(values)
+        if rows <= small:
+            # Bounded by the count above: one task ranks at most `small` values.
+            rank = F.row_number().over(Window.orderBy(column)) - 1
+            return values.select(column, rank.cast("long").alias(code)), fits_broadcast(rows, size)
+    coded = _rank_by_ranges(values, column, code)
+    return coded, fits_broadcast(*measure(coded))
 
 
 def _rank_by_ranges(values: DataFrame, column: str, code: str) -> DataFrame:

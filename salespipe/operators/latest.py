@@ -16,15 +16,17 @@ def latest_per_key(
     *,
     ties: str = "all",
     tie_break: str | list[str] = (),
+    few_ties: bool = False,
 ) -> DataFrame:
     """Rows with the greatest ``order_by`` of their key.
 
-    ``ties="all"`` keeps every row that shares the greatest value;
-    ``ties="one"`` keeps one, the greatest by ``tie_break``.
+    ``ties="one"`` keeps one row per key, the greatest by ``tie_break``: a
+    window whose filter Spark applies inside every map task already, so a key
+    that holds a third of the table sends one row per task through the shuffle.
 
-    The rank filter stays next to the window, so Spark drops all but the best
-    rows of each key inside every map task and shuffles only those: a key that
-    holds a third of the table sends a few rows per task.
+    ``ties="all"`` keeps every row that shares the greatest value, see
+    ``latest_by_maximum``. With ``few_ties`` it is a window too, one pass
+    over the table; all the tied rows of a key then meet in one task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     breaks = [tie_break] if isinstance(tie_break, str) else list(tie_break)
@@ -32,19 +34,22 @@ def latest_per_key(
         raise ValueError(f"ties must be 'all' or 'one', not {ties!r}")
     if ties == "one" and not breaks:
         raise ValueError("ties='one' needs a tie_break column, or the kept row is a matter of chance")
+    if ties == "all" and not few_ties:
+        return latest_by_maximum(df, keys, order_by)
     order = [F.desc(c) for c in ([order_by, *breaks] if ties == "one" else [order_by])]
     window = Window.partitionBy(*keys).orderBy(*order)
     number = F.row_number() if ties == "one" else F.rank()
+    # The filter must follow the window directly to be applied before the shuffle.
     return df.withColumn(_RANK, number.over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
 def latest_by_maximum(df: DataFrame, keys: str | list[str], order_by: str) -> DataFrame:
-    """``latest_per_key(ties="all")`` for data where one key has masses of tied rows.
+    """All rows that share the greatest ``order_by`` of their key, however many.
 
     The greatest value per key is a partial aggregate of two columns; the rows
-    are then picked by a semi join on (key, value), which is broadcast while
-    the keys are few and else split by adaptive execution. No task ever holds
-    all the ties of a key, at the price of reading the table twice.
+    are then picked by a semi join on (key, value). While the keys are few
+    that join is broadcast and the rows are not shuffled; else adaptive
+    execution splits the tied rows of a hot key over many tasks.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     best = df.groupBy(*keys).agg(F.max(order_by).alias(_BEST))
