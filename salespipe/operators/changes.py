@@ -61,19 +61,22 @@ class SourceFacts:
     rows: int
     size: int
     most_per_key: int
+    buckets: frozenset[int] = frozenset()
 
 
-def inspect_source(source: DataFrame, keys: list[str]) -> SourceFacts:
+def inspect_source(source: DataFrame, keys: list[str], bucket: Column | None = None) -> SourceFacts:
+    """``bucket``, a function of the keys with few values, is gathered along the way."""
     per_key = source.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum(row_bytes(source.schema)).alias("size")
     )
     found = per_key.agg(
+        F.collect_set(bucket if bucket is not None else F.lit(None).cast("int")).alias("buckets"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
         # NULL keys match nothing, so any number of them is unambiguous.
         F.coalesce(F.max(F.when(_keys_set(keys), F.col("n"))), F.lit(0)).alias("most"),
     ).first()
-    return SourceFacts(found["rows"], found["size"], found["most"])
+    return SourceFacts(found["rows"], found["size"], found["most"], frozenset(found["buckets"]))
 
 
 def _reject_ambiguous(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
@@ -83,14 +86,14 @@ def _reject_ambiguous(target: DataFrame, source: DataFrame, keys: list[str]) ->
         raise AmbiguousMerge(f"several source rows match the target rows of key {hit.asDict()}")
 
 
-def _align_source(target: DataFrame, source: DataFrame, missing: str, cast: str) -> DataFrame:
+def align_source(target: T.StructType, source: DataFrame, missing: str = "error", cast: str = "strict") -> DataFrame:
     """The source's share of the target's columns, in the target's types."""
-    absent = [c for c in target.columns if c not in source.columns]
+    absent = [c for c in target.fieldNames() if c not in source.columns]
     if missing not in ("error", "keep"):
         raise ValueError(f"missing must be 'error' or 'keep', not {missing!r}")
     if absent and missing == "error":
         raise ValueError(f"the source lacks columns of the target: {absent}")
-    shared = T.StructType([f for f in target.schema if f.name in source.columns])
+    shared = T.StructType([f for f in target if f.name in source.columns])
     return conform(source, shared, cast=cast)
 
 
@@ -100,7 +103,6 @@ class MergeParts:
 
     kept: DataFrame
     inserted: DataFrame
-    source: SourceFacts
     source_broadcast: bool
 
 
@@ -114,6 +116,7 @@ def merge_parts(
     missing: str = "error",
     cast: str = "strict",
     broadcast_limit: int = BROADCAST_LIMIT,
+    facts: SourceFacts | None = None,
 ) -> MergeParts:
     """Compute an upsert as (target rows with replacements, source rows without a match).
 
@@ -131,8 +134,8 @@ def merge_parts(
     if on_match == "if_newer" and not newer:
         raise ValueError("on_match='if_newer' needs newer_by columns")
 
-    rows = _align_source(target, source, missing, cast)
-    facts = inspect_source(rows, keys)
+    rows = align_source(target.schema, source, missing, cast)
+    facts = facts or inspect_source(rows, keys)
     if facts.most_per_key > 1:
         _reject_ambiguous(target, rows, keys)
     small = fits_broadcast(facts.rows, facts.size, broadcast_limit)
@@ -179,7 +182,7 @@ def merge_parts(
         unmatched = rows.filter(_keys_set(keys)).join(known.distinct(), keys, "left_anti")
         unmatched = unmatched.unionByName(rows.filter(~_keys_set(keys)))
     inserted = conform(unmatched, target.schema, missing="null")
-    return MergeParts(kept, inserted, facts, small)
+    return MergeParts(kept, inserted, small)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | list[str], **options) -> DataFrame:

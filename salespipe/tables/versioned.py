@@ -247,25 +247,22 @@ class VersionedTable:
         if batch is not None and self._has_batch(head, batch):
             return head.version
         keys = [keys] if isinstance(keys, str) else list(keys)
-        names = [f.name for f in head.struct if f.name in source.columns]
         # Measured, joined and searched for new keys: computed once for all of it.
-        source = source.select(*names).persist(StorageLevel.MEMORY_AND_DISK)
+        aligned = changes.align_source(
+            head.struct, source, options.get("missing", "error"), options.get("cast", "strict")
+        ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return self._merge(head, source, keys, batch, now, options)
+            return self._merge(head, aligned, keys, batch, now, options)
         finally:
-            source.unpersist()
+            aligned.unpersist()
 
     def _merge(self, head: Commit, source: DataFrame, keys: list[str], batch, now, options: dict) -> int:
-        touched = head.paths
-        if head.buckets and set(head.bucket_by) <= set(keys):
-            shared = T.StructType([f for f in head.struct if f.name in source.columns])
-            aligned = conform(source, shared, cast=options.get("cast", "strict"))
-            # At most one value per bucket comes to the driver.
-            hit = {r[0] for r in aligned.select(self._bucket(head)).distinct().collect()}
-            touched = [p for p in head.paths if _bucket_of(p) in hit]
-        halves = changes.merge_parts(self._scan(head, touched), source, keys, **options)
-        if not halves.source.rows:
+        by_bucket = head.buckets and set(head.bucket_by) <= set(keys)
+        facts = changes.inspect_source(source, keys, self._bucket(head) if by_bucket else None)
+        if not facts.rows:
             return head.version
+        touched = [p for p in head.paths if not by_bucket or _bucket_of(p) in facts.buckets]
+        halves = changes.merge_parts(self._scan(head, touched), source, keys, facts=facts, **options)
         if not head.buckets:
             rows = halves.kept.unionByName(halves.inserted)
         elif halves.source_broadcast:
