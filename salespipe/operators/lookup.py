@@ -22,10 +22,11 @@ def join_lookup(facts: DataFrame, dimension: DataFrame, keys: str | list[str], s
     keys = [keys] if isinstance(keys, str) else list(keys)
     if salt <= 1:
         return facts.join(dimension, keys)
-    # Both sides take the salt from whole rows, so a retried task repeats it.
-    salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salt)))
-    repeated = dimension.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
-    return salted.join(repeated, [*keys, _SALT]).drop(_SALT)
+    # Dealt out by a seeded draw and not by a hash of the row, which would keep
+    # equal rows together. A scan repeats its order, and so the draw, in a retry.
+    dealt = facts.withColumn(_SALT, F.floor(F.rand(seed=11) * salt).cast("int"))
+    repeated = dimension.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return dealt.join(repeated, [*keys, _SALT]).drop(_SALT)
 
 
 def enrich(facts: DataFrame, *lookups: tuple[DataFrame, str | list[str]]) -> DataFrame:

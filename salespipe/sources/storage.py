@@ -51,6 +51,15 @@ def write_text_once(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
+def overwrite_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, target = _open(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)

@@ -137,15 +137,15 @@ class VersionedTable:
         return table
 
     def exists(self) -> bool:
-        return bool(self._versions())
+        return self._newest() is not None
 
     # --------------------------------------------------------------- reading
 
     def version(self) -> int:
-        versions = self._versions()
-        if not versions:
+        newest = self._newest()
+        if newest is None:
             raise VersionNotFound(f"no table at {self.root}")
-        return versions[-1]
+        return newest
 
     def read(self, version: int | None = None, as_of: dt.datetime | None = None) -> DataFrame:
         """The current state, the state at a version, or the state at a moment."""
@@ -323,13 +323,28 @@ class VersionedTable:
     def _file(self, version: int) -> str:
         return f"{self.root}/commits/{version:020d}.json"
 
-    def _versions(self) -> list[int]:
-        names = storage.list_names(self.spark, f"{self.root}/commits")
-        return [int(n[: -len(".json")]) for n in names if n.endswith(".json")]
+    def _newest(self) -> int | None:
+        """The newest version: at or a little after the one noted in the hint.
+
+        The hint spares a listing of all commits, which grow by one with every
+        micro-batch. It may lag or be missing, but is never ahead.
+        """
+        try:
+            version = int(storage.read_text(self.spark, self._hint()))
+        except Exception:  # noqa: BLE001 - no hint, or half written: list the commits
+            names = [n for n in storage.list_names(self.spark, f"{self.root}/commits") if n.endswith(".json")]
+            return int(names[-1][: -len(".json")]) if names else None
+        while storage.exists(self.spark, self._file(version + 1)):
+            version += 1
+        return version
+
+    def _hint(self) -> str:
+        return f"{self.root}/newest"
 
     def _commit(self, version: int | None = None) -> Commit:
-        version = self.version() if version is None else version
-        if not storage.exists(self.spark, self._file(version)):
+        if version is None:
+            version = self.version()
+        elif not storage.exists(self.spark, self._file(version)):
             raise VersionNotFound(f"no version {version} at {self.root}")
         return Commit(**json.loads(storage.read_text(self.spark, self._file(version))))
 
@@ -412,4 +427,5 @@ class VersionedTable:
         moment = _utc(now or dt.datetime.now(dt.timezone.utc))
         commit = replace(commit, committed_at=moment.strftime("%Y-%m-%dT%H:%M:%S.%fZ"))
         storage.write_text_once(self.spark, self._file(commit.version), json.dumps(asdict(commit)))
+        storage.overwrite_text(self.spark, self._hint(), str(commit.version))
         return commit.version

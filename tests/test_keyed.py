@@ -62,6 +62,18 @@ def test_lookups_drop_unmatched_rows_and_keep_the_key_once(spark, sales, rows):
     assert rows(join_lookup(sales, names, "k", salt=3)) == rows(join_lookup(sales, names, "k"))
 
 
+def test_salting_splits_even_equal_rows(spark):
+    hot = spark.range(8000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    names = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = join_lookup(hot, names.hint("merge"), "k", salt=8)
+        assert joined.count() == 8000
+        assert joined.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_category_codes(spark, rows):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(["c", "a", "0", None, "a"])], "i int, v string")
     wanted = [(0, 2), (1, 1), (2, 0), (3, -1), (4, 1)]

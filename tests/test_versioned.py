@@ -190,3 +190,16 @@ def test_storage_helpers(spark, root):
     storage.write_text_once(spark, f"{root}/a/b.txt", "héllo")
     assert storage.read_text(spark, f"{root}/a/b.txt") == "héllo"
     assert storage.list_names(spark, f"{root}/a") == ["b.txt"] and storage.list_names(spark, f"{root}/z") == []
+
+
+@pytest.mark.parametrize("hint", [None, "0", "", "x"])
+def test_the_newest_version_is_found_with_a_stale_or_no_hint(spark, root, rows, hint):
+    table = VersionedTable.create(spark, f"{root}/t", SCHEMA)
+    table.append(frame(spark, (1, 1, 1)))
+    table.append(frame(spark, (2, 2, 2)))
+    if hint is None:
+        storage.delete_folder(spark, table._hint())
+    else:
+        storage.overwrite_text(spark, table._hint(), hint)
+    assert table.version() == 2 and table.read().count() == 2
+    assert not VersionedTable(spark, f"{root}/none").exists()
