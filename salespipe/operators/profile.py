@@ -43,7 +43,7 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None, fill: fl
     if fill is None:
         halves = _pairwise_correlations(values, pairs)
     else:
-        halves = _standardised_correlations(values.na.fill(float(fill)), names, pairs)
+        halves = _centred_correlations(values.na.fill(float(fill)), names, pairs)
     mirrored = F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y", "r"))).otherwise(
         F.array(F.struct("x", "y", "r"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
     )
@@ -65,25 +65,32 @@ def _as_cells(sums: DataFrame, pairs: list, r: Callable[[int], Column]) -> DataF
     return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
 
 
-def _standardised_correlations(values: DataFrame, names: list[str], pairs: list) -> DataFrame:
-    """Mean and spread of each column first (two numbers per column come to the
-    driver), then r as the mean product of the standardised columns."""
-    moments = values.agg(
+def _centred_correlations(values: DataFrame, names: list[str], pairs: list) -> DataFrame:
+    """Means first (three numbers per column come to the driver), then the sums
+    of products of the centred columns; that order of work loses no digits."""
+    found = values.agg(
         *[F.avg(f"`{c}`").alias(f"m_{i}") for i, c in enumerate(names)],
-        *[F.stddev_pop(f"`{c}`").alias(f"s_{i}") for i, c in enumerate(names)],
+        *[F.min(f"`{c}`").alias(f"a_{i}") for i, c in enumerate(names)],
+        *[F.max(f"`{c}`").alias(f"b_{i}") for i, c in enumerate(names)],
     ).first()
 
-    def standard(i: int) -> Column:
-        if not moments[f"s_{i}"]:
+    def centred(i: int) -> Column:
+        if found[f"a_{i}"] == found[f"b_{i}"]:
+            # Constant: its spread is nothing, not the rounding error of its mean.
             return F.lit(None).cast("double")
-        return (F.col(f"`{names[i]}`") - F.lit(moments[f"m_{i}"])) / F.lit(moments[f"s_{i}"])
+        return F.col(f"`{names[i]}`") - F.lit(found[f"m_{i}"])
 
-    scaled = values.select(*[standard(i).alias(f"z_{i}") for i in range(len(names))])
-    at = {c: f"z_{i}" for i, c in enumerate(names)}
+    deviations = values.select(*[centred(i).alias(f"d_{i}") for i in range(len(names))])
+    at = {c: F.col(f"d_{i}") for i, c in enumerate(names)}
 
     def job(group: list) -> DataFrame:
-        sums = scaled.agg(*[F.avg(F.col(at[x]) * F.col(at[y])).alias(f"r_{i}") for i, (x, y) in enumerate(group)])
-        return _as_cells(sums, group, lambda i: F.col(f"r_{i}"))
+        seen = {c: f"v_{i}" for i, c in enumerate(sorted({c for pair in group for c in pair}))}
+        sums = deviations.agg(
+            *[F.sum(at[x] * at[y]).alias(f"c_{i}") for i, (x, y) in enumerate(group)],
+            *[F.sum(at[c] * at[c]).alias(v) for c, v in seen.items()],
+        )
+        spread = lambda x, y: F.sqrt(F.col(seen[x])) * F.sqrt(F.col(seen[y]))
+        return _as_cells(sums, group, lambda i: F.try_divide(F.col(f"c_{i}"), spread(*group[i])))
 
     return _in_groups(pairs, 45, job)
 

@@ -117,7 +117,7 @@ def merge(
     """Bronze to the newest row per store in silver; returns the running query.
 
     Store types are letters in the source and numbers in silver: what is not a
-    number becomes NULL.
+    number becomes NULL. Columns silver has gained since keep their values.
     """
     return start_upsert(
         readers.stream_table(spark, layout.bronze),
@@ -129,6 +129,7 @@ def merge(
         tie_break=["Sales", "Customers"],
         on_match=on_match,
         cast="null",
+        missing="keep",
     )
 
 
@@ -173,14 +174,18 @@ def publish_gold(gold: DataFrame, layout: Layout) -> None:
     writers.overwrite_path(gold, f"{layout.root}/gold")
 
 
-def run_once(spark: SparkSession, layout: Layout, *, buckets: int = 0, **params) -> VersionedTable:
-    """The whole job over the files there are now; a second run picks up only new files."""
+def run_once(
+    spark: SparkSession, layout: Layout, *, buckets: int = 0, on_match: str = "replace", **params
+) -> VersionedTable:
+    """The whole job over the files there are now; a later run picks up only new files."""
     ingest(spark, layout).awaitTermination()
-    merge(spark, layout, buckets=buckets).awaitTermination()
+    merge(spark, layout, buckets=buckets, on_match=on_match).awaitTermination()
     silver = silver_table(spark, layout)
     version = clean(silver)
-    append_sales_per_customer(silver)
-    ml = silver.read(version=version).select(*FEATURES, LABEL)
+    if "SalesPerCustomer" not in silver.read().columns:
+        append_sales_per_customer(silver)
+    # Once appended to itself silver has every store twice, with equal features.
+    ml = silver.read(version=version).select(*FEATURES, LABEL).distinct()
     writers.overwrite_table(ml, f"{layout.database}.silver_ml", path=f"{layout.root}/silver_ml")
     _, gold = train_and_score(spark, layout, spark.table(f"{layout.database}.silver_ml"), **params)
     publish_gold(gold, layout)

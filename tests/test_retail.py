@@ -26,9 +26,9 @@ def layout(spark, tmp_path_factory):
         """
     )
     days.write.option("header", True).csv(f"{root}/train")
-    states = "id as Store, concat('S', id % 4) as State, 48.0 + id % 4 as Latitude, 11.5 as Longitude"
-    spark.range(1, 121).selectExpr(*states.split(", ")[:1], "concat('S', id % 4) as State",
-        "48.0 + id % 4 as Latitude", "11.5 as Longitude").write.option("header", True).csv(f"{root}/states")
+    spark.range(1, 121).selectExpr(
+        "id as Store", "concat('S', id % 4) as State", "48.0 + id % 4 as Latitude", "11.5 as Longitude",
+    ).write.option("header", True).csv(f"{root}/states")
     spark.range(1, 116).selectExpr(
         "id as Store", "case when id % 3 = 0 then '7' else 'c' end as StoreType", "'a' as Assortment",
         "id * 10 as CompetitionDistance", "case when id % 4 > 0 then id % 12 + 1 end as CompetitionOpenSinceMonth",
@@ -76,6 +76,25 @@ def test_the_job_from_files_to_gold(spark, layout):
         regression.load_model(spark, f"{layout.root}/models", "sales", 2)
 
 
+def test_a_later_run_takes_the_new_files(spark, layout):
+    """Runs after the first one above: silver has its extra column and every store twice."""
+    before = retail.silver_table(spark, layout)
+    first = before.version()
+    day = spark.range(1, 11).selectExpr(
+        "id as Store", "2L as DayOfWeek", "timestamp'2015-03-02' as Date", "5L as Sales", "1L as Customers", "1L as Open",
+        "0L as Promo", "'0' as StateHoliday", "0L as SchoolHoliday",
+    )
+    day.coalesce(1).write.mode("append").parquet(layout.landing)
+    silver = retail.run_once(spark, layout, **FAST)
+    log = [r.operation for r in silver.history().filter(f"version > {first}").orderBy("version").collect()]
+    assert log == ["MERGE", "DELETE", "UPDATE"]
+    new = silver.read().filter("Date = timestamp'2015-03-02'")
+    assert {r["count"] for r in new.groupBy("Store").count().collect()} == {2}
+    assert regression.model_versions(spark, f"{layout.root}/models", "sales") == [1, 2]
+    features = spark.table("retail_test.silver_ml")
+    assert features.count() == features.select("Store").distinct().count()
+
+
 def test_monthly_landing_has_codes(spark, layout):
     monthly = readers.read_parquet(spark, layout.landing.replace("landing", "monthly"))
     assert monthly.select("month").distinct().count() == 3
@@ -116,10 +135,11 @@ def test_models_have_versions(spark, lines, root):
 def test_a_fresh_root_replays_everything(spark, layout):
     fresh = retail.Layout(layout.landing, layout.states_csv, layout.stores_csv, f"{layout.root}2", "retail_again")
     try:
-        retail.ingest(spark, fresh, files_per_batch=4).awaitTermination()
-        assert spark.table(fresh.bronze).count() == 115 * 60
+        retail.ingest(spark, fresh, files_per_batch=5).awaitTermination()
+        bronze = spark.table(fresh.bronze).count()
+        assert bronze == 115 * 60 + 10
         retail.ingest(spark, fresh).awaitTermination()
-        assert spark.table(fresh.bronze).count() == 115 * 60
+        assert spark.table(fresh.bronze).count() == bronze
         retail.merge(spark, fresh, buckets=4, on_match="if_newer").awaitTermination()
         newest = retail.silver_table(spark, fresh).read()
         assert newest.count() == 115 and newest.filter("Date < timestamp'2015-03-01'").count() == 0
