@@ -105,7 +105,7 @@ def test_row_difference(spark, rows):
 # ----------------------------------------------------------------- properties
 
 some_rows = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 9), st.integers(0, 3)), max_size=12)
-few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def newest(spark, data):
