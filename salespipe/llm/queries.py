@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salespipe.llm import quality, sharding, urls
+from salespipe.llm import language, quality, sharding, toxicity, urls
 from salespipe.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,26 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _remainder(n: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n, F.lit(-1))
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(spark, docs, _remainder(3) != 1)
+    return language.identify(docs, model).select(
+        "doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    model = toxicity.fit(spark, docs, table(spark, sf_dir, "labels"), _remainder(5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted",
+        F.col("evidence.doc_id").alias("evidence"),
+    )
