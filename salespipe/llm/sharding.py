@@ -9,8 +9,7 @@ differ by one row at most.
 The hash covers the whole row, so a hot source or language spreads evenly; rows
 alike in every column share a bucket. NULL texts count no bytes. The
 permutation depends on the rows and the seed alone, not on their order, and is
-the same if a task runs again. An empty table gives an empty result. The input
-may have any other columns, but not ``_bucket``, ``_place`` and ``_order``.
+the same if a task runs again. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,48 +23,52 @@ from pyspark.sql import types as T
 from salespipe.llm.store import written
 
 BUCKET_BYTES = 8 << 20
+BLOCK = 1 << 12  # buckets whose places are added up together
 SEED = 17
 
 
-def two_pass(spark: SparkSession, df: DataFrame, size: str, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """All rows of ``df`` with their bucket and place in it. ``size``: SQL for the bytes of a row."""
-    clash = {"_bucket", "_place", "_order"} & set(df.columns)
-    if clash:
-        raise ValueError(f"reserved column names: {sorted(clash)}")
-    total = df.agg(F.sum(F.expr(size).cast("long"))).first()[0] or 0
+def two_pass(
+    spark: SparkSession, df: DataFrame, size: str, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
+    """Every row of ``df`` as struct ``row`` with its ``place`` in the permutation. ``size``: SQL for the bytes of a row."""
+    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.expr(size).cast("long").alias("size"))
+    total = rows.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    order = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed)) if df.columns else F.lit(seed)
-    scattered = df.withColumn("_order", order).withColumn("_bucket", F.pmod(F.xxhash64("_order"), F.lit(buckets)))
-    names = [*df.columns, "_bucket"]
-    schema = T.StructType([*df.schema.fields, T.StructField("_bucket", T.LongType()), T.StructField("_place", T.LongType())])
+    scattered = rows.select("row", F.xxhash64("row", F.lit(seed)).alias("order"))
+    scattered = scattered.withColumn("bucket", F.pmod(F.xxhash64("order"), F.lit(buckets)))
+    starts = _starts(spark, written(spark, scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")), "sizes"))
+    schema = T.StructType([rows.schema["row"], T.StructField("place", T.LongType())])
 
-    def shuffle(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        at = np.argsort(rows.column("_order").to_numpy(), kind="stable")  # rows arrive in any order
-        bucket = rows.column("_bucket")[0].as_py()
-        np.random.Generator(np.random.PCG64([seed, bucket])).shuffle(at)
-        out = rows.select(names).take(pa.array(at))
-        return out.append_column("_place", pa.array(np.arange(len(at))))
+    def shuffle(own: pa.Table) -> pa.Table:
+        at = np.argsort(own.column("order").to_numpy(), kind="stable")  # rows arrive in any order
+        generator = np.random.Generator(np.random.PCG64([seed, own.column("bucket")[0].as_py()]))
+        generator.shuffle(at)  # Fisher and Yates
+        place = np.arange(len(at)) + own.column("start")[0].as_py()
+        return pa.table([own.column("row").take(pa.array(at)), pa.array(place)], names=["row", "place"])
 
-    return scattered.groupBy("_bucket").applyInArrow(shuffle, schema)
+    # The join and the buckets need the same exchange, the only one of whole rows.
+    return scattered.join(starts, "bucket").groupBy("bucket").applyInArrow(shuffle, schema)
 
 
-def shards(spark: SparkSession, df: DataFrame, size: str, n_shards: int, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """The shuffled rows with ``shard`` and gapless ``slot``, as written in the shared folder, one folder a shard."""
-    shuffled = written(spark, two_pass(spark, df, size, seed, bucket_bytes), "shuffled")
-    sizes = written(spark, shuffled.groupBy("_bucket").agg(F.count(F.lit(1)).alias("rows")), "bucket-sizes")
-    # One row a bucket: starts by blocks of buckets, so that no task sees them all.
-    width = 1 << 12
-    blocks = sizes.groupBy(F.expr(f"_bucket div {width}").alias("block")).agg(F.sum("rows").alias("rows"))
-    starts, before = [], 0
-    for block, rows in blocks.orderBy("block").collect():
-        starts.append((block, before))
+def _starts(spark: SparkSession, sizes: DataFrame) -> DataFrame:
+    """The place of the first row of each bucket, by blocks of buckets, so that no task sees them all."""
+    sizes = sizes.withColumn("block", F.expr(f"bucket div {BLOCK}"))
+    blocks, before = [], 0
+    for block, rows in sizes.groupBy("block").agg(F.sum("rows")).orderBy("block").collect():
+        blocks.append((block, before))
         before += rows
-    block_starts = spark.createDataFrame(starts, "block long, start long")
-    within = F.expr(f"sum(rows) over (partition by _bucket div {width} order by _bucket) - rows")
-    firsts = sizes.withColumn("within", within).withColumn("block", F.expr(f"_bucket div {width}"))
-    firsts = firsts.join(block_starts, "block").select("_bucket", (F.col("start") + F.col("within")).alias("_first"))
-    place = F.col("_first") + F.col("_place")
-    return shuffled.join(firsts, "_bucket").select(
-        *df.columns, (place % n_shards).cast("int").alias("shard"), F.floor(place / n_shards).cast("long").alias("slot")
-    )
+    within = sizes.withColumn("before", F.expr("sum(rows) over (partition by block order by bucket) - rows"))
+    found = within.join(spark.createDataFrame(blocks, "block long, first long"), "block")
+    return written(spark, found.select("bucket", (F.col("first") + F.col("before")).alias("start")), "starts")
+
+
+def shards(
+    spark: SparkSession, df: DataFrame, size: str, n_shards: int, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
+    """All rows with ``shard`` and gapless ``slot``, as written in the shared folder; columns so named are replaced."""
+    place = F.col("place")
+    out = two_pass(spark, df, size, seed, bucket_bytes).select(
+        *[F.col("row").getField(c).alias(c) for c in df.columns if c not in ("shard", "slot")],
+        (place % n_shards).cast("int").alias("shard"), F.expr(f"place div {n_shards}").alias("slot"),
+    )
+    return written(spark, out, "shards")
