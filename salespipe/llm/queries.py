@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salespipe.llm import language, quality, sharding, toxicity, urls
+from salespipe.llm import language, minhash, quality, sharding, toxicity, urls
 from salespipe.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted",
         F.col("evidence.doc_id").alias("evidence"),
     )
+
+
+@query(rf"""
+with recursive docs as (
+  select doc_id, {WORDS.format(f"translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}')")} as words from documents),
+starts as (select doc_id, words, unnest(generate_series(1, greatest(len(words) - 3, 1))) as k from docs where len(words) > 0),
+shingles as (select distinct doc_id, array_to_string(words[k:k + 3], ' ') as s from starts),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+  select a.doc_id as x, b.doc_id as y from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+    join sizes m on m.doc_id = a.doc_id join sizes n on n.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, m.n, n.n having 100 * count(*) >= 80 * (m.n + n.n - count(*))),
+reach as (select doc_id, doc_id as other from docs union select r.doc_id, l.y from reach r join links l on l.x = r.other)
+select d.doc_id, coalesce(n, 0) as n_shingles, least_id as component_id, least_id = d.doc_id as kept
+from docs d left join sizes using (doc_id) join (select doc_id, min(other) as least_id from reach group by doc_id) using (doc_id)
+""")
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"), shingle=4, similarity=80)
