@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salespipe.llm import language, minhash, quality, sharding, toxicity, urls
+from salespipe.llm import language, minhash, quality, sharding, suffixes, toxicity, urls
 from salespipe.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +148,27 @@ from docs d left join sizes using (doc_id) join (select doc_id, min(other) as le
 """)
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"), shingle=4, similarity=80)
+
+
+@query(r"""
+with docs as (select doc_id, octet_length(encode(coalesce(text, ''))) as n, hex(encode(coalesce(text, ''))) as h from documents),
+starts as (select doc_id, h, unnest(generate_series(0, n - 50)) as p from docs where n >= 50),
+strings as (select doc_id, p, substr(h, 2 * p + 1, 100) as s from starts),
+least as (select s, min(doc_id) as first from strings group by s),
+gone as (select doc_id, p from strings join least using (s) where first < doc_id),
+edges as (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from gone),
+heads as (select doc_id, p, sum(case when before is null or p > before + 50 then 1 else 0 end) over (partition by doc_id order by p) as k
+  from edges),
+spans as (select doc_id, k, min(p) as a, max(p) + 50 as b from heads group by doc_id, k),
+pieces as (select d.doc_id, d.n, d.h, list(struct_pack(a := a, b := b) order by a) filter (a is not null) as cuts,
+    coalesce(sum(b - a), 0)::bigint as n_removed, count(a) as n_spans
+  from docs d left join spans using (doc_id) group by d.doc_id, d.n, d.h)
+select doc_id, n as n_bytes, n_removed, n_spans, sha256(unhex(case when n_spans = 0 then h else
+    substr(h, 1, 2 * cuts[1].a) || array_to_string(list_transform(generate_series(1, n_spans), lambda i:
+      substr(h, 2 * cuts[i].b + 1, 2 * (case when i = n_spans then n else cuts[i + 1].a end - cuts[i].b))), '') end)) as kept_sha256
+from pieces
+""")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(spark, table(spark, sf_dir, "documents"), length=50).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
