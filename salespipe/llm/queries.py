@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salespipe.llm import language, minhash, quality, sharding, suffixes, toxicity, urls
+from salespipe.llm import language, minhash, neighbours, quality, sharding, suffixes, toxicity, urls
 from salespipe.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +172,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(spark, table(spark, sf_dir, "documents"), length=50).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
