@@ -1,16 +1,63 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Rows of any stage may hold NULLs, empty texts and further columns; an empty
+table passes through as an empty one. What each operator does with such rows
+stands in its module.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from salespipe.llm import minhash, mixing, packing, suffixes, toxicity
 from salespipe.llm.store import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the labelled examples nearest to them do not speak against."""
+    model = toxicity.fit(spark, docs, table(spark, sf_dir, "labels"), F.lit(True))
+    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates; rows that repeat both id and text are one document."""
+    found = minhash.near_duplicates(spark, docs)
+    gone = written(spark, found.where("not kept").select("doc_id"), "near-duplicates")
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts without passages of an earlier document; a text of which nothing but space is left goes."""
+    found = suffixes.remove_repeats(spark, docs.withColumnsRenamed({"n_chars": "_n_chars"}), characters=True)
+    text = F.decode("kept", "UTF-8")
+    emptied = (F.col("n_removed") > 0) & (F.trim(F.translate(text, "\t\n\x0b\x0c\r", "     ")) == "")
+    changed = found.where(~emptied).withColumn("text", text)
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("_n_chars"))
+    return changed.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document at least once, those of small sources more often."""
+    return mixing.mix(spark, docs).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in which sequence."""
+    return packing.pack(spark, docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", not_toxic),
+    ("near-duplicates", one_of_each_group),
+    ("repeated-passages", without_repeats),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
 # Learned models decide the first stage, which SQL cannot express.
 ORACLE_SQL = None

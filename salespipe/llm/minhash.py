@@ -16,8 +16,9 @@ its length, not its square. What passes the count of collisions is confirmed on
 the full sets, and components of confirmed links are the classes.
 
 Documents with equal sets are one class from the start, however many they are;
-the smallest stands for them. Documents without words (NULL or empty texts) are
-linked with nothing. Rows that repeat an id must have equal texts. An empty
+the smallest stands for them. Documents without words (NULL or empty texts) and
+rows without an id are linked with nothing and kept. Rows that repeat an id
+must have equal texts. An empty
 table gives an empty result; other columns are left out.
 """
 
@@ -121,7 +122,7 @@ def near_duplicates(
     )
     name = ["name1", "name2", "n_shingles"]
     # Equal sets, whose names agree in 128 bits, have equal signatures.
-    classes = signed.where("n_shingles > 0").groupBy(*name).agg(F.min("doc_id").alias("rep"))
+    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*name).agg(F.min("doc_id").alias("rep"))
     classes = written(spark, classes, "classes")
     reps = classes.select(F.col("rep").alias("doc_id")).join(signed.select("doc_id", "n_shingles", "tokens"), "doc_id")
     posted = reps.select(F.col("doc_id").alias("rep"), F.explode("tokens").alias("token"))
@@ -160,8 +161,8 @@ def near_duplicates(
     )
     named = written(spark, named, "named")
     return signed.join(named, name, "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-        (F.coalesce("component", "doc_id") == F.col("doc_id")).alias("kept"),
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+        F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salespipe.llm import language, minhash, neighbours, quality, sharding, suffixes, toxicity, urls
+from salespipe.llm import language, minhash, mixing, neighbours, packing, quality, sharding, suffixes, toxicity, urls
 from salespipe.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,3 +177,14 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query()
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(spark, table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "n_tokens", "epoch", "block", "position")
+
+
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"))

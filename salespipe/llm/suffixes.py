@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salespipe.llm.store import written
 from salespipe.llm.texts import BYTE_VALUES, Slice, _powers, column, mix, slices
@@ -53,6 +54,12 @@ BUCKET_BYTES = 12 << 20
 MERGE_BYTES = 1 << 20  # of segments merged at a time
 SYMBOL = 8
 
+RESULT = T.StructType([
+    T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
+    T.StructField("spans", T.ArrayType(T.StructType([
+        T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))),
+    T.StructField("kept", T.BinaryType()),
+])
 _LAST = np.iinfo(np.int64).max
 
 
@@ -72,17 +79,22 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task, number = TaskContext.get().partitionId(), 0
     for batch in batches:
         for part in slices(column(batch, "text"), PACK_BYTES):
-            ids = column(batch, "doc_id").slice(part.first, part.n)
+            own = batch.slice(part.first, part.n)
+            ids = column(own, "doc_id").cast(pa.int64())
             known = np.array(ids.is_valid())
+            rest = pa.BufferOutputStream()
+            with pa.ipc.new_stream(rest, own.schema.remove(own.schema.get_field_index("text"))) as out:
+                out.write_batch(own.drop_columns(["text"]))
             yield pa.RecordBatch.from_pydict({
                 "slice": pa.array([(task << 32) + number]), "docs": pa.array([part.n]), "bytes": pa.array([len(part.data)]),
                 "ids": [_squeeze(np.array(ids.fill_null(_LAST)))], "known": [_squeeze(known)],
                 "lengths": [_squeeze(np.diff(part.at))], "text": [_squeeze(part.data)],
+                "rest": [rest.getvalue().to_pybytes()],
             })
             number += 1
 
 
-_PACKED = "slice long, docs long, bytes long, ids binary, known binary, lengths binary, text binary"
+_PACKED = "slice long, docs long, bytes long, ids binary, known binary, lengths binary, text binary, rest binary"
 
 
 class Packed:
@@ -462,7 +474,17 @@ def _covered(packed: Packed, found: Candidates, marks: list[dict]) -> np.ndarray
     return np.cumsum(change[:-1]) > 0
 
 
-def _cut(length: int, buckets: int):
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """The marks, without those of characters that are not marked whole."""
+    first = (data & 0xC0) != 0x80
+    if first.all() or not gone.any():
+        return gone
+    heads = np.flatnonzero(first)
+    whole = np.logical_and.reduceat(gone, heads)
+    return np.repeat(whole, np.diff(np.append(heads, len(data))))
+
+
+def _cut(length: int, buckets: int, characters: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             packed = Packed(row, length)
@@ -470,6 +492,7 @@ def _cut(length: int, buckets: int):
             gone = np.zeros(len(text.data), bool)
             if marks:
                 gone = _covered(packed, Candidates(packed, row["replies"], buckets), marks)
+                gone = _whole_characters(text.data, gone) if characters else gone
             starts, ends, docs = text.runs(gone)
             cuts = np.searchsorted(docs, np.arange(text.n + 1))
             spans = [
@@ -477,8 +500,10 @@ def _cut(length: int, buckets: int):
                 for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
             ]
             kept = [text.data[a:b][~gone[a:b]].tobytes() for a, b in zip(text.at[:-1], text.at[1:], strict=True)]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(packed.ids, mask=~packed.known), "n_bytes": np.diff(text.at), "n_removed": text.sums(gone),
+            rest = pa.ipc.open_stream(row["rest"].as_buffer()).read_all().combine_chunks().to_batches()
+            own = {name: rest[0].column(name) for name in rest[0].schema.names}
+            yield pa.RecordBatch.from_pydict(own | {
+                "n_bytes": pa.array(np.diff(text.at)), "n_removed": pa.array(text.sums(gone)),
                 "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
                 "kept": pa.array(kept, pa.binary()),
             })
@@ -486,11 +511,18 @@ def _cut(length: int, buckets: int):
     return cut
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, hot: int = HOT, shards: int = SHARDS) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, the spans removed (byte offsets) and the bytes kept. ``length``: 2 to 64."""
+def remove_repeats(
+    spark: SparkSession, docs: DataFrame, length: int = LENGTH, hot: int = HOT, shards: int = SHARDS, characters: bool = False
+) -> DataFrame:
+    """The rows without ``text``, with n_bytes, n_removed, the spans removed (byte offsets) and the bytes kept.
+
+    ``length``: 2 to 64. With ``characters``, characters that are not covered whole are kept, so that ``kept`` is text.
+    """
     if not 2 <= length <= 64:
         raise ValueError("length must be from 2 to 64 bytes")
-    texts = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
+    texts = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
+    others = [f for f in texts.schema.fields if f.name not in ("text", *RESULT.names)]
+    texts = texts.select(*[f.name for f in others], "text")
     packed = written(spark, texts.mapInArrow(_pack, _PACKED), "packed")
     total = packed.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
@@ -504,6 +536,5 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, h
     marks = marked.groupBy("slice").agg(F.collect_list(F.struct("n", "kind", "string", "run", "doc")).alias("marks"))
     marks = written(spark, marks.join(replies, "slice"), "marks")
     return packed.join(marks, "slice", "left").mapInArrow(
-        _cut(length, buckets),
-        "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, kept binary",
+        _cut(length, buckets, characters), T.StructType([*others, *RESULT.fields])
     )

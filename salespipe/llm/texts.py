@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import types as T
 
 # The bytes that separate words, as in [^\x20\x09-\x0D]+.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -147,3 +148,17 @@ def distinct(hashed: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def counted(docs, name: str):
+    """``docs`` with the number of words of each whole text; a column of that name is replaced."""
+    kept = [c for c in docs.columns if c != name]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(column(batch, "text").cast(pa.large_string())):
+                words = np.bincount(part.words()[2], minlength=part.n)
+                yield pa.RecordBatch.from_arrays([*batch.slice(part.first, part.n).columns, pa.array(words)], [*kept, name])
+
+    rows = docs.select(*kept)
+    return rows.mapInArrow(count, T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())]))
