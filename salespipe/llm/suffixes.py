@@ -43,15 +43,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salespipe.llm.store import written
-from salespipe.llm.texts import BYTE_VALUES, Slice, _powers, column, mix, slices
+from salespipe.llm.texts import Slice, column, mix, rolling, slices
 
 LENGTH = 50
 GRAM = 20
 HOT = 4096
-SHARDS = 4
-PACK_BYTES = 2 << 20
+SHARDS = 2
+PACK_BYTES = 1 << 20
 BUCKET_BYTES = 12 << 20
-MERGE_BYTES = 1 << 20  # of segments merged at a time
+MERGE_BYTES = 1 << 16  # of segments merged at a time, about what a processor keeps at hand
 SYMBOL = 8
 
 RESULT = T.StructType([
@@ -98,7 +98,7 @@ _PACKED = "slice long, docs long, bytes long, ids binary, known binary, lengths
 
 
 class Packed:
-    """One slice: its texts and, per segment, start, number of strings, document and the anchor's hash."""
+    """One slice: its ids and texts."""
 
     def __init__(self, row: dict[str, pa.Scalar], length: int) -> None:
         n, size = row["docs"].as_py(), row["bytes"].as_py()
@@ -106,50 +106,48 @@ class Packed:
         self.ids, self.known = _expand(row["ids"], np.int64, n), _expand(row["known"], bool, n)
         at = np.concatenate(([0], np.cumsum(_expand(row["lengths"], np.int64, n))))
         self.text = Slice(0, _expand(row["text"], np.uint8, size), at)
-        found, first = [], 0
+
+
+class Segments:
+    """The segments of a slice: start, number of strings, document, and the anchor's hash."""
+
+    def __init__(self, packed: Packed) -> None:
+        found, first, at, n = [], 0, packed.text.at, packed.text.n
         while first < n:
-            # Short runs of documents keep the arrays of each step small.
-            last = max(first + 1, int(np.searchsorted(at, at[first] + (1 << 19), "right")) - 1)
-            found.append(self._segments(first, last))
+            # Short runs of documents keep the arrays of each step in the processor's cache.
+            last = max(first + 1, int(np.searchsorted(at, at[first] + (1 << 17), "right")) - 1)
+            found.append(_segments(packed, first, last))
             first = last
         self.start, self.strings, self.doc, self.anchor = (np.concatenate(x) for x in zip(*found, strict=True))
 
-    def _segments(self, first: int, last: int) -> tuple[np.ndarray, ...]:
-        base = self.text.at[first]
-        data, at = self.text.data[base : self.text.at[last]], self.text.at[first : last + 1] - base
-        gram, width = min(GRAM, self.length), self.length - min(GRAM, self.length) + 1
-        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        if len(data) < self.length:
-            return none
-        hashed = grams(data, gram)
-        place = np.arange(len(hashed), dtype=np.uint64)
-        least, reach = (hashed & ~np.uint64(0xFFFFFFFF)) | place, 1
-        while reach < width:
-            step = min(reach, width - reach)
-            least = np.minimum(least[: len(least) - step], least[step:])
-            reach += step
-        inside = np.zeros(len(least) + 1, np.int32)
-        owned = np.flatnonzero((np.diff(at) >= self.length) & self.known[first:last])
-        np.add.at(inside, at[owned], 1)
-        np.add.at(inside, at[owned + 1] - self.length + 1, -1)
-        valid = np.flatnonzero(np.cumsum(inside[:-1]))
-        if not len(valid):
-            return none
-        anchor = (least[valid] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        doc = np.searchsorted(at, valid, "right") - 1
-        new = np.ones(len(valid), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
-        heads = np.flatnonzero(new)
-        strings = np.diff(np.append(heads, len(valid)))
-        return valid[heads] + base, strings, doc[heads] + first, hashed[anchor[heads]]
-
-
-def grams(data: np.ndarray, size: int) -> np.ndarray:
-    """A hash of the ``size`` bytes from every byte on."""
-    powers, inverse = _powers(max(1, len(data).bit_length()))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[data] * powers[: len(data)], out=total[1:])
-    return mix((total[size:] - total[:-size]) * inverse[: len(data) - size + 1])
+
+def _segments(packed: Packed, first: int, last: int) -> tuple[np.ndarray, ...]:
+    length, gram = packed.length, min(GRAM, packed.length)
+    base = packed.text.at[first]
+    data, at = packed.text.data[base : packed.text.at[last]], packed.text.at[first : last + 1] - base
+    if len(data) < length:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    total, inverse = rolling(data)
+    hashed = (total[gram:] - total[:-gram]) * inverse[: len(data) - gram + 1]
+    # Hash above, place below: the least is the leftmost of equal grams.
+    least = (hashed & ~np.uint64(0xFFFFFFFF)) | np.arange(len(hashed), dtype=np.uint64)
+    reach, width = 1, length - gram + 1
+    while reach < width:
+        step = min(reach, width - reach)
+        least = np.minimum(least[:-step], least[step:])
+        reach += step
+    new = np.ones(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    owned = np.flatnonzero((np.diff(at) >= length) & packed.known[first:last])
+    new[at[owned]] = True
+    heads = np.flatnonzero(new)
+    doc = np.searchsorted(at, heads, "right") - 1
+    end = at[doc + 1] - length + 1  # of the starts of strings inside the document
+    inside = (heads < end) & packed.known[first:last][doc]
+    strings = np.minimum(np.append(heads[1:], len(least)), end) - heads
+    heads, strings, doc = heads[inside], strings[inside], doc[inside]
+    anchor = hashed[(least[heads] & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+    return heads + base, strings, doc + first, mix(anchor)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Scalar]]:
@@ -173,22 +171,34 @@ def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 # -- which anchors are shared ---------------------------------------------------------------------------------------
 
 
-def _anchors(packed: Packed) -> tuple[np.ndarray, np.ndarray]:
+def _anchors(packed: Packed, cut: Segments) -> tuple[np.ndarray, np.ndarray]:
     """The distinct anchors of a slice, ascending, and whether several documents of the slice have each."""
-    order = np.argsort(packed.anchor, kind="stable")
-    hashed, ids = packed.anchor[order], packed.ids[packed.doc[order]]
+    order = np.argsort(cut.anchor)
+    hashed, ids = cut.anchor[order], packed.ids[cut.doc[order]]
     heads = np.flatnonzero(np.concatenate(([True], hashed[1:] != hashed[:-1]))) if len(hashed) else np.zeros(0, np.int64)
     if not len(heads):
         return hashed, np.zeros(0, bool)
     return hashed[heads], np.minimum.reduceat(ids, heads) != np.maximum.reduceat(ids, heads)
 
 
+def _short(hashed: np.ndarray) -> bytes:
+    """Five bytes of each hash: enough inside a bucket, where taking two anchors for one only costs work."""
+    return hashed.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _long(data: pa.Scalar) -> np.ndarray:
+    short = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, 5)
+    out = np.zeros((len(short), 8), np.uint8)
+    out[:, :5] = short
+    return out.view(np.uint64)[:, 0]
+
+
 def _tell_anchors(length: int, buckets: int):
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             packed = Packed(row, length)
-            hashed, several = _anchors(packed)
-            out = [(b, hashed[at].tobytes(), several[at].tobytes()) for b, at in _by_bucket(_bucket(hashed, buckets))]
+            hashed, several = _anchors(packed, Segments(packed))
+            out = [(b, _short(hashed[at]), _squeeze(several[at])) for b, at in _by_bucket(_bucket(hashed, buckets))]
             if out:
                 bucket, anchors, flags = zip(*out, strict=True)
                 yield pa.RecordBatch.from_pydict({
@@ -201,8 +211,9 @@ def _tell_anchors(length: int, buckets: int):
 
 def _answer_anchors(hot: int):
     def answer(rows: pa.Table) -> pa.Table:
-        anchors = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("anchors")]
-        several = np.concatenate([np.frombuffer(x.as_buffer(), bool) for x in rows.column("several")])
+        anchors = [_long(x) for x in rows.column("anchors")]
+        several = [_expand(x, bool, len(a)) for x, a in zip(rows.column("several"), anchors, strict=True)]
+        several = np.concatenate(several)
         _, at, count = np.unique(np.concatenate(anchors), return_inverse=True, return_counts=True)
         inner = np.zeros(len(count), bool)
         inner[at[several]] = True
@@ -220,28 +231,34 @@ def _answer_anchors(hot: int):
 
 
 class Candidates:
-    """The segments of a slice that may repeat; ``kind`` numbers the distinct ones, in the order of their hashes."""
+    """The segments of a slice that may repeat; ``kind`` numbers the distinct ones, as they first occur."""
 
     def __init__(self, packed: Packed, replies: pa.Scalar, buckets: int) -> None:
-        hashed, _ = _anchors(packed)
+        cut = Segments(packed)
+        hashed = np.sort(cut.anchor)
+        hashed = hashed[np.concatenate(([True], hashed[1:] != hashed[:-1]))] if len(hashed) else hashed
         answers = {r["bucket"]: r["shared"] for r in replies.as_py() or []}
         verdict = np.zeros(len(hashed), np.uint8)
         for b, at in _by_bucket(_bucket(hashed, buckets)):
             if b in answers:
                 verdict[at] = np.frombuffer(pa.decompress(answers[b], len(at), codec="zstd"), np.uint8)
-        own = verdict[np.searchsorted(hashed, packed.anchor)] if len(hashed) else verdict
-        start, strings, doc, anchor = (x[own == 1] for x in (packed.start, packed.strings, packed.doc, packed.anchor))
+        own = verdict[np.searchsorted(hashed, cut.anchor)] if len(hashed) else verdict
+        start, strings, doc, anchor = (x[own == 1] for x in (cut.start, cut.strings, cut.doc, cut.anchor))
         hot = np.flatnonzero(own == 2)
         text = packed.text
         if len(hot):
-            repeat = packed.strings[hot]
-            first = np.repeat(packed.start[hot], repeat) + np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
-            start, doc = np.concatenate((start, first)), np.concatenate((doc, np.repeat(packed.doc[hot], repeat)))
+            repeat = cut.strings[hot]
+            first = np.repeat(cut.start[hot], repeat) + np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
+            start, doc = np.concatenate((start, first)), np.concatenate((doc, np.repeat(cut.doc[hot], repeat)))
             strings = np.concatenate((strings, np.ones(len(first), np.int64)))
             anchor = np.concatenate((anchor, text.hashes(first, first + packed.length)))
         self.start, self.strings, self.doc = start, strings, doc
         content = text.hashes(start, start + strings + packed.length - 1)
-        _, head, self.kind = np.unique(content, return_index=True, return_inverse=True)
+        _, head, kind = np.unique(content, return_index=True, return_inverse=True)
+        # Numbered as they first occur, which packs well.
+        rank = np.empty(len(head), np.int64)
+        rank[np.argsort(head)] = np.arange(len(head))
+        head, self.kind = np.sort(head), rank[kind]
         self.anchor, self.head = anchor[head], head
         ids = packed.ids[doc]
         order = np.argsort(self.kind, kind="stable")
@@ -267,12 +284,17 @@ def _tell_segments(length: int, buckets: int):
                 text = _gather(packed.text.data, found.start[found.head[at]], size)
                 group = (found.anchor[at] & np.uint64(0xFF)).astype(np.uint8)
                 out.append({
-                    "bucket": b, "slice": packed.slice, "n": len(at), "bytes": len(text), "kind": _squeeze(at.astype(np.int32)),
-                    "size": _squeeze(size.astype(np.int32)), "least": _squeeze(found.least[at]), "most": _squeeze(found.most[at]),
+                    "bucket": b, "slice": packed.slice, "n": len(at), "bytes": len(text), "kind": _squeeze(np.diff(at, prepend=0).astype(np.int32)),
+                    "size": _squeeze(size.astype(np.int32)), "least": _squeeze(found.least[at]), "most": _squeeze(found.most[at] - found.least[at]),
                     "group": _squeeze(group), "text": _squeeze(text),
                 })
-            if out:
-                yield pa.RecordBatch.from_pylist(out, _SEGMENTS)
+            # Where each segment occurs stays with the slice.
+            order = np.argsort(found.kind, kind="stable")
+            out.append({
+                "bucket": -1, "slice": packed.slice, "n": len(order), "bytes": 0, "kind": _squeeze(found.kind[order].astype(np.int32)),
+                "least": _squeeze(found.start[order]), "most": _squeeze(found.doc[order]),
+            })
+            yield pa.RecordBatch.from_pylist(out, _SEGMENTS)
 
     return tell
 
@@ -293,81 +315,80 @@ class Transform:
     """The rotations of a shard's strings in sorted order: the symbol before each, and which rotation it is.
 
     ``before[s]`` are the ``s`` bytes before each rotation as one number. The
-    order is that of the first 64 bytes, enough for every length up to that.
+    order is that of the first ``length`` bytes.
     """
 
-    def __init__(self, data: np.ndarray, size: np.ndarray, steps: set[int]) -> None:
+    def __init__(self, data: np.ndarray, size: np.ndarray, length: int) -> None:
         first = np.cumsum(size) - size
         owner = np.repeat(np.arange(len(size)), size)
-        here, base, long = np.arange(len(data)), np.repeat(first, size), np.repeat(size, size)
+        here, end, long = np.arange(len(data)), np.repeat(first + size, size), np.repeat(size, size)
 
         def shift(k: int) -> np.ndarray:
-            return base + (here - base + k) % long
-
-        following = [data[shift(k)].astype(np.uint64) for k in range(SYMBOL)]
-        ahead = {s: _number(following[:s]) for s in {*steps, SYMBOL}}
-        rank, depth = _ranks(ahead[SYMBOL]), SYMBOL
-        while depth < 64:
-            rank = _ranks((rank << np.uint64(32)) | rank[shift(depth)])
-            depth *= 2
-        order = np.argsort(rank, kind="stable")
+            """The byte k further on in the same string, from the end on at its start; k is less than its length."""
+            at = here + k
+            return at - np.where(at >= end, long, 0) if k > 0 else at + np.where(at < end - long, long, 0)
+
+        ahead, have = {1: data.astype(np.uint64)}, 1
+        while have < SYMBOL:
+            ahead[2 * have] = (ahead[have] << np.uint64(8 * have)) | ahead[have][shift(have)]
+            have *= 2
+        (rank, order), depth = _ranks(ahead[SYMBOL]), SYMBOL
+        number, half = _width(len(data))
+        rank = rank.astype(number)
+        while depth < length:
+            step = min(depth, length - depth)
+            (rank, order), depth = _ranks((rank << half) | rank[shift(step)]), depth + step
         self.rotation = order
-        self.owner, self.offset = owner[order], (here - base)[order]
-        self.before = {s: ahead[s][shift(-s)][order] for s in steps}
+        self.owner, self.offset = owner[order], (here - (end - long))[order]
+        self.before = {s: (ahead[SYMBOL] >> np.uint64(8 * (SYMBOL - s)))[shift(-s)[order]] for s in set(_steps(length))}
 
 
-def _number(columns: list[np.ndarray]) -> np.ndarray:
-    out = columns[0].copy()
-    for c in columns[1:]:
-        out = (out << np.uint64(8)) | c
-    return out
+def _width(n: int) -> tuple[type, np.unsignedinteger]:
+    """A type for two numbers below n, and the bits of one of them."""
+    return (np.uint32, np.uint32(16)) if n < 1 << 16 else (np.uint64, np.uint64(32))
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    """The number of smaller distinct keys, for each key."""
+def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of smaller distinct keys, for each key, and the sorted order."""
     order = np.argsort(keys)
     at = keys[order]
-    new = np.zeros(len(at), np.uint64)
-    new[1:] = at[1:] != at[:-1]
-    out = np.empty(len(at), np.uint64)
-    out[order] = np.cumsum(new)
-    return out
+    new = np.zeros(len(at), bool)
+    np.not_equal(at[1:], at[:-1], out=new[1:])
+    out = np.empty(len(at), keys.dtype)
+    out[order] = np.cumsum(new, dtype=keys.dtype)
+    return out, order
 
 
-def merge(shards: list[Transform], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The interleave of sorted shards: shard and place in it of each rotation, and which begin a new string of ``length``.
+def merge(shards: list[Transform], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The interleave of sorted shards, as places in all shards one after another, and which begin a new string of ``length``.
 
     A round takes the interleave by h bytes to that by h + s bytes: rotation i
     of a shard, wherever the interleave has it, sends the rotation s bytes
     earlier to the place its symbol gives.
     """
     total = sum(len(t.rotation) for t in shards)
-    z = np.repeat(np.arange(len(shards)), [len(t.rotation) for t in shards])
-    block = np.zeros(total, np.uint64)
-    border = np.zeros(total, bool)
-    at = np.arange(total, dtype=np.uint64)
-    symbols = {}
-    for s in set(_steps(length)):
-        ranked = _ranks(np.concatenate([t.before[s] for t in shards]))
-        cuts = np.cumsum([0] + [len(t.rotation) for t in shards])
-        symbols[s] = [ranked[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    z = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(t.rotation) for t in shards])
+    number, half = _width(total)
+    low = number((1 << int(half)) - 1)
+    block, border = np.zeros(total, number), np.zeros(total, bool)
+    at = np.arange(total, dtype=number)
+    symbols = {s: _ranks(np.concatenate([t.before[s] for t in shards]))[0].astype(number) << half for s in set(_steps(length))}
     for s in _steps(length):
-        symbol = np.empty(total, np.uint64)
-        for k in range(len(shards)):
-            symbol[z == k] = symbols[s][k]
+        # The k-th entry of a shard in the interleave reads the k-th symbol of its transform.
+        key = np.empty(total, number)
+        key[np.argsort(z, kind="stable")] = symbols[s]
         # Sorting (symbol, place) is a stable distribution by symbol.
-        key = np.sort((symbol << np.uint64(32)) | at)
-        order = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        symbol = key >> np.uint64(32)
+        key |= at
+        key.sort()
+        order = key & low
+        key >>= half
         z, block = z[order], block[order]
         border = np.ones(total, bool)
-        border[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-        block = np.cumsum(border).astype(np.uint64)
+        border[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
+        block = np.cumsum(border, dtype=number)
     place = np.empty(total, np.int64)
-    for k in range(len(shards)):
-        own = z == k
-        place[own] = np.arange(own.sum())
-    return z, place, border
+    place[np.argsort(z, kind="stable")] = np.arange(total)  # shards lie one after another
+    return place, border
 
 
 def _steps(length: int) -> list[int]:
@@ -380,15 +401,12 @@ def least_documents(data: np.ndarray, size: np.ndarray, least: np.ndarray, lengt
     cut = np.searchsorted(np.cumsum(size), np.linspace(0, size.sum(), shards + 1)[1:-1], "right")
     cut = np.unique(np.concatenate(([0], cut, [len(size)])))
     first = np.concatenate(([0], np.cumsum(size)))
-    transforms = [Transform(data[first[a] : first[b]], size[a:b], set(_steps(length))) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-    z, place, border = merge(transforms, length)
-    where, doc = np.empty(len(data), np.int64), np.full(len(data), _LAST)
-    for k, (t, a) in enumerate(zip(transforms, cut[:-1], strict=True)):
-        own = z == k
-        at = place[own]
-        where[own] = t.rotation[at] + first[a]
-        whole = t.offset[at] + length <= size[a + t.owner[at]]  # others run over the segment's end
-        doc[own] = np.where(whole, least[a + t.owner[at]], _LAST)
+    transforms = [Transform(data[first[a] : first[b]], size[a:b], length) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    place, border = merge(transforms, length)
+    where = np.concatenate([t.rotation + first[a] for t, a in zip(transforms, cut[:-1], strict=True)])[place]
+    owner = np.concatenate([t.owner + a for t, a in zip(transforms, cut[:-1], strict=True)])
+    whole = np.concatenate([t.offset for t in transforms]) + length <= size[owner]  # others run over the segment's end
+    doc = np.where(whole, least[owner], _LAST)[place]
     heads = np.flatnonzero(border)
     out = np.empty(len(data), np.int64)
     out[where] = np.repeat(np.minimum.reduceat(doc, heads), np.diff(np.append(heads, len(data))))
@@ -403,10 +421,11 @@ def _merge_bucket(length: int, shards: int):
             return np.concatenate([_expand(x, dtype, k) for x, k in zip(rows.column(name), counts, strict=True)])
 
         data, size = joined("text", np.uint8, sizes), joined("size", np.int32).astype(np.int64)
-        least, most, group, kind = joined("least", np.int64), joined("most", np.int64), joined("group", np.uint8), joined("kind", np.int32)
+        least, more, group, kind = joined("least", np.int64), joined("most", np.int64), joined("group", np.uint8), joined("kind", np.int32).astype(np.int64)
+        firsts = np.cumsum(n) - n
+        kind = np.cumsum(kind) - np.repeat(np.cumsum(kind)[firsts] - kind[firsts], n)
         home = np.repeat(rows.column("slice").to_numpy(), n)
         start = np.cumsum(size) - size
-        content = Slice(0, data, np.array([0, len(data)])).hashes(start, start + size)
         out, order = [], np.argsort(group, kind="stable")
         filled = np.cumsum(size[order]) // MERGE_BYTES
         # Groups stay whole; as many as fit are merged together.
@@ -414,7 +433,10 @@ def _merge_bucket(length: int, shards: int):
         begins = begins[np.concatenate(([True], filled[begins[1:]] != filled[begins[:-1]]))]
         for a, b in zip(begins, np.append(begins[1:], len(order)), strict=True):
             own = order[a:b]
-            _, head, same = np.unique(content[own], return_index=True, return_inverse=True)
+            text = _gather(data, start[own], size[own])
+            end = np.cumsum(size[own])
+            content = Slice(0, text, np.array([0, len(text)])).hashes(end - size[own], end)
+            _, head, same = np.unique(content, return_index=True, return_inverse=True)
             first = np.full(len(head), _LAST)
             np.minimum.at(first, same, least[own])
             head = own[head]
@@ -432,7 +454,7 @@ def _merge_bucket(length: int, shards: int):
             many = per[same]
             which = np.repeat(top[same], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             row = np.repeat(own, many)
-            useful = doc[begin[which]] < most[row]
+            useful = doc[begin[which]] < least[row] + more[row]
             row, which = row[useful], which[useful]
             out.append((home[row], kind[row], string[begin[which]], run[which], doc[begin[which]]))
         home, kind, string, run, doc = (np.concatenate(x) for x in zip(*out, strict=True))
@@ -455,20 +477,22 @@ _MARK_ROWS = "slice long, n long, kind binary, string binary, run binary, doc bi
 # -- cutting --------------------------------------------------------------------------------------------------------
 
 
-def _covered(packed: Packed, found: Candidates, marks: list[dict]) -> np.ndarray:
+def _covered(packed: Packed, places: dict, marks: list[dict]) -> np.ndarray:
     """Which bytes of a slice go."""
     change = np.zeros(len(packed.text.data) + 1, np.int64)
-    order = np.argsort(found.kind, kind="stable")
-    cuts = np.searchsorted(found.kind[order], np.arange(len(found.head) + 1))
+
+    def read(row: dict, name: str, dtype) -> np.ndarray:
+        return np.frombuffer(pa.decompress(row[name], row["n"] * np.dtype(dtype).itemsize, codec="zstd"), dtype)
+
+    kinds, start, doc = read(places, "kind", np.int32), read(places, "least", np.int64), read(places, "most", np.int64)
+    ids = packed.ids[doc]
     for m in marks:
-        kind, string, run, doc = (
-            np.frombuffer(pa.decompress(m[name], m["n"] * np.dtype(t).itemsize, codec="zstd"), t)
-            for name, t in (("kind", np.int32), ("string", np.int32), ("run", np.int32), ("doc", np.int64))
-        )
-        many = cuts[kind + 1] - cuts[kind]
-        at = order[np.repeat(cuts[kind], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
-        later = np.repeat(doc, many) < packed.ids[found.doc[at]]
-        begin = found.start[at[later]] + np.repeat(string, many)[later]
+        kind, string, run = (read(m, name, np.int32) for name in ("kind", "string", "run"))
+        first = np.searchsorted(kinds, kind)
+        many = np.searchsorted(kinds, kind, "right") - first
+        at = np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        later = np.repeat(read(m, "doc", np.int64), many) < ids[at]
+        begin = start[at[later]] + np.repeat(string, many)[later]
         np.add.at(change, begin, 1)
         np.add.at(change, begin + np.repeat(run, many)[later] + packed.length - 1, -1)
     return np.cumsum(change[:-1]) > 0
@@ -484,14 +508,14 @@ def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
     return np.repeat(whole, np.diff(np.append(heads, len(data))))
 
 
-def _cut(length: int, buckets: int, characters: bool):
+def _cut(length: int, characters: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             packed = Packed(row, length)
             text, marks = packed.text, row["marks"].as_py() or []
             gone = np.zeros(len(text.data), bool)
             if marks:
-                gone = _covered(packed, Candidates(packed, row["replies"], buckets), marks)
+                gone = _covered(packed, row["places"].as_py(), marks)
                 gone = _whole_characters(text.data, gone) if characters else gone
             starts, ends, docs = text.runs(gone)
             cuts = np.searchsorted(docs, np.arange(text.n + 1))
@@ -530,11 +554,11 @@ def remove_repeats(
     shared = told.groupBy("bucket").applyInArrow(_answer_anchors(hot), "slice long, bucket long, shared binary")
     replies = shared.groupBy("slice").agg(F.collect_list(F.struct("bucket", "shared")).alias("replies"))
     replies = written(spark, replies, "replies")
-    answered = packed.join(replies, "slice")
-    segments = answered.mapInArrow(_tell_segments(length, buckets), _SEGMENT_ROWS)
-    marked = segments.groupBy("bucket").applyInArrow(_merge_bucket(length, shards), _MARK_ROWS)
+    segments = written(spark, packed.join(replies, "slice").mapInArrow(_tell_segments(length, buckets), _SEGMENT_ROWS), "segments")
+    marked = segments.where("bucket >= 0").groupBy("bucket").applyInArrow(_merge_bucket(length, shards), _MARK_ROWS)
     marks = marked.groupBy("slice").agg(F.collect_list(F.struct("n", "kind", "string", "run", "doc")).alias("marks"))
-    marks = written(spark, marks.join(replies, "slice"), "marks")
+    places = segments.where("bucket < 0").select("slice", F.struct("n", "kind", "least", "most").alias("places"))
+    marks = written(spark, marks.join(places, "slice"), "marks")
     return packed.join(marks, "slice", "left").mapInArrow(
-        _cut(length, buckets, characters), T.StructType([*others, *RESULT.fields])
+        _cut(length, characters), T.StructType([*others, *RESULT.fields])
     )

@@ -8,7 +8,6 @@ stay small whatever the size of a batch; a longer document is a run of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,14 +47,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-@lru_cache(maxsize=4)
-def _powers(log2: int) -> tuple[np.ndarray, np.ndarray]:
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least the first n powers of the base and of its inverse."""
+
     def up(base: int) -> np.ndarray:
-        out = np.full(1 << log2, base, np.uint64)
+        out = np.full(1 << n.bit_length(), base, np.uint64)
         out[0] = 1
         return np.multiply.accumulate(out)
 
-    return up(_BASE), up(pow(_BASE, -1, 1 << 64))
+    if not _POWERS or len(_POWERS[0]) < n:
+        _POWERS[:] = [up(_BASE), up(pow(_BASE, -1, 1 << 64))]
+    return _POWERS[0], _POWERS[1]
+
+
+def rolling(data: np.ndarray, table: np.ndarray = BYTE_VALUES) -> tuple[np.ndarray, np.ndarray]:
+    """Sums from which any byte range is hashed: ``(total[end] - total[start]) * inverse[start]``."""
+    powers, inverse = _powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(table[data] * powers[: len(data)], out=total[1:])
+    return total, inverse
 
 
 class Slice:
@@ -88,10 +101,7 @@ class Slice:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
         """A 64-bit hash of each byte range; ``fold`` reads A-Z as a-z."""
-        powers, inverse = _powers(max(1, int(len(self.data)).bit_length()))
-        table = BYTE_VALUES[LOWER] if fold else BYTE_VALUES
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(table[self.data] * powers[: len(self.data)], out=total[1:])
+        total, inverse = rolling(self.data, BYTE_VALUES[LOWER] if fold else BYTE_VALUES)
         return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _ODD)
 
 
