@@ -6,14 +6,18 @@ posted in lists. Two documents whose sets have the similarity sought agree in
 nearly all coordinates, so a pair must meet in ``MATCHES`` of them at least
 (of 64, for a similarity of 0.8 fewer than 34 agree once in 10^7 pairs).
 
-Pairs nobody shares are dropped first, and with them every document that has
-too few left. Of the rest a document posts only a prefix, its rarest ones: two
-documents with enough collisions meet in their prefixes at least once. Lists
-are merged with skips. First each document is held against the smallest one of
-each of its lists only; then, components known, only against documents of other
-components. That drops no link between components, and a list of copies costs
-its length, not its square. What passes the count of collisions is confirmed on
-the full sets, and components of confirmed links are the classes.
+Coordinate values nobody shares are dropped first, and with them every document
+that has too few left. Of the rest a document posts only a prefix, its rarest
+ones: two documents with enough collisions meet in their prefixes at least
+once. Lists are merged with skips, in two passes. First each document is held
+only against the most central one of each of its lists, the one with the most
+widely shared signature; most copies are linked then. In the second pass only
+lists that hold several components count, and in them a document skips to those
+of other components that share one of its rarest shingles: of sets so similar
+that must be so, however the documents between are linked. So no link between
+components is lost, and neither a list of copies nor one of half-copies costs
+its square. What passes the count of collisions is confirmed on the full sets,
+and components of confirmed links are the classes.
 
 Documents with equal sets are one class from the start, however many they are;
 the smallest stands for them. Documents without words (NULL or empty texts) and
@@ -135,12 +139,15 @@ def near_duplicates(
         ranked.join(sizes, "rep").select(
             "rep", "n_shingles", F.col("ranked.token").alias("tokens"),
             F.slice("ranked.token", F.lit(1), F.size("ranked") - MATCHES + 1).alias("prefix"),
+            F.expr("aggregate(ranked.n, 0D, (x, n) -> x + ln(n))").alias("spread"),
         ),
         "indexed",
     )
-    lists = indexed.select("rep", "n_shingles", F.explode("prefix").alias("token"))
-    heads = written(spark, lists.groupBy("token").agg(F.min("rep").alias("head")), "heads")
-    stars = lists.join(heads, "token").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))
+    lists = indexed.select("rep", "n_shingles", "spread", F.explode("prefix").alias("token"))
+    heads = lists.groupBy("token").agg(F.max(F.struct("spread", -F.col("rep"))).alias("head"))
+    heads = written(spark, heads.select("token", (-F.col("head.col2")).alias("head")), "heads")
+    stars = lists.join(heads, "token").where("rep <> head")
+    stars = stars.select(F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b"))
     stars = written(spark, _colliding(stars.distinct(), indexed, similarity), "stars")
     texts = texts.withColumnRenamed("doc_id", "rep").join(indexed.select("rep"), "rep", "left_semi")
     sets = texts.selectExpr("rep as doc_id", "text").mapInArrow(_shingle_sets(shingle), "rep long, shingles binary")
@@ -151,7 +158,7 @@ def near_duplicates(
     placed = written(
         spark, placed.select("rep", "n_shingles", "prefix", F.coalesce("component", "rep").alias("component")), "placed"
     )
-    rest = _colliding(_across(placed, similarity), indexed, similarity)
+    rest = _colliding(_across(spark, placed, sets, similarity), indexed, similarity)
     rest = rest.join(stars, ["a", "b"], "left_anti")
     more = _links(spark, written(spark, rest, "rest"), sets, similarity)
     every = links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -175,18 +182,40 @@ def _colliding(pairs: DataFrame, indexed: DataFrame, similarity: int) -> DataFra
     return found.where(fits).where(F.size(F.array_intersect("t_a", "t_b")) >= MATCHES).select("a", "b")
 
 
-def _across(placed: DataFrame, similarity: int) -> DataFrame:
-    """Pairs that share a posted token and lie in different components."""
-    lists = placed.select("rep", "n_shingles", "component", F.explode("prefix").alias("token"))
-    # Lists within one component have nothing to tell.
+def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rep, found in zip(column(batch, "rep"), column(batch, "shingles"), strict=True):
+            own = np.frombuffer(found.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), rep.as_py())), pa.array(own)], ["rep", "shingle"])
+
+
+def _across(spark: SparkSession, placed: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of different components, from lists that hold both, that share one of their rarest shingles."""
+    lists = placed.select("rep", "component", F.explode("prefix").alias("token"))
     mixed = lists.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.where("low <> high").select("token")
-    left, right = lists.alias("l"), lists.alias("r")
-    met = left.join(mixed, "token", "left_semi").join(
+    mixed = written(spark, mixed.where("low <> high").select("token"), "mixed")
+    involved = written(spark, lists.join(mixed, "token", "left_semi").select("rep").distinct(), "involved")
+    own = sets.join(involved, "rep", "left_semi").mapInArrow(_explode_sets, "rep long, shingle long")
+    own = written(spark, own, "shingles")
+    common = written(spark, own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "common")
+    # Shingles of one document only come first in the order: they take the first places and join with nothing.
+    shared = own.join(common, "shingle").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("ranked"))
+    docs = placed.select("rep", "n_shingles", "component")
+    posted = shared.join(docs, "rep").select(
+        "rep", "n_shingles", "component", F.size("ranked").alias("shared"),
+        F.posexplode("ranked.shingle").alias("at", "shingle"),
+    )
+    posted = posted.withColumn("at", F.col("at") + F.col("n_shingles") - F.col("shared"))
+    posted = posted.where(f"100 * at <= {100 - similarity} * n_shingles").drop("shared")
+    left, right = posted.alias("l"), posted.alias("r")
+    both = "(l.n_shingles + r.n_shingles)"
+    # Shared shingles that the similarity asks for; one of them has a place this early in both.
+    least = f"ceil({similarity} * {both} / {100 + similarity}.0)"
+    met = left.join(
         right,
         F.expr(
-            "l.token = r.token and l.rep < r.rep and l.component <> r.component and "
-            f"100 * least(l.n_shingles, r.n_shingles) >= {similarity} * greatest(l.n_shingles, r.n_shingles)"
+            "l.shingle = r.shingle and l.rep < r.rep and l.component <> r.component and "
+            f"l.at <= l.n_shingles - {least} and r.at <= r.n_shingles - {least}"
         ),
     )
     return met.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
