@@ -140,30 +140,37 @@ def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
     return np.array(vectors.flatten()).reshape(len(vectors), dim)
 
 
-def _blocks(index: Centroids, dim: int, choose, per_block: int):
-    """Lists of (list, ids, vectors), a block at a time, of the vectors in some batches."""
+def _placed(index: Centroids, dim: int, choose):
+    """(list, id, vector) for every list that ``choose`` gives a vector."""
 
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, x = np.array(column(batch, "vec_id")), _matrix(column(batch, "embedding"), dim)
             lists = [choose(index, v) for v in _unit(x)]
             which = np.repeat(np.arange(len(ids)), [len(c) for c in lists])
             where = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-            order = np.argsort(where, kind="stable")
-            which, where = which[order], where[order]
-            begin = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1]))) if len(where) else []
-            out = []
-            for a, b in zip(begin, np.append(begin[1:], len(where)) if len(begin) else [], strict=True):
-                for c in range(a, b, per_block):
-                    own = which[c : min(b, c + per_block)]
-                    out.append((int(where[a]), ids[own].tobytes(), x[own].tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out]), pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] for o in out], pa.binary())],
-                    ["list", "ids", "vectors"],
-                )
-
-    return dealt
+            raw = [v.tobytes() for v in x]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(where.astype(np.int64)), pa.array(ids[which]), pa.array([raw[i] for i in which], pa.binary())],
+                ["list", "vec_id", "vector"],
+            )
+
+    return place
+
+
+def _blocks(spark: SparkSession, placed: DataFrame, per_block: int) -> DataFrame:
+    """The rows of each list in blocks of about ``per_block``, dealt by a hash of their ids: (list, ids, vectors)."""
+    placed = written(spark, placed, "placed")
+    sizes = written(spark, placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")), "list-sizes")
+    block = F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n") / per_block))
+
+    def pack(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("vec_id")
+        joined = b"".join(v.as_py() for v in rows.column("vector"))
+        return pa.table({"list": rows.column("list").slice(0, 1), "ids": [rows.column("vec_id").to_numpy().tobytes()], "vectors": [joined]})
+
+    dealt = placed.join(sizes, "list").select("list", block.alias("block"), "vec_id", "vector")
+    return written(spark, dealt.groupBy("list", "block").applyInArrow(pack, "list long, ids binary, vectors binary"), "blocks")
 
 
 def _best(dim: int, k: int):
@@ -206,10 +213,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int) -
     if not len(x):
         x = np.eye(1, dim)
     index = Centroids(x, max(1, min(CENTROIDS, number // PER_CENTROID, len(x))))
-    block = "list long, ids binary, vectors binary"
-    posted = written(spark, rows.mapInArrow(_blocks(index, dim, Centroids.post, BLOCK), block), "postings")
-    asked = rows.where(is_query).mapInArrow(_blocks(index, dim, Centroids.select, QUERY_BLOCK), block)
-    asked = written(spark, asked.select("list", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")), "queries")
+    schema = "list long, vec_id long, vector binary"
+    posted = _blocks(spark, rows.mapInArrow(_placed(index, dim, Centroids.post), schema), BLOCK)
+    asked = _blocks(spark, rows.where(is_query).mapInArrow(_placed(index, dim, Centroids.select), schema), QUERY_BLOCK)
+    asked = asked.select("list", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     found = posted.join(asked, "list").mapInArrow(_best(dim, k), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.expr("row_number() over (partition by query_id order by score desc, vec_id)")
