@@ -11,7 +11,8 @@ nearest examples are its evidence.
 
 At most about ``PER_CLASS`` examples of each label are kept, chosen by a hash
 of their ids. A text with no term of the vocabulary, as NULL and empty texts
-are, gets the score of examples without one. Without labelled rows, or with
+are, gets the score of examples without one, but always under a half: nothing
+speaks against it. Without labelled rows, or with
 one label only, every score is 0 or that label. An id labelled twice counts as
 toxic if any label says so. Repeated rows get equal results, ties between
 examples go to the smaller id; an empty table gives an empty result. Input
@@ -41,6 +42,7 @@ NEIGHBOURS = 15
 BLOCK = 64
 EVIDENCE = 5
 SMOOTH = 1.0
+UNDECIDED = 0.49
 
 RESULT = T.StructType([
     T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
@@ -101,7 +103,7 @@ class BlockMaxIndex:
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> None:
         # Like examples lie together, so that a block has few terms and sharp bounds.
-        order = np.lexsort((ids, labels, vectors.argmax(axis=1)))
+        order = np.lexsort((ids, labels, vectors.argmax(axis=1) if vectors.size else ids))
         self.ids, self.labels = ids[order], labels[order]
         vectors = vectors[order]
         self.blocks = []
@@ -155,6 +157,8 @@ class Model:
 
     def votes(self, vectors: np.ndarray, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows, cosine = self.index.nearest(vectors, NEIGHBOURS, without)
+        if not self.index.blocks:
+            return np.full(len(vectors), self.blank), rows, cosine
         weight = np.where(rows >= 0, 1 / (1.05 - np.clip(cosine, 0, 1)), 0.0)
         toxic = np.where(rows >= 0, self.index.labels[rows], 0)
         vote = ((weight * toxic).sum(axis=1) + SMOOTH * self.prior) / (weight.sum(axis=1) + SMOOTH)
@@ -283,6 +287,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     vectors = _tfidf(model.vocabulary.counts(part), model.idf)
                     vote, near, cosine = model.votes(vectors)
                     scores = model.score(vote)
+                    scores = np.where(vectors.any(axis=1), scores, np.minimum(scores, UNDECIDED))
                     evidence = [
                         [
                             {"doc_id": int(model.index.ids[r]), "toxic": int(model.index.labels[r]), "similarity": float(s)}
