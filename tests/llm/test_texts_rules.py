@@ -33,8 +33,7 @@ def test_base_figures(spark, odd):
 
 
 def test_lines_are_cleaned_first(spark, none):
-    body = "This is a proper sentence that has more than ten words in it, number {}.\n"
-    good = "".join(body.format(i) for i in range(5))
+    good = "".join(" ".join(f"word{i}x{j}" for j in range(12)) + ".\n" for i in range(5))
     docs = [(1, good), (2, good + "Home | News | Contact | About\nshort tail"), (3, "We use cookies.\n" * 3 + "\n".join(f"menu {i}" for i in range(60)))]
     got = {r.doc_id: r for r in quality.line_first(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got[1].kept and got[1].cleaned_text == good and got[1].n_lines_removed == 0
