@@ -5,6 +5,8 @@ Row data never passes through here; it is read and written by Spark jobs.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -41,7 +43,7 @@ def write_text_once(spark: SparkSession, path: str, text: str) -> None:
     if fs.exists(target):
         raise FileExistsError(path)
     # Spark does not list names that begin with a dot, so a leftover draft is never read.
-    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.draft")
+    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}.draft")
     stream = fs.create(draft, True)
     try:
         stream.write(bytearray(text, "utf-8"))

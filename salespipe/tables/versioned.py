@@ -1,24 +1,27 @@
 """A table of which every write is a version, kept as plain parquet folders.
 
-``<root>/data/version=N`` holds the rows that version N added or rewrote, and
-``<root>/commits/N.json`` lists the folders ("parts") that make up the table at
-N. The commit file is written last and by rename, so a job that dies half way
-leaves no version behind, and its retry replaces the half-written folder.
+``<root>/data/version=N-<attempt>`` holds the rows that version N added or
+rewrote, and ``<root>/commits/N.json`` lists the folders ("parts") that make up
+the table at N. The commit file is written last and by rename, so a job that
+dies half way leaves no version behind. Every attempt has a folder of its own:
+of two writers of one version the second fails, and its rows are in no version.
 
 An append writes its own rows only. Delete, update and upsert rewrite only the
 parts that hold rows they touch; with ``buckets`` a version is split by a hash
 of the key into ``bucket_id=B`` parts, which is what keeps a small upsert
-into a big table small. One writer per table at a time.
+into a big table small. Without buckets an upsert looks for the parts that hold
+its keys first.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +32,12 @@ from salespipe.sources import storage
 BUCKET = "bucket_id"
 DEFAULT_RETENTION_HOURS = 7 * 24
 
+# The parts of a version are left out: together they grow with the square of the commits.
 HISTORY_SCHEMA = (
     "version long, committed_at timestamp, operation string, params map<string,string>, rows long, "
-    "schema string, parts array<struct<path:string,rows:long>>, query_id string, batch_id long"
+    "schema string, query_id string, batch_id long"
 )
+_PART = r"/data/((?:version=[^/]+)(?:/bucket_id=\d+)?)/[^/]+$"
 
 
 class SchemaMismatch(ValueError):
@@ -261,7 +266,10 @@ class VersionedTable:
         facts = changes.inspect_source(source, keys, self._bucket(head) if by_bucket else None)
         if not facts.rows:
             return head.version
-        touched = [p for p in head.paths if not by_bucket or _bucket_of(p) in facts.buckets]
+        if by_bucket:
+            touched = [p for p in head.paths if _bucket_of(p) in facts.buckets]
+        else:
+            touched = self._parts_with(head, source, keys, changes.may_broadcast(facts, options))
         halves = changes.merge_parts(self._scan(head, touched), source, keys, facts=facts, **options)
         if not head.buckets:
             rows = halves.kept.unionByName(halves.inserted)
@@ -300,17 +308,23 @@ class VersionedTable:
             raise ValueError(f"retention of {retain_hours} h is below {DEFAULT_RETENTION_HOURS} h; pass check=False")
         now = now or dt.datetime.now(dt.timezone.utc)
         head = self._commit()
-        cutoff = F.lit(_utc(now) - dt.timedelta(hours=retain_hours))
-        commits = self.history()
-        listed = commits.select("version", F.explode("parts.path").alias("path")).groupBy("path")
-        left = listed.agg((F.max("version") + 1).alias("version")).join(
-            commits.select("version", "committed_at"), "version"
-        )
-        stale = [r["path"] for r in left.filter(F.col("committed_at") <= cutoff).select("path").sort("path").collect()]
-        current = set(head.paths)
-        gone = [p for p in stale if p not in current and storage.exists(self.spark, self._data(p))]
-        for path in gone:
-            storage.delete_folder(self.spark, self._data(path))
+        cutoff = _utc(now) - dt.timedelta(hours=retain_hours)
+        # Versions in force at the cutoff or later keep their parts; those in
+        # force when it came are the newest of the older ones.
+        log = self.history().select("version", "committed_at")
+        first = log.filter(F.col("committed_at") <= F.lit(cutoff)).agg(F.max("version")).first()[0] or 0
+        kept = {path for version in range(first, head.version + 1) for path in self._commit(version).paths}
+        gone = []
+        for folder in storage.list_names(self.spark, self._data("")):
+            # A folder of a version yet to come may be another writer's work.
+            if int(folder.removeprefix("version=").split("-")[0]) > head.version:
+                continue
+            parts = [f"{folder}/{n}" for n in storage.list_names(self.spark, self._data(folder)) if n.startswith(BUCKET)]
+            parts = parts or [folder]
+            stale = [p for p in parts if p not in kept]
+            for path in [folder] if stale == parts else stale:
+                storage.delete_folder(self.spark, self._data(path))
+            gone += stale
         commit = self._next(head, "VACUUM", head.parts, retainHours=str(retain_hours), removed=str(len(gone)))
         self._publish(commit, now)
         return gone
@@ -349,7 +363,10 @@ class VersionedTable:
         return Commit(**json.loads(storage.read_text(self.spark, self._file(version))))
 
     def _require_parts(self, commit: Commit) -> None:
-        gone = [p for p in commit.paths if not storage.exists(self.spark, self._data(p))]
+        folders = {p.split("/")[0] for p in commit.paths}
+        there = {n for f in folders for n in (f, *(f"{f}/{x}" for x in storage.list_names(self.spark, self._data(f))))}
+        there -= {f for f in folders if not storage.exists(self.spark, self._data(f))}
+        gone = [p for p in commit.paths if p not in there]
         if gone:
             raise VersionRetired(f"version {commit.version} was vacuumed: {len(gone)} of its parts are gone")
 
@@ -371,13 +388,14 @@ class VersionedTable:
 
     def _write(self, head: Commit, rows: DataFrame) -> list[dict]:
         """Write the parts of the version after ``head``; says which hold rows, and how many."""
-        folder = f"version={head.version + 1}"
-        writer = changes.require_not_null(rows, head.not_null).write.mode("overwrite")
-        (writer.partitionBy(BUCKET) if head.buckets else writer).parquet(self._data(folder))
+        folder = f"version={head.version + 1}-{uuid.uuid4().hex[:12]}"
+        checked = changes.require_not_null(rows, head.not_null)
         if not head.buckets:
-            # Counting reads the file footers only.
-            count = self._scan(head, [folder]).count()
+            seen = Observation()
+            checked.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(self._data(folder))
+            count = seen.get["rows"]
             return [{"path": folder, "rows": count}] if count else []
+        checked.write.partitionBy(BUCKET).parquet(self._data(folder))
         if not any(n.startswith(BUCKET) for n in storage.list_names(self.spark, self._data(folder))):
             return []
         counts = self.spark.read.schema(T.StructType([*head.struct.fields, T.StructField(BUCKET, T.IntegerType())]))
@@ -387,9 +405,7 @@ class VersionedTable:
     def _rewrite(self, operation: str, condition, change, now) -> int:
         """Replace the parts that hold rows of the condition; carry the others over."""
         head = self._commit()
-        touched = head.paths
-        if len(touched) > 1:
-            touched = self._parts_where(head, condition)
+        touched = self._parts_where(head, condition)
         parts = []
         if touched:
             rows = change(self._scan(head, touched))
@@ -403,10 +419,22 @@ class VersionedTable:
 
     def _parts_where(self, head: Commit, condition) -> list[str]:
         """Parts with a row of the condition: a scan of the condition's columns only."""
+        if not head.paths:
+            return []
         matching = self._scan(head, head.paths).filter(F.expr(condition) if isinstance(condition, str) else condition)
-        part = F.regexp_extract("_metadata.file_path", r"/data/((?:version=\d+)(?:/bucket_id=\d+)?)/[^/]+$", 1)
+        part = F.regexp_extract("_metadata.file_path", _PART, 1)
         return sorted(r[0] for r in matching.select(part).distinct().collect())
 
+    def _parts_with(self, head: Commit, source: DataFrame, keys: list[str], small: bool) -> list[str]:
+        """Parts with a key of the source: a scan of the key columns only."""
+        if not head.paths:
+            return []
+        part = F.regexp_extract("_metadata.file_path", _PART, 1).alias("__part")
+        target = self._scan(head, head.paths).select(part, *[F.col(f"`{k}`") for k in keys])
+        wanted = source.select(*keys).distinct()
+        hits = target.join(F.broadcast(wanted) if small else wanted, keys, "left_semi")
+        return sorted(r[0] for r in hits.select("__part").distinct().collect())
+
     def _has_batch(self, head: Commit, batch: tuple[str, int]) -> bool:
         return head.batches.get(batch[0], -1) >= batch[1]
 
