@@ -97,6 +97,11 @@ def align_source(target: T.StructType, source: DataFrame, missing: str = "error"
     return conform(source, shared, cast=cast)
 
 
+def may_broadcast(facts: SourceFacts, options: dict) -> bool:
+    """Whether ``merge_parts`` with these options broadcasts such a source."""
+    return fits_broadcast(facts.rows, facts.size, options.get("broadcast_limit", BROADCAST_LIMIT))
+
+
 @dataclass(frozen=True)
 class MergeParts:
     """The two halves of an upsert result, and how the source was joined."""
@@ -225,14 +230,6 @@ def update_where(df: DataFrame, values: dict[str, object], condition: Column | s
     return df.select(*columns)
 
 
-# --------------------------------------------------------------------- append
-
-
-def append_evolving(df: DataFrame, rows: DataFrame) -> DataFrame:
-    """Union by name; columns missing on either side are NULL there."""
-    return df.unionByName(rows, allowMissingColumns=True)
-
-
 # ---------------------------------------------------------------- change feed
 
 
@@ -249,30 +246,36 @@ def change_feed(before: DataFrame, after: DataFrame, keys: str | list[str]) -> D
 
     ``_change`` is insert, update or delete; a deleted row shows its old
     values, an updated row its new ones. Columns compare NULL-safe. Rows with a
-    NULL key match nothing; a table with repeated keys needs ``row_difference``.
+    NULL key match nothing: they are deletes and inserts, and stay out of the
+    joins, where they would all meet in one task. A key that repeats fails the
+    job; such tables need ``row_difference``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     old, new = _same_columns(before, after)
     names = old.columns
-    old = old.select(*[F.col(f"`{c}`").alias(f"__o_{c}") for c in names], F.lit(True).alias("__o"))
-    new = new.select(*[F.col(f"`{c}`").alias(f"__n_{c}") for c in names], F.lit(True).alias("__n"))
-    on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(f"`__o_{k}`") == F.col(f"`__n_{k}`"))
-    both = old.join(new, on, "full_outer")
+    was, now = _one_per_key(old, keys, "__o"), _one_per_key(new, keys, "__n")
     differs = F.lit(False)
     for c in names:
         if c not in keys:
-            differs = differs | ~F.col(f"`__o_{c}`").eqNullSafe(F.col(f"`__n_{c}`"))
-    change = (
-        F.when(F.col("__o").isNull(), "insert")
-        .when(F.col("__n").isNull(), "delete")
-        .when(differs, "update")
+            differs = differs | ~F.col(f"__o.`{c}`").eqNullSafe(F.col(f"__n.`{c}`"))
+    change = F.when(F.col("__o").isNull(), "insert").when(differs, "update")
+    # Both sides are already distributed by key, one row each.
+    here = now.join(was, keys, "left").withColumn(CHANGE, change).filter(F.col(CHANGE).isNotNull())
+    gone = was.join(now.select(*keys), keys, "left_anti")
+    return (
+        here.select("__n.*", CHANGE)
+        .unionByName(gone.select("__o.*", F.lit("delete").alias(CHANGE)))
+        .unionByName(new.filter(~_keys_set(keys)).withColumn(CHANGE, F.lit("insert")))
+        .unionByName(old.filter(~_keys_set(keys)).withColumn(CHANGE, F.lit("delete")))
     )
-    picked = [
-        F.when(F.col("__n").isNotNull(), F.col(f"`__n_{c}`")).otherwise(F.col(f"`__o_{c}`")).alias(c) for c in names
-    ]
-    return both.withColumn(CHANGE, change).filter(F.col(CHANGE).isNotNull()).select(*picked, CHANGE)
+
+
+def _one_per_key(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Keys and the whole row as a struct; the job fails where a key has several rows."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    found = df.filter(_keys_set(keys)).groupBy(*keys).agg(F.first(row).alias(name), F.count(F.lit(1)).alias("__copies"))
+    stop = F.raise_error(F.concat(F.lit(f"repeated key {keys}: "), F.to_json(F.struct(*keys)))).cast(found.schema[name].dataType)
+    return found.select(*keys, F.when(F.col("__copies") > 1, stop).otherwise(F.col(name)).alias(name))
 
 
 def row_difference(before: DataFrame, after: DataFrame) -> DataFrame:

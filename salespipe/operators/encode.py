@@ -10,32 +10,15 @@ from salespipe.session import ensure_checkpoint_dir
 
 NULL_CODE = -1
 
-# Up to this many distinct values are ranked by one small window.
-SMALL_VOCABULARY = 100_000
 
+def category_vocabulary(df: DataFrame, column: str, code: str) -> tuple[DataFrame, bool]:
+    """((value, code) with codes 0..n-1 in sorted order, whether it may be broadcast).
 
-def category_vocabulary(
-    df: DataFrame, column: str, code: str, *, small: int = SMALL_VOCABULARY
-) -> tuple[DataFrame, bool]:
-    """((value, code) with codes 0..n-1 in sorted order, whether it may be broadcast)."""
-    known = df.select(column).filter(F.col(column).isNotNull())
-    values = known.distinct()
-    # An estimate without a shuffle tells which way to go; only the way with few
-    # values has to know the exact number, and for few values it is cheap.
-    estimate = known.agg(F.approx_count_distinct(column)).first()[0]
-    if estimate <= 1.5 * small:
-        rows, size = measure(values)
-        if rows <= small:
-            # Bounded by the count above: one task ranks at most `small` values.
-            rank = F.row_number().over(Window.orderBy(column)) - 1
-            return values.select(column, rank.cast("long").alias(code)), fits_broadcast(rows, size)
-    coded = _rank_by_ranges(values, column, code)
-    return coded, fits_broadcast(*measure(coded))
-
-
-def _rank_by_ranges(values: DataFrame, column: str, code: str) -> DataFrame:
-    """Rank distinct values of any number: sorted ranges, numbered inside, then shifted."""
-    ensure_checkpoint_dir(values.sparkSession)
+    Distinct values are found once and kept; sorted ranges of them are numbered
+    inside and then shifted, so no task sees them all, however many there are.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct().checkpoint()
     placed = (
         values.repartitionByRange(column)
         .sortWithinPartitions(column)
@@ -53,16 +36,15 @@ def _rank_by_ranges(values: DataFrame, column: str, code: str) -> DataFrame:
     sizes = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    return placed.join(F.broadcast(starts), "__range").select(
+    coded = placed.join(F.broadcast(starts), "__range").select(
         column, (F.col("__start") + F.col("__at")).alias(code)
     )
+    return coded, fits_broadcast(*measure(values))
 
 
-def category_codes(
-    df: DataFrame, column: str, code: str | None = None, *, small: int = SMALL_VOCABULARY
-) -> DataFrame:
+def category_codes(df: DataFrame, column: str, code: str | None = None) -> DataFrame:
     """Add the code of ``column``; NULL gets -1."""
     code = code or f"{column}_code"
-    vocabulary, may_broadcast = category_vocabulary(df, column, code, small=small)
+    vocabulary, may_broadcast = category_vocabulary(df, column, code)
     coded = df.join(F.broadcast(vocabulary) if may_broadcast else vocabulary, column, "left")
     return coded.select(*df.columns, F.coalesce(F.col(code), F.lit(NULL_CODE)).cast("long").alias(code))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +45,7 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None, fill: fl
     if fill is None:
         halves = _pairwise_correlations(values, pairs)
     else:
-        halves = _centred_correlations(values.na.fill(float(fill)), names, pairs)
+        halves = _centred_correlations(values.na.fill(float(fill)), names)
     mirrored = F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y", "r"))).otherwise(
         F.array(F.struct("x", "y", "r"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
     )
@@ -65,34 +67,42 @@ def _as_cells(sums: DataFrame, pairs: list, r: Callable[[int], Column]) -> DataF
     return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
 
 
-def _centred_correlations(values: DataFrame, names: list[str], pairs: list) -> DataFrame:
+def _centred_correlations(values: DataFrame, names: list[str]) -> DataFrame:
     """Means first (three numbers per column come to the driver), then the sums
-    of products of the centred columns; that order of work loses no digits."""
+    of products of the centred columns; that order of work loses no digits.
+
+    Two passes for any number of columns: a task multiplies its batches as
+    matrices and gives one row for each pair.
+    """
     found = values.agg(
         *[F.avg(f"`{c}`").alias(f"m_{i}") for i, c in enumerate(names)],
         *[F.min(f"`{c}`").alias(f"a_{i}") for i, c in enumerate(names)],
         *[F.max(f"`{c}`").alias(f"b_{i}") for i, c in enumerate(names)],
     ).first()
-
-    def centred(i: int) -> Column:
-        if found[f"a_{i}"] == found[f"b_{i}"]:
-            # Constant: its spread is nothing, not the rounding error of its mean.
-            return F.lit(None).cast("double")
-        return F.col(f"`{names[i]}`") - F.lit(found[f"m_{i}"])
-
-    deviations = values.select(*[centred(i).alias(f"d_{i}") for i in range(len(names))])
-    at = {c: F.col(f"d_{i}") for i, c in enumerate(names)}
-
-    def job(group: list) -> DataFrame:
-        seen = {c: f"v_{i}" for i, c in enumerate(sorted({c for pair in group for c in pair}))}
-        sums = deviations.agg(
-            *[F.sum(at[x] * at[y]).alias(f"c_{i}") for i, (x, y) in enumerate(group)],
-            *[F.sum(at[c] * at[c]).alias(v) for c, v in seen.items()],
-        )
-        spread = lambda x, y: F.sqrt(F.col(seen[x])) * F.sqrt(F.col(seen[y]))
-        return _as_cells(sums, group, lambda i: F.try_divide(F.col(f"c_{i}"), spread(*group[i])))
-
-    return _in_groups(pairs, 45, job)
+    # Constant: its spread is nothing, not the rounding error of its mean.
+    varies = [i for i in range(len(names)) if found[f"a_{i}"] != found[f"b_{i}"]]
+    means = np.array([found[f"m_{i}"] for i in varies], float)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(varies), len(varies)))
+        for batch in batches:
+            x = np.array([np.asarray(c) for c in batch.columns]).reshape(len(varies), -1) - means[:, None]
+            total += x @ x.T
+        i, j = np.triu_indices(len(varies))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], ["i", "j", "s"])
+
+    pairs = [(x, y) for k, x in enumerate(names) for y in names[k:]]
+    at = {names[i]: k for k, i in enumerate(varies)}
+    listed = values.sparkSession.createDataFrame([(x, y, at.get(x), at.get(y)) for x, y in pairs], "x string, y string, i long, j long")
+    if not varies:
+        return listed.select("x", "y", F.lit(None).cast("double").alias("r"))
+    columns = values.select(*[F.col(f"`{names[i]}`") for i in varies])
+    sums = columns.mapInArrow(products, "i long, j long, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    # One row per column; the number of columns bounds every side of these joins.
+    own = F.map_from_entries(F.collect_list(F.when(F.col("i") == F.col("j"), F.struct("i", F.sqrt("s")))))
+    spread = F.broadcast(sums.filter("i = j").agg(own.alias("spread")))
+    r = F.try_divide(F.col("s"), F.col("spread")[F.col("i")] * F.col("spread")[F.col("j")])
+    return listed.join(sums, ["i", "j"], "left").join(spread, F.lit(True), "left").select("x", "y", r.alias("r"))
 
 
 def _pairwise_correlations(values: DataFrame, pairs: list) -> DataFrame:

@@ -58,7 +58,7 @@ def enrich_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enrich_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     some = customers(spark, sf_dir).filter("c_mktsegment = 'BUILDING'")
     orders = load(spark, sf_dir, "orders").select(*ORDER_STATE)
-    joined = join_lookup(orders, some, "o_custkey", salt=4)
+    joined = join_lookup(orders, some, "o_custkey", salt=4, salt_by="o_orderkey")
     return enrich(joined, (nations(spark, sf_dir), "c_nationkey")).select(*ENRICHED)
 
 
@@ -276,7 +276,7 @@ def category_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_CODES.format(key="c_custkey", value="c_name", table="customer"))
 def category_codes_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return add_category_codes(names, "c_name", "code", small=100).drop("c_name")
+    return add_category_codes(names, "c_name", "code").drop("c_name")
 
 
 @query("SELECT c_custkey, regexp_replace(c_name, '\\W+', '_', 'g') AS name FROM customer")

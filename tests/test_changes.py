@@ -96,6 +96,17 @@ def test_change_feed(spark, rows):
     assert (1, "a", 1, "update") in rows(changes.change_feed(before, wider, "k"))
 
 
+def test_change_feed_keeps_null_keys_out_of_its_joins(spark, rows):
+    before = spark.createDataFrame([(1, "a"), (None, "x"), (None, "y")], "k int, v string")
+    after = spark.createDataFrame([(1, "b"), (None, "x")], "k int, v string")
+    feed = changes.change_feed(before, after, "k")
+    assert rows(feed) == [(None, "x", "delete"), (None, "x", "insert"), (None, "y", "delete"), (1, "b", "update")]
+    assert "FullOuter" not in feed._jdf.queryExecution().executedPlan().toString()
+    for old, new in ((before, after.union(after)), (before.union(before), after)):
+        with pytest.raises(Exception, match="repeated key"):
+            changes.change_feed(old, new, "k").collect()
+
+
 def test_row_difference(spark, rows):
     before = spark.createDataFrame([(1,), (1,), (2,), (None,)], "v int")
     after = spark.createDataFrame([(1,), (3,), (3,), (None,)], "v int")

@@ -59,15 +59,17 @@ def test_lookups_drop_unmatched_rows_and_keep_the_key_once(spark, sales, rows):
     got = enrich(sales, (names, "k"), (towns, ["k"]))
     assert got.columns == ["k", "t", "v", "name", "town"]
     assert rows(got, "k", "v", "town") == [(1, "a", "x"), (1, "b", "x"), (1, "c", "x")]
-    assert rows(join_lookup(sales, names, "k", salt=3)) == rows(join_lookup(sales, names, "k"))
+    assert rows(join_lookup(sales, names, "k", salt=3, salt_by="v")) == rows(join_lookup(sales, names, "k"))
 
 
-def test_salting_splits_even_equal_rows(spark):
-    hot = spark.range(8000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+def test_salting_splits_a_key(spark):
+    hot = spark.range(8000).select(F.lit(1).alias("k"), "id")
     names = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = join_lookup(hot, names.hint("merge"), "k", salt=8)
+        joined = join_lookup(hot, names.hint("merge"), "k", salt=8, salt_by="id")
+        with pytest.raises(ValueError, match="salt_by"):
+            join_lookup(hot, names, "k", salt=8)
         assert joined.count() == 8000
         assert joined.select(F.spark_partition_id().alias("p")).distinct().count() > 1
     finally:
@@ -78,15 +80,15 @@ def test_category_codes(spark, rows):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(["c", "a", "0", None, "a"])], "i int, v string")
     wanted = [(0, 2), (1, 1), (2, 0), (3, -1), (4, 1)]
     assert rows(category_codes(df, "v", "code"), "i", "code") == wanted
-    assert rows(category_codes(df, "v", "code", small=0), "i", "code") == wanted
     assert category_codes(df, "v").columns == ["i", "v", "v_code"]
 
 
 def test_category_codes_of_many_values(spark):
     df = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("v"))
-    a, b = category_codes(df, "v", "c"), category_codes(df, "v", "c", small=10)
-    assert a.exceptAll(b).count() == 0
-    assert b.agg(F.min("c"), F.max("c"), F.count_distinct("c")).first()[:] == (0, 4999, 5000)
+    coded = category_codes(df, "v", "c")
+    assert coded.agg(F.min("c"), F.max("c"), F.count_distinct("c")).first()[:] == (0, 4999, 5000)
+    order = [r.c for r in coded.orderBy("v").collect()]
+    assert order == list(range(5000))
 
 
 def test_null_counts(spark, rows):
@@ -113,6 +115,16 @@ def test_correlation_without_ansi(spark, rows, ansi_off):
     check_constant_column(spark, rows)
 
 
+def test_correlations_take_two_passes_for_any_number_of_columns(spark):
+    wide = spark.range(200).select(*[((F.col("id") * (i + 3)) % 101 + i).alias(f"c{i}") for i in range(40)])
+    matrix = profile.correlation_matrix(wide)
+    # The means came with the call; what is left reads the rows once.
+    assert matrix._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 2, "cells, and spreads from the same sums"
+    got = {(r.x, r.y): r.r for r in matrix.collect()}
+    exact = wide.toPandas().corr()
+    assert len(got) == 1600 and all(got[x, y] == pytest.approx(exact[x][y]) for x, y in got)
+
+
 def test_regression_metrics(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (3.0, 3.0)], "y double, p double")
     got = profile.regression_metrics(df, "y", "p").first()
