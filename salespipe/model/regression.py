@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import StorageLevel
@@ -24,7 +24,10 @@ RAW_PREDICTION = "raw_prediction"
 HELD_OUT = "held_out"
 RUN_SCHEMA = "run_id string, started_at timestamp, params map<string,string>, metrics map<string,double>"
 
-DEFAULTS = {"stepSize": 0.4, "maxDepth": 8, "maxIter": 50, "minInstancesPerNode": 1, "lossType": "squared", "seed": 42}
+# Up to a thousand rounds; early stopping ends the fit. Each level of a tree is a
+# pass over the rows and doubles the nodes, so depth is kept at 8: deeper trees
+# cost in proportion and soon hold single rows. Spark allows up to 30.
+DEFAULTS = {"stepSize": 0.4, "maxDepth": 8, "maxIter": 1000, "minInstancesPerNode": 1, "lossType": "squared", "seed": 42}
 
 
 def feature_table(df: DataFrame, features: list[str], label: str, *extra: str) -> DataFrame:
@@ -48,10 +51,10 @@ def train(
 
     Early stopping watches a fifth of the training rows, chosen by a hash of
     ``split_key`` (default: of the features), so the test rows stay unseen.
-    Trees are capped at depth 30 by Spark ML.
+    Fitting stops at the first round that improves the loss there by less than
+    ``tolerance`` (relative), which is Spark's rule, without patience.
 
-    Every level of every tree passes over the rows, so they are spread evenly
-    first, over ``spark.sql.shuffle.partitions`` unless told otherwise.
+    Rows stay in the partitions they are read in; ``partitions`` spreads them anew.
     """
     ensure_checkpoint_dir(train_rows.sparkSession)
     settings = {**DEFAULTS, **params}
@@ -67,15 +70,20 @@ def train(
         featuresCol=FEATURE_VECTOR, labelCol=label, predictionCol=RAW_PREDICTION, checkpointInterval=10, **settings
     )
     assemble = VectorAssembler(inputCols=features, outputCol=FEATURE_VECTOR)
-    spread = partitions or int(train_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select(*needed)
     # Fitting reads the rows several times before it keeps its own binned copy.
-    rows = rows.select(*needed).repartition(spread).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = (rows.repartition(partitions) if partitions else rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=[assemble, trees]).fit(rows)
     finally:
         rows.unpersist()
 
 
+def rounds(model: PipelineModel) -> int:
+    """How many rounds of boosting the fit took."""
+    return model.stages[-1].getNumTrees
+
+
 def score(model: PipelineModel, df: DataFrame, prediction: str = "prediction", *, as_int: bool = True) -> DataFrame:
     """Add the prediction next to the row it belongs to, cut to an integer by default."""
     raw = F.col(RAW_PREDICTION)
@@ -83,13 +91,20 @@ def score(model: PipelineModel, df: DataFrame, prediction: str = "prediction", *
     return model.transform(df).select(*df.columns, value.alias(prediction))
 
 
-def model_udf(predict: Callable[[pd.DataFrame], object], features: list[str], returns: str = "double") -> Column:
-    """A model from outside Spark ML as a column: Arrow batches of the features go
-    to ``predict``, which returns one number per row."""
+def model_udf(
+    load: Callable[[], Callable[[pd.DataFrame], object]], features: list[str], returns: str = "double"
+) -> Column:
+    """A model from outside Spark ML as a column.
+
+    ``load`` runs once per task and returns the predictor; Arrow batches of the
+    features go to that, and it returns one number per row.
+    """
 
     @F.pandas_udf(returns)
-    def run(batch: pd.DataFrame) -> pd.Series:
-        return pd.Series(predict(batch))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        predict = load()
+        for batch in batches:
+            yield pd.Series(predict(batch))
 
     return run(F.struct(*features))
 

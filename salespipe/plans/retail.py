@@ -10,6 +10,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salespipe.functions.scalars import safe_ratio
 from salespipe.model import regression
@@ -44,7 +45,6 @@ FEATURES = [
     "Promo2SinceYear",
 ]
 LABEL = "Sales"
-NOT_NUMERIC = ["StateHoliday", "Date", "Assortment", "State", "PromoInterval", "StoreType"]
 
 SCORING_RECORD = (
     "Store int, DayOfWeek int, Customers int, Promo int, Latitude double, Longitude double, CompetitionDistance int, "
@@ -79,8 +79,8 @@ class Layout:
         return f"{self.root}/checkpoints/{name}"
 
 
-def land_csv(spark: SparkSession, csv: str, landing: str, *, files: int = 30) -> None:
-    """Raw CSV to evenly sized parquet landing files."""
+def land_csv(spark: SparkSession, csv: str, landing: str, *, files: int | None = None) -> None:
+    """Raw CSV to parquet landing files, ``files`` of even size or as many as its splits."""
     writers.overwrite_path(readers.read_csv(spark, csv, TRANSACTIONS), landing, files=files)
 
 
@@ -97,7 +97,7 @@ def with_store_attributes(spark: SparkSession, sales: DataFrame, layout: Layout)
     return enrich(sales, (states, "Store"), (stores, "Store"))
 
 
-def ingest(spark: SparkSession, layout: Layout, *, every: str | None = None, files_per_batch: int = 1):
+def ingest(spark: SparkSession, layout: Layout, *, every: str | None = None, files_per_batch: int | None = None):
     """Landing files to the bronze table; returns the running query."""
     writers.create_database(spark, layout.database, f"{layout.root}/tables")
     landing = readers.stream_parquet(spark, layout.landing, TRANSACTIONS, files_per_batch=files_per_batch)
@@ -105,14 +105,17 @@ def ingest(spark: SparkSession, layout: Layout, *, every: str | None = None, fil
     return append_to_table(enriched, layout.bronze, layout.checkpoint("bronze"), every=every)
 
 
-def silver_table(spark: SparkSession, layout: Layout, *, buckets: int = 0) -> VersionedTable:
+BUCKETS = 16  # of silver: an upsert rewrites only the buckets of its stores
+
+
+def silver_table(spark: SparkSession, layout: Layout, *, buckets: int = BUCKETS) -> VersionedTable:
     return VersionedTable.create(
         spark, layout.silver, SILVER, bucket_by="Store" if buckets else (), buckets=buckets
     )
 
 
 def merge(
-    spark: SparkSession, layout: Layout, *, every: str | None = None, buckets: int = 0, on_match: str = "replace"
+    spark: SparkSession, layout: Layout, *, every: str | None = None, buckets: int = BUCKETS, on_match: str = "replace"
 ):
     """Bronze to the newest row per store in silver; returns the running query.
 
@@ -135,7 +138,7 @@ def merge(
 
 def silver_profile(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(NULLs per column, correlations of the numeric columns)."""
-    return null_counts(silver), correlation_matrix(silver.drop(*NOT_NUMERIC))
+    return null_counts(silver), correlation_matrix(silver.drop("StoreType"))
 
 
 def clean(silver: VersionedTable) -> int:
@@ -152,6 +155,18 @@ def append_sales_per_customer(silver: VersionedTable) -> int:
     )
 
 
+def refresh_sales_per_customer(silver: VersionedTable) -> int:
+    """Set the ratio of every row where it is not that of its sales and customers: merges change those."""
+    ratio = safe_ratio("Sales", "Customers")
+    return silver.update({"SalesPerCustomer": ratio}, ~F.col("SalesPerCustomer").eqNullSafe(ratio))
+
+
+def score_records(spark: SparkSession, layout: Layout, path: str, version: int, *, name: str = "sales") -> DataFrame:
+    """Predictions for JSON records of the features, by a stored version of the model."""
+    model = regression.load_model(spark, f"{layout.root}/models", name, version)
+    return regression.score(model, readers.read_json_records(spark, path, SCORING_RECORD))
+
+
 def train_and_score(
     spark: SparkSession, layout: Layout, features: DataFrame, *, name: str = "sales", **params
 ) -> tuple[int, DataFrame]:
@@ -175,7 +190,7 @@ def publish_gold(gold: DataFrame, layout: Layout) -> None:
 
 
 def run_once(
-    spark: SparkSession, layout: Layout, *, buckets: int = 0, on_match: str = "replace", **params
+    spark: SparkSession, layout: Layout, *, buckets: int = BUCKETS, on_match: str = "replace", **params
 ) -> VersionedTable:
     """The whole job over the files there are now; a later run picks up only new files."""
     ingest(spark, layout).awaitTermination()
@@ -184,6 +199,8 @@ def run_once(
     version = clean(silver)
     if "SalesPerCustomer" not in silver.read().columns:
         append_sales_per_customer(silver)
+    else:
+        refresh_sales_per_customer(silver)
     # Once appended to itself silver has every store twice, with equal features.
     ml = silver.read(version=version).select(*FEATURES, LABEL).distinct()
     writers.overwrite_table(ml, f"{layout.database}.silver_ml", path=f"{layout.root}/silver_ml")

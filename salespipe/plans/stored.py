@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salespipe.functions.scalars import null_flag, safe_ratio
-from salespipe.operators import profile
+from salespipe.operators import changes, profile
 from salespipe.plans.registry import query
 from salespipe.plans.relational import ORDER_STATE
 from salespipe.plans.tables import lines_with_nulls, load
@@ -136,7 +136,7 @@ def _hours(n: int) -> dt.datetime:
     return _AT + dt.timedelta(hours=n)
 
 
-def _line_versions(spark: SparkSession, sf_dir: str, buckets: int = 0) -> VersionedTable:
+def line_versions(spark: SparkSession, sf_dir: str, buckets: int = 0) -> VersionedTable:
     """0 empty, 1 loaded, 2 high discounts deleted, 3 NULLs set to 0, 4 appended to itself with a ratio."""
     lines = lines_with_nulls(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     table = VersionedTable.create(
@@ -166,7 +166,7 @@ _V4 = f"""
     f" FROM ({sql})" for v, sql in enumerate([f"{_V1} LIMIT 0", _V1, _V2, _V3, _V4])
 ))
 def time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _line_versions(spark, sf_dir)
+    table = line_versions(spark, sf_dir)
     found = None
     for version in range(5):
         rows = table.read(version=version)
@@ -181,12 +181,12 @@ def time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_V4)
 def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_versions(spark, sf_dir).read()
+    return line_versions(spark, sf_dir).read()
 
 
 @query(_V4)
 def append_evolve_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_versions(spark, sf_dir, buckets=4).read()
+    return line_versions(spark, sf_dir, buckets=4).read()
 
 
 @query(" UNION ALL ".join(
@@ -196,14 +196,14 @@ def append_evolve_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
         [("CREATE TABLE", f"{_V1} LIMIT 0"), ("APPEND", _V1), ("DELETE", _V2), ("UPDATE", _V3), ("APPEND", _V4)])
 ))
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    commits = _line_versions(spark, sf_dir).history()
+    commits = line_versions(spark, sf_dir).history()
     utc = F.to_utc_timestamp("committed_at", spark.conf.get("spark.sql.session.timeZone")).cast("timestamp_ntz")
     return commits.select("version", utc.alias("committed_at"), "operation", "rows")
 
 
 @query(_V2)
 def read_at_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_versions(spark, sf_dir).read(as_of=_hours(2) + dt.timedelta(minutes=30))
+    return line_versions(spark, sf_dir).read(as_of=_hours(2) + dt.timedelta(minutes=30))
 
 
 @query("SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders")
@@ -223,7 +223,7 @@ def append_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def vacuum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions that still read after a vacuum; the last append shares its parts with the version before it."""
-    table = _line_versions(spark, sf_dir)
+    table = line_versions(spark, sf_dir)
     table.vacuum(0.01, check=False, now=_hours(5))
     counts = []
     for version in range(table.version() + 1):
@@ -276,4 +276,59 @@ def change_feed_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE l_discount > 0.08 GROUP BY ALL
 """)
 def change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_versions(spark, sf_dir).changes(1, 2)
+    return line_versions(spark, sf_dir).changes(1, 2)
+
+
+@query("""
+    SELECT k % 3 AS kind, count(*) AS n, CAST(sum(CASE WHEN k % 3 = 0 THEN 0 ELSE 1 END) AS BIGINT) AS changed
+    FROM (SELECT o_orderkey AS k FROM orders) GROUP BY 1
+""")
+def change_feed_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of kind 0 stay, of kind 1 change their price, of kind 2 lose their key: a deletion and a keyless row."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderkey").alias("k"))
+    key = F.when(F.col("k") % 3 != 2, F.col("o_orderkey")).alias("o_orderkey")
+    price = F.when(F.col("k") % 3 == 1, F.lit(-1.0)).otherwise(F.col("o_totalprice")).alias("o_totalprice")
+    feed = changes.change_feed(
+        orders.unionByName(orders.select(F.lit(None).cast("long").alias("o_orderkey"), "o_totalprice", "k").filter("k % 3 = 2")),
+        orders.select(key, price, "k"), "o_orderkey",
+    )
+    # Kind 2 shows three times: its old keyless row and its key go, its new keyless row comes.
+    counted = feed.groupBy("k").agg(F.count_distinct("_change").alias("kinds"), F.count(F.lit(1)).alias("rows"))
+    good = F.when(F.col("k") % 3 == 1, F.col("rows") == 1).otherwise((F.col("rows") == 3) & (F.col("kinds") == 2))
+    per_order = orders.select("k").join(counted.select("k", good.cast("long").alias("good")), "k", "left")
+    return per_order.groupBy((F.col("k") % 3).alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("changed")
+    )
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS o_totalprice, o_custkey,
+        (o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END) / nullif(o_custkey % 10, 0) AS ratio
+    FROM orders, (SELECT unnest([1, 2]) AS copy)
+    WHERE o_orderkey % 2 = 0 OR (o_orderkey % 3 = 0 AND copy = 1)
+""")
+def evolve_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table appended to itself with a ratio, then merged with newer prices and new orders: the ratio follows."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    table = VersionedTable.create(spark, scratch_dir(spark, "second"), orders.schema, bucket_by="o_orderkey", buckets=4)
+    table.append(orders.filter("o_orderkey % 2 = 0"))
+    ratio = F.try_divide(F.col("o_totalprice"), F.nullif(F.col("o_custkey") % 10, F.lit(0)))
+    table.append(table.read().withColumn("ratio", ratio), merge_schema=True)
+    newer = orders.filter("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    table.upsert(newer, "o_orderkey", missing="keep")
+    table.update({"ratio": ratio}, ~F.col("ratio").eqNullSafe(ratio))
+    return table.read()
+
+
+# The priorities of orders, as local rows.
+_PRIORITIES = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 4), ("5-LOW", 5)]
+
+
+@query("""
+    SELECT o_orderkey, o_orderpriority, p.rank FROM orders
+    JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 3), ('4-NOT SPECIFIED', 4), ('5-LOW', 5)) AS p(name, rank)
+      ON p.name = o_orderpriority
+""")
+def local_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = spark.createDataFrame(_PRIORITIES, "o_orderpriority string, rank int")
+    return load(spark, sf_dir, "orders").join(ranks, "o_orderpriority").select("o_orderkey", "o_orderpriority", "rank")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salespipe.operators.lookup import enrich
 from salespipe.plans.registry import query
@@ -12,8 +13,8 @@ from salespipe.plans.relational import ENRICHED, ORDER_STATE
 from salespipe.plans.tables import customers, load, nations
 from salespipe.session import scratch_dir
 from salespipe.sources import readers, writers
-from salespipe.streaming.ingest import append_to_table
-from salespipe.streaming.upsert import start_upsert
+from salespipe.streaming.ingest import append_to_path, append_to_table
+from salespipe.streaming.upsert import start_upsert, upsert_batch
 from salespipe.tables.versioned import VersionedTable
 
 
@@ -27,7 +28,7 @@ def _ingest(spark: SparkSession, sf_dir: str, root: str, db: str, files: int = 5
     """Enrich landed orders into a bronze table, one file per batch; returns its rows."""
     orders = _land(spark, sf_dir, root, files)
     writers.create_database(spark, db, f"{root}/db")
-    stream = readers.stream_parquet(spark, f"{root}/landing", orders.schema)
+    stream = readers.stream_parquet(spark, f"{root}/landing", orders.schema, files_per_batch=1)
     bronze = enrich(stream, (customers(spark, sf_dir), "o_custkey"), (nations(spark, sf_dir), "c_nationkey"))
     append_to_table(
         bronze.select(*ENRICHED), f"{db}.bronze", f"{root}/bronze_checkpoint", path=f"{root}/bronze"
@@ -86,3 +87,80 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_NEWEST)
 def stream_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_bronze(spark, sf_dir, buckets=4)
+
+
+@query("SELECT * FROM orders")
+def stream_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file stream whose schema is taken from the files already there."""
+    root = scratch_dir(spark, "inferred")
+    orders = _land(spark, sf_dir, root, 3)
+    append_to_path(readers.stream_parquet(spark, f"{root}/landing"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return readers.read_parquet(spark, f"{root}/out", orders.schema)
+
+
+@query("SELECT * FROM orders")
+def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches at a fixed interval, stopped when all files are through."""
+    root = scratch_dir(spark, "interval")
+    orders = _land(spark, sf_dir, root, 3)
+    stream = readers.stream_parquet(spark, f"{root}/landing", orders.schema, files_per_batch=2)
+    running = append_to_path(stream, f"{root}/out", f"{root}/checkpoint", every="1 second")
+    running.processAllAvailable()
+    running.stop()
+    return readers.read_parquet(spark, f"{root}/out", orders.schema)
+
+
+@query("SELECT * FROM orders")
+def reset_and_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over every file, a reset of table, data and checkpoint, and the run again: rows come once."""
+    root, db = scratch_dir(spark, "reset"), f"reset_{uuid.uuid4().hex}"
+    orders = _land(spark, sf_dir, root, 2)
+    writers.create_database(spark, db, f"{root}/db")
+    for last in (False, True):
+        stream = readers.stream_parquet(spark, f"{root}/landing", orders.schema)
+        append_to_table(stream, f"{db}.bronze", f"{root}/checkpoint", path=f"{root}/bronze").awaitTermination()
+        if not last:
+            writers.reset(spark, [f"{db}.bronze"], [f"{root}/bronze", f"{root}/checkpoint"])
+    _forget(spark, db)
+    return readers.read_parquet(spark, f"{root}/bronze", orders.schema)
+
+
+@query(f"SELECT *, CAST(2 AS BIGINT) AS versions FROM ({_NEWEST})")
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two micro-batches, the second sent twice, as after a failure: it is committed once."""
+    orders = load(spark, sf_dir, "orders").select(*ORDER_STATE)
+    table = VersionedTable.create(
+        spark, scratch_dir(spark, "replay"), orders.schema, not_null="o_custkey", bucket_by="o_custkey", buckets=4
+    )
+    apply = upsert_batch(
+        table, "o_custkey", "o_orderdate", ties="one", tie_break="o_orderkey", on_match="if_newer", stream_id="replayed"
+    )
+    apply(orders.filter("o_orderkey % 2 = 0"), 0)
+    for _ in range(2):
+        apply(orders.filter("o_orderkey % 2 = 1"), 1)
+    return table.read().withColumn("versions", F.lit(table.version()).cast("long"))
+
+
+@query("""
+    SELECT seen, o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority
+    FROM orders, (SELECT unnest(['table', 'stream']) AS seen)
+""")
+def stream_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later stream brings one more column; table and table stream both have it."""
+    root, db = scratch_dir(spark, "evolve"), f"evolve_{uuid.uuid4().hex}"
+    orders = load(spark, sf_dir, "orders")
+    writers.create_database(spark, db, f"{root}/db")
+    bronze = f"{db}.bronze"
+    for kind, names in ((0, ["o_orderkey", "o_custkey"]), (1, ["o_orderkey", "o_custkey", "o_orderpriority"])):
+        rows = orders.filter(F.col("o_orderkey") % 2 == kind).select(*names)
+        rows.write.mode("append").parquet(f"{root}/landing")
+        stream = readers.stream_parquet(spark, f"{root}/landing", rows.schema)
+        append_to_table(stream, bronze, f"{root}/checkpoint", path=f"{root}/bronze").awaitTermination()
+    for seen, write in (("table", None), ("stream", readers.stream_table(spark, bronze))):
+        if write is None:
+            writers.overwrite_path(spark.table(bronze), f"{root}/{seen}")
+        else:
+            append_to_path(write, f"{root}/{seen}", f"{root}/checkpoint_{seen}").awaitTermination()
+    _forget(spark, db)
+    both = [spark.read.parquet(f"{root}/{seen}").withColumn("seen", F.lit(seen)) for seen in ("table", "stream")]
+    return both[0].unionByName(both[1]).select("seen", "o_orderkey", "o_custkey", "o_orderpriority")

@@ -43,9 +43,9 @@ def column_types(df: DataFrame) -> DataFrame:
 
 
 def stream_parquet(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, *, files_per_batch: int | None = 1
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, *, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Each file that lands in a folder once, a limited number per micro-batch.
+    """Each file that lands in a folder once; ``files_per_batch`` limits a micro-batch.
 
     Without a schema it is inferred from the files already there.
     """

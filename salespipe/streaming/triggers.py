@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.streaming import DataStreamWriter
 
-INTERVAL = "10 seconds"
-
 
 def with_trigger(writer: DataStreamWriter, every: str | None = None) -> DataStreamWriter:
     """Micro-batches at a fixed interval, or (no interval) work off what is there and stop.

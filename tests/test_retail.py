@@ -70,7 +70,7 @@ def test_the_job_from_files_to_gold(spark, layout):
     model = regression.load_model(spark, f"{layout.root}/models", "sales", 1)
     records = f"{layout.root}/records"
     gold.select(F.to_json(F.array(F.struct(*retail.FEATURES))).alias("value")).write.text(records)
-    back = regression.score(model, readers.read_json_records(spark, records, retail.SCORING_RECORD))
+    back = retail.score_records(spark, layout, records, 1)
     assert back.count() == gold.count() and dict(back.dtypes)["prediction"] == "int"
     with pytest.raises(ValueError, match="no version 2"):
         regression.load_model(spark, f"{layout.root}/models", "sales", 2)
@@ -87,9 +87,13 @@ def test_a_later_run_takes_the_new_files(spark, layout):
     day.coalesce(1).write.mode("append").parquet(layout.landing)
     silver = retail.run_once(spark, layout, **FAST)
     log = [r.operation for r in silver.history().filter(f"version > {first}").orderBy("version").collect()]
-    assert log == ["MERGE", "DELETE", "UPDATE"]
+    assert log == ["MERGE", "DELETE", "UPDATE", "UPDATE"]
     new = silver.read().filter("Date = timestamp'2015-03-02'")
     assert {r["count"] for r in new.groupBy("Store").count().collect()} == {2}
+    # The ratio is that of the new figures, in new rows and old.
+    assert {r.SalesPerCustomer for r in new.collect()} == {5.0}
+    off = "not (SalesPerCustomer <=> try_divide(Sales, nullif(Customers, 0)))"
+    assert silver.read().filter(off).count() == 0
     assert regression.model_versions(spark, f"{layout.root}/models", "sales") == [1, 2]
     features = spark.table("retail_test.silver_ml")
     assert features.count() == features.select("Store").distinct().count()

@@ -8,7 +8,7 @@ from salespipe.operators.latest import latest_per_key
 from salespipe.sources import readers, writers
 from salespipe.streaming.ingest import append_to_path, append_to_table
 from salespipe.streaming.upsert import start_upsert, upsert_batch
-from salespipe.tables.versioned import VersionedTable
+from salespipe.tables.versioned import SchemaMismatch, VersionedTable
 
 SCHEMA = "k int, t int, v int"
 
@@ -30,12 +30,12 @@ def silver(spark, root):
 
 def merge(spark, landing, silver, root, **options):
     options = {"tie_break": "v", **options}
-    stream = readers.stream_parquet(spark, landing, SCHEMA)
+    stream = readers.stream_parquet(spark, landing, SCHEMA, files_per_batch=1)
     start_upsert(stream, silver, "k", "t", f"{root}/cp", **options).awaitTermination()
 
 
 def test_one_file_per_batch_and_no_file_twice(spark, landing, root):
-    stream = readers.stream_parquet(spark, landing, SCHEMA)
+    stream = readers.stream_parquet(spark, landing, SCHEMA, files_per_batch=1)
     query = append_to_path(stream, f"{root}/out", f"{root}/cp")
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 5
@@ -63,17 +63,21 @@ def test_inference_switch(spark, landing):
 
 
 def test_new_columns_in_later_batches(spark, landing, root, rows):
-    stream = readers.stream_parquet(spark, landing, SCHEMA)
+    stream = readers.stream_parquet(spark, landing, SCHEMA, files_per_batch=1)
     writers.create_database(spark, "evolving", f"{root}/db")
     try:
         append_to_table(stream, "evolving.bronze", f"{root}/cp1", path=f"{root}/bronze").awaitTermination()
         assert spark.table("evolving.bronze").count() == 15
         spark.createDataFrame([(9, 9, 9)], SCHEMA).coalesce(1).write.mode("append").parquet(landing)
         wider = stream.withColumn("w", F.col("v") * 2)
-        append_to_path(wider, f"{root}/bronze", f"{root}/cp1").awaitTermination()
-        merged = readers.read_parquet(spark, f"{root}/bronze", merge_schema=True)
-        assert rows(merged.filter("w is not null"), "k", "t", "v", "w") == [(9, 9, 9, 18)]
-        assert merged.filter("w is null").count() == 15
+        append_to_table(wider, "evolving.bronze", f"{root}/cp1", path=f"{root}/bronze").awaitTermination()
+        for merged in (spark.table("evolving.bronze"), readers.read_parquet(spark, f"{root}/bronze", merge_schema=True)):
+            assert rows(merged.filter("w is not null"), "k", "t", "v", "w") == [(9, 9, 9, 18)]
+            assert merged.filter("w is null").count() == 15
+        assert readers.stream_table(spark, "evolving.bronze").columns == ["k", "t", "v", "w"]
+        other = wider.withColumn("w", F.lit("text"))
+        with pytest.raises(SchemaMismatch, match="w"):
+            append_to_table(other, "evolving.bronze", f"{root}/cp1", path=f"{root}/bronze")
     finally:
         spark.sql("DROP DATABASE evolving CASCADE")
 
@@ -110,7 +114,7 @@ def test_a_restart_goes_on_and_a_replay_has_no_effect(spark, landing, silver, ro
 def test_a_new_checkpoint_starts_over(spark, landing, silver, root, rows):
     merge(spark, landing, silver, root, on_match="if_newer")
     before = rows(silver.read())
-    stream = readers.stream_parquet(spark, landing, SCHEMA)
+    stream = readers.stream_parquet(spark, landing, SCHEMA, files_per_batch=1)
     start_upsert(stream, silver, "k", "t", f"{root}/cp2", tie_break="v", on_match="if_newer").awaitTermination()
     assert silver.version() == 10 and rows(silver.read()) == before
 
