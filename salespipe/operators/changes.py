@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from salespipe.functions.conform import cast_column, conform
 from salespipe.operators.sizing import BROADCAST_LIMIT, fits_broadcast, row_bytes
+from salespipe.session import ensure_checkpoint_dir
 
 CHANGE = "_change"
 COPIES = "_copies"
@@ -199,9 +200,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | list[str], **option
     ``missing="keep"``: a target column the source lacks keeps its value, and is
     NULL in inserted rows. Source columns the target lacks are left out.
 
-    The source is read several times: persist one that is costly to compute.
+    The source is measured, joined and searched for new keys, so it is computed
+    once and kept by a checkpoint. Of the target, the second look reads the keys only.
     """
-    parts = merge_parts(target, source, keys, **options)
+    ensure_checkpoint_dir(source.sparkSession)
+    parts = merge_parts(target, source.checkpoint(), keys, **options)
     return parts.kept.unionByName(parts.inserted)
 
 

@@ -87,6 +87,19 @@ def test_not_null(spark):
         changes.require_not_null(df, "k").collect()
 
 
+def test_an_upsert_computes_its_source_once(spark, target, root):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(v):
+        seen.add(1)
+        return v
+
+    source = spark.createDataFrame([(1, 5, 5), (9, 9, 9)], target.schema).withColumn("v", counted("v"))
+    changes.upsert(target, source, "k").collect()
+    assert seen.value == 2
+
+
 def test_change_feed(spark, rows):
     before = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "d")], "k int, v string")
     after = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (5, "e")], "k int, v string")
