@@ -7,23 +7,35 @@ stands in its module.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salespipe.llm import minhash, mixing, packing, suffixes, toxicity
-from salespipe.llm.store import table, written
+from salespipe.llm.store import small_batches, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def stage(fn: Stage) -> Stage:
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the labelled examples nearest to them do not speak against."""
     model = toxicity.fit(spark, docs, table(spark, sf_dir, "labels"), F.lit(True))
     return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
 
 
+@stage
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates; rows that repeat both id and text are one document."""
     found = minhash.near_duplicates(spark, docs)
@@ -31,6 +43,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
+@stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts without passages of an earlier document; a text of which nothing but space is left goes."""
     found = suffixes.remove_repeats(spark, docs.withColumnsRenamed({"n_chars": "_n_chars"}), characters=True)
@@ -41,11 +54,13 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return changed.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
+@stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, those of small sources more often."""
     return mixing.mix(spark, docs).select(*docs.columns)
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in which sequence."""
     return packing.pack(spark, docs)
@@ -65,6 +80,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(spark, stage(spark, docs, sf_dir), f"stage-{name}")
+    for name, apply in STAGES:
+        docs = written(spark, apply(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -11,6 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from salespipe.session import scratch_dir
 
 
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python a few megabytes at a time, unless the session says how many rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, ARROW_ROWS)
+
+
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)

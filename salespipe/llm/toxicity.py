@@ -275,12 +275,13 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column)
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """All rows and columns of ``docs`` with ``score``, ``predicted`` (1 from a half on) and ``evidence``."""
     kept = [c for c in docs.columns if c not in RESULT.names]
-    rows = docs.select(*kept)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(_lowered(pc.cast(column(batch, "text"), pa.large_string()))):
-                own = batch.slice(part.first, part.n)
+    # Only texts go to Python and only verdicts come back; the rest of a row stays where it is.
+    @F.arrow_udf(RESULT)
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            made = []
+            for part in slices(_lowered(texts)):
                 if model.constant is not None:
                     scores, evidence = np.full(part.n, model.constant), [[]] * part.n
                 else:
@@ -296,7 +297,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                         ]
                         for i in range(part.n)
                     ]
-                made = [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), pa.array(evidence, _EVIDENCE)]
-                yield pa.RecordBatch.from_arrays([*own.columns, *made], [*kept, *RESULT.names])
+                found = [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), pa.array(evidence, _EVIDENCE)]
+                made.append(pa.StructArray.from_arrays(found, RESULT.names))
+            yield pa.concat_arrays(made)
 
-    return rows.mapInArrow(judge, T.StructType([*rows.schema.fields, *RESULT.fields]))
+    verdict = "_verdict" + "_" * sum(c.startswith("_verdict") for c in kept)
+    judged = docs.select(*kept, judge(F.col("text").cast("string")).alias(verdict))
+    return judged.select(*kept, *[F.col(verdict)[name].alias(name) for name in RESULT.names])
