@@ -31,13 +31,13 @@ from salespipe.llm.texts import column
 
 SAMPLE = 20_000
 CENTROIDS = 1024
-PER_CENTROID = 64  # vectors a centroid stands for, while there are fewer than CENTROIDS
+PER_CENTROID = 128  # vectors a centroid stands for, while there are fewer than CENTROIDS
 DEGREE = 16
-BEAM = 64
+BEAM = 256
 REPLICAS = 4
 BORDER = 1.15
-REACH = 1.6
-LEAST_LISTS = 24
+REACH = 1.25
+LEAST_LISTS = 48
 BLOCK = 1024
 QUERY_BLOCK = 256
 
