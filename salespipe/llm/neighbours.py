@@ -6,14 +6,18 @@ balanced; they are joined in a graph of near centroids, which a best-first
 search walks in memory. Every vector is posted to its nearest centroid, and to
 the next ones if it lies near the border (distance within ``BORDER`` times the
 least, and not behind a centroid that already has it). A query reads the lists
-of the centroids whose distance is within ``REACH`` times the least, at least
-``LEAST_LISTS``. Lists are stored in blocks of bounded size, and every block of
-a selected list is read, however long the list is. Queries meet blocks, not rows.
+of all centroids whose distance is within ``REACH`` times the least, at least
+``LEAST_LISTS``; the search widens until it has them. Copies in the sample
+count once, and twin centroids are merged; of centroids that lie together as
+seen from a query, all are read but one counts towards ``LEAST_LISTS``. Lists
+are stored in blocks of bounded size, and every block of a selected list is
+read, however long the list is. Queries meet blocks, not rows.
 
 Scores are exact cosines in double precision. Vectors that are NULL, zero, of
 another length than most, or hold NULL, NaN or infinite components take no
-part; so do rows without an id. Ties go to the smaller id; of rows that repeat
-an id one counts. An empty table gives an empty result; other columns are left
+part; so do rows without an id. Ties go to the smaller id, so that of equal
+vectors only the k + 1 with the smallest ids can be among the k nearest of
+anything: only those are posted. Of rows that repeat an id one counts. An empty table gives an empty result; other columns are left
 out. ``CENTROIDS`` bounds what every task holds: at most that many vectors.
 """
 
@@ -33,11 +37,13 @@ SAMPLE = 20_000
 CENTROIDS = 1024
 PER_CENTROID = 128  # vectors a centroid stands for, while there are fewer than CENTROIDS
 DEGREE = 16
-BEAM = 256
+BEAM = 256  # centroids a search holds at first
 REPLICAS = 4
 BORDER = 1.15
 REACH = 1.25
 LEAST_LISTS = 48
+TWIN = 1e-6  # distance of unit vectors that are copies but for rounding
+TOGETHER = 0.25  # of a query's distance: centroids this near to a nearer one lie in the same direction
 BLOCK = 1024
 QUERY_BLOCK = 256
 
@@ -67,14 +73,30 @@ def _split(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return part
 
 
+def _apart(x: np.ndarray) -> np.ndarray:
+    """Unit vectors of which no two are twins: of each group the first stays."""
+    x = x[np.sort(np.unique(np.round(x, 7), axis=0, return_index=True)[1])]
+    # Rounding parts some twins; those are neighbours in the order of a projection.
+    lean = x @ _unit(np.random.Generator(np.random.PCG64(1)).normal(size=(1, x.shape[1])))[0]
+    order = np.argsort(lean, kind="stable")
+    stay = np.ones(len(x), bool)
+    for i, at in enumerate(order):
+        near = order[i + 1 : i + 1 + np.searchsorted(lean[order[i + 1 :]], lean[at] + TWIN, side="right")]
+        near = near[((x[near] - x[at]) ** 2).sum(axis=1) <= TWIN**2]
+        if stay[at]:
+            stay[near] = False
+    return x[stay]
+
+
 class Centroids:
     """Unit centroids and the graph that joins each to its nearest ones."""
 
     def __init__(self, sample: np.ndarray, k: int, seed: int = 7) -> None:
-        x, rng = _unit(sample), np.random.Generator(np.random.PCG64(seed))
+        x, rng = _apart(_unit(sample)), np.random.Generator(np.random.PCG64(seed))
         part = _split(x, k, rng)
         number = part.max(initial=-1) + 1
-        self.points = _unit(np.array([x[part == c].mean(axis=0) for c in range(number)]).reshape(number, -1))
+        self.points = _apart(_unit(np.array([x[part == c].mean(axis=0) for c in range(number)]).reshape(number, -1)))
+        number = len(self.points)
         # A graph of near centroids, with a few far links so that every part can be reached.
         self.links = []
         for c in range(number):
@@ -89,10 +111,13 @@ class Centroids:
 
     def search(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
         """About the ``beam`` nearest centroids of a unit vector by best-first search, and their distances."""
+        if beam >= len(self.points):
+            distance = self._distance(x, np.arange(len(self.points)))
+            best = np.argsort(distance, kind="stable")
+            return best, distance[best]
         distance = np.full(len(self.points), np.inf)
         distance[self.entries] = self._distance(x, self.entries)
         done = np.zeros(len(self.points), bool)
-        beam = min(beam, len(self.points))
         while True:
             best = np.argpartition(distance, beam - 1)[:beam]
             todo = best[~done[best] & np.isfinite(distance[best])]
@@ -123,9 +148,25 @@ class Centroids:
         return np.array(chosen)
 
     def select(self, x: np.ndarray) -> np.ndarray:
-        """The lists a query reads."""
-        near, distance = self.search(x)
-        return near[(distance <= REACH * max(distance[0], 1e-9)) | (np.arange(len(near)) < LEAST_LISTS)]
+        """The lists a query reads: the search is doubled until the next centroid lies beyond all that it must read."""
+        beam = BEAM
+        while True:
+            near, distance = self.search(x, beam)
+            least = self._least(near, distance)
+            within = int(np.searchsorted(distance, REACH * max(distance[0], 1e-9), side="right"))
+            if beam >= len(self.points) or max(least, within) < len(near):
+                return near[: max(least, within)]
+            beam *= 2
+
+    def _least(self, near: np.ndarray, distance: np.ndarray) -> int:
+        """How many of the nearest centroids hold ``LEAST_LISTS`` that do not lie together as seen from the query."""
+        counted: list[int] = []
+        for i, (c, d) in enumerate(zip(near, distance, strict=True)):
+            if len(counted) == LEAST_LISTS:
+                return i
+            if not counted or (self._distance(self.points[c], np.array(counted)) > TOGETHER * d).all():
+                counted.append(c)
+        return len(near)
 
 
 def valid(vectors: DataFrame) -> DataFrame:
@@ -206,15 +247,18 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int) -
         return spark.createDataFrame([], result)
     dim = common["dim"]
     rows = rows.where(F.size("embedding") == dim)
-    number = common["count"]
+    # Spark cuts each group of copies to k + 1 rows a task before the shuffle; the hash spares it comparing arrays.
+    copy = F.expr("row_number() over (partition by xxhash64(embedding), embedding order by vec_id)")
+    kept = written(spark, rows.withColumn("copy", copy).where(F.col("copy") <= k + 1), "kept")
+    number = kept.where("copy = 1").count()
     place = F.pmod(F.xxhash64("vec_id", F.lit("centroids")), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.where(place < min(1.0, SAMPLE / number)).orderBy("vec_id").select("embedding").toArrow()
+    sample = kept.where("copy = 1").where(place < min(1.0, SAMPLE / number)).orderBy("vec_id").select("embedding").toArrow()
     x = _matrix(sample.column("embedding").combine_chunks(), dim)
     if not len(x):
         x = np.eye(1, dim)
     index = Centroids(x, max(1, min(CENTROIDS, number // PER_CENTROID, len(x))))
     schema = "list long, vec_id long, vector binary"
-    posted = _blocks(spark, rows.mapInArrow(_placed(index, dim, Centroids.post), schema), BLOCK)
+    posted = _blocks(spark, kept.mapInArrow(_placed(index, dim, Centroids.post), schema), BLOCK)
     asked = _blocks(spark, rows.where(is_query).mapInArrow(_placed(index, dim, Centroids.select), schema), QUERY_BLOCK)
     asked = asked.select("list", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     found = posted.join(asked, "list").mapInArrow(_best(dim, k), "query_id long, vec_id long, score double")

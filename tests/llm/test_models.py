@@ -100,6 +100,31 @@ def test_neighbours_against_brute_force(spark, vectors):
     assert hits >= 0.9 * 5 * 80
 
 
+def test_copies_do_not_hide_lists():
+    rng = np.random.Generator(np.random.PCG64(6))
+    x = rng.normal(size=(9000, 16))
+    x[:3000] = x[0]
+    index = neighbours.Centroids(x, 1024)
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * index.points @ index.points.T)) + 9 * np.eye(len(index.points))
+    assert len(index.points) > 900 and apart.min() > 1e-6, "no twin centroids"
+    for q in (x[0] + 0.5 * rng.normal(size=(20, 16)) for _ in range(2)):
+        for v in q / np.sqrt((q * q).sum(axis=1, keepdims=True)):
+            distance = np.sqrt(2 - 2 * index.points @ v)
+            assert set(np.flatnonzero(distance <= neighbours.REACH * distance.min())) <= set(index.select(v))
+
+
+def test_search_widens_past_a_hot_topic():
+    rng = np.random.Generator(np.random.PCG64(7))
+    x = rng.normal(size=(9000, 16))
+    x[:3000] = x[0] + 0.002 * rng.normal(size=(3000, 16))  # near copies: no twins, but centroids that lie together
+    index = neighbours.Centroids(x, 1024)
+    hot, q = x[0] / np.sqrt(x[0] @ x[0]), x[0] + 0.5 * rng.normal(size=16)
+    q /= np.sqrt(q @ q)
+    chosen = index.select(q)
+    elsewhere = index.points[chosen] @ hot < 0.999
+    assert elsewhere.sum() >= neighbours.LEAST_LISTS - 1 and len(chosen) > neighbours.BEAM
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (50, [1.0, 1.0]), (1, [0.0, 2.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]),
