@@ -1,8 +1,9 @@
 """Block and allow rules on pages, carried to their aliases.
 
 A page takes the verdict of its own longest rule. A page without one takes the
-verdict of its aliases: pages joined to it by canonical links or redirects, in
-any number of steps. If a rule allows one of them the page is allowed; else it
+verdict of its aliases: pages joined to it by canonical links or redirects, of
+which a page may hold many, complete or relative to it or its base, in any
+number of steps. If a rule allows one of them the page is allowed; else it
 is blocked if a rule blocks one of them; else allowed.
 
 Two urls are the same address if they differ only in scheme, fragment, a slash
@@ -34,6 +35,7 @@ ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
 # Query parameters that track a visit and name no other page.
 TRACKING = r"(?i)(?<=[?&])(utm_[a-z]+|ref|gclid|fbclid|sessionid)=[^&#]*&?"
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
+BASE = r"""(?is)<base\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -55,15 +57,38 @@ def address(url: Column) -> Column:
     return F.when(host(url) != "", F.concat(host(url), F.regexp_replace(path(url), "/+$", ""), asked))
 
 
-def target(link: Column, page: Column) -> Column:
-    """The address a link of a page leads to, complete or from the host's root or the scheme on."""
-    scheme = F.regexp_extract(page, r"(?s)^(.*?)://", 1)
-    whole = (
-        F.when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(scheme, F.lit("://"), host(page), link))
-        .when(link.contains("://"), link)
+def _folded(at: Column) -> Column:
+    """A path from the root on without its ``.`` and ``..``."""
+    steps = F.slice(F.split(at, "/"), 2, 1 << 30)
+    kept = F.aggregate(
+        steps,
+        F.array().cast("array<string>"),
+        lambda before, step: F.when(step == ".", before)
+        .when(step == "..", F.slice(before, 1, F.greatest(F.size(before) - 1, F.lit(0))))
+        .otherwise(F.concat(before, F.array(step))),
+    )
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
+def resolved(link: Column, page: Column) -> Column:
+    """The url a link of a page leads to; NULL for links that name no page, as ``mailto:`` does."""
+    link = F.regexp_replace(link, "&amp;", "&")
+    root = F.concat(F.regexp_extract(page, r"(?s)^(.*?)://", 1), F.lit("://"), host(page))
+    at, asked = F.regexp_extract(link, r"(?s)^[^?#]*", 0), F.regexp_extract(link, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace(path(page), "[^/]*$", ""), "^/", ""))
+    return (
+        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.startswith("//"), F.concat(F.regexp_extract(page, r"(?s)^(.*?)://", 1), F.lit(":"), link))
+        .when(link.startswith("/"), F.concat(root, _folded(at), asked))
+        .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(link.startswith("?"), F.concat(root, path(page), link))
+        .when(~link.startswith("#"), F.concat(root, _folded(F.concat(folder, at)), asked))
     )
-    return address(F.regexp_replace(whole, "&amp;", "&"))
+
+
+def target(link: Column, page: Column) -> Column:
+    """The address a link of a page leads to."""
+    return address(resolved(link, page))
 
 
 def longest_rule(rules: Sequence[Rule], at_host: Column, at_path: Column) -> Column:
@@ -81,14 +106,15 @@ def longest_rule(rules: Sequence[Rule], at_host: Column, at_path: Column) -> Col
 def verdicts(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """page_id, host, path, rule, verdict and whether the verdict came from an alias."""
     url = F.col("url").cast("string")
+    html = F.col("html").cast("string")
+    links = F.concat(*[F.coalesce(F.regexp_extract_all(html, F.lit(tag), F.lit(1)), F.array()) for tag in (CANONICAL, REFRESH)])
+    # Links count from a page's base, if it names one.
+    base = F.coalesce(resolved(F.nullif(F.regexp_extract(html, BASE, 1), F.lit("")), url), url)
     judged = written(
         spark,
         pages.select(
             "page_id", host(url).alias("host"), path(url).alias("path"), address(url).alias("address"),
-            F.array_distinct(F.array_compact(F.array(
-                target(F.regexp_extract(F.col("html").cast("string"), CANONICAL, 1), url),
-                target(F.regexp_extract(F.col("html").cast("string"), REFRESH, 1), url),
-            ))).alias("links"),
+            F.array_distinct(F.array_compact(F.transform(links, lambda link: target(link, base)))).alias("links"),
         ).withColumn("fit", longest_rule(rules, F.col("host"), F.col("path"))),
         "pages",
     )

@@ -68,6 +68,29 @@ def test_verdicts_reach_aliases(spark):
     assert by[5] == by[6] == by[7] == "block" and by[10] == "allow"
 
 
+def test_verdicts_follow_relative_and_further_links(spark):
+    refresh = "<meta http-equiv=refresh content='0; url={}'>"
+    canonical = "<link rel=canonical href='{}'>"
+    links = {
+        "http://a.org/x/p1?q": refresh.format("bad.html"), "http://a.org/x/y/p2": refresh.format("../bad.html"),
+        "http://a.org/x/p3": canonical.format("./y/.././bad.html"), "http://a.org/p4": refresh.format("../../x/bad.html"),
+        "http://b.org/list": refresh.format("?id=3&amp;k=1"), "http://a.org": refresh.format("x/bad.html"),
+        "http://a.org/p7": canonical.format("/fine") + canonical.format("http://c.org/bad") + refresh.format("#top"),
+        "http://a.org/p8": refresh.format("/fine") + refresh.format("/q/../x/bad.html"),
+        "http://d.org/p9": "<base href='http://a.org/x/'>" + refresh.format("bad.html"),
+        "http://a.org/login": refresh.format("x/bad.html?u=http://e.org/"),
+        "http://e.org/": refresh.format("mailto:bad.html"), "http://e.org/a": refresh.format("b.html"), "http://e.org/c": None,
+    }
+    pages = [(i, u, h) for i, (u, h) in enumerate(links.items())]
+    ends = ["http://a.org/x/bad.html", "http://b.org/list?id=3&k=1", "http://c.org/bad", "http://a.org/x/bad.html?u=http://e.org/"]
+    pages += [(100 + i, u, refresh.format("http://c.org/bad") if "id=3" in u else None) for i, u in enumerate(ends)]
+    rules = [urls.Rule("block", "a.org", "/x/bad"), urls.Rule("block", "c.org", "/")]
+    got = {r.page_id: r for r in urls.verdicts(spark, spark.createDataFrame(pages, "page_id int, url string, html string"), rules).collect()}
+    assert [got[i].verdict for i in range(len(links))] == ["block"] * 10 + ["allow"] * 3
+    assert all(got[i].from_alias for i in range(10))
+
+
+
 def test_hosts_and_paths(spark):
     url = spark.createDataFrame([("HTTP://Ex.COM:80?a/b",), ("x://y//z#q?",), ("a\n://h/p\nq",), ("É://É/É",)], "u string")
     got = [tuple(r) for r in url.select(urls.host(F.col("u")), urls.path(F.col("u"))).collect()]
