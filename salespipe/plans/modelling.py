@@ -19,7 +19,6 @@ from salespipe.sources import readers, writers
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LABEL = "charge"
 KEY = ["l_orderkey", "l_linenumber"]
-SETTINGS = {"maxDepth": 5}
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +29,7 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fitted(spark: SparkSession, sf_dir: str):
     train_rows, test_rows = hash_split(_features(spark, sf_dir), *KEY)
-    model = regression.train(train_rows, FEATURES, LABEL, split_key=KEY, **SETTINGS)
+    model = regression.train(train_rows, FEATURES, LABEL, split_key=KEY)
     return model, test_rows
 
 
@@ -65,7 +64,7 @@ def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test_rows = _fitted(spark, sf_dir)
     metrics = regression.evaluate(model, test_rows, LABEL).first().asDict() | {"rounds": regression.rounds(model)}
     path = scratch_dir(spark, "runs")
-    regression.record_run(spark, path, SETTINGS, metrics)
+    regression.record_run(spark, path, regression.DEFAULTS, metrics)
     recorded = F.col("metrics")
     return regression.runs(spark, path).select(
         recorded["n"].cast("long").alias("n"), (recorded["loss"] < -0.9).alias("good_fit"),
