@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salespipe.llm import language, minhash, mixing, neighbours, packing, quality, sharding, suffixes, toxicity, urls
+from salespipe.llm import (
+    language,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    toxicity,
+    urls,
+)
 from salespipe.llm.store import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,3 +206,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_classes(spark, table(spark, sf_dir, "documents"), shingle=4)
