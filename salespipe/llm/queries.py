@@ -19,6 +19,7 @@ from salespipe.llm import (
     simhash,
     suffixes,
     toxicity,
+    trie,
     urls,
 )
 from salespipe.llm.store import small_batches, table
@@ -211,3 +212,43 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_classes(spark, table(spark, sf_dir, "documents"), shingle=4)
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of an ASCII text, bit by bit."""
+    bits = f"list_transform(generate_series(0, 8 * length({text}) - 1), lambda i: (ascii(substr({text}, i // 8 + 1, 1)) >> (i % 8)) & 1)"
+    step = "lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {bits}::bigint[]), {step}), 4294967295::bigint)"
+
+
+@query(rf"""
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, text) as k, role, text
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)),
+own as (select conv_id, count(*) as n, conv_id - conv_id % 5 as base, conv_id::varchar as name from turns group by conv_id),
+convs as (select *, {_crc32("name")} % 9 as h from own),
+taking as (select c.conv_id, c.n, c.base, c.h, least(c.h, coalesce(b.n, 0)) as taken from convs c left join own b on b.conv_id = c.base),
+rebuilt as (
+  select conv_id, taken + k - h as pos, role, text from turns join taking using (conv_id) where k > h
+  union all
+  select c.conv_id, t.k, t.role, t.text from taking c join turns t on t.conv_id = c.base and t.k <= c.h),
+paths as (
+  select conv_id, pos, octet_length(encode(text)) as size,
+    string_agg(md5(length(role) || ':' || role || text), '') over (partition by conv_id order by pos) as path from rebuilt
+  union all select conv_id, 0, 0, '' from own),
+nodes as (select path, min(conv_id) as conv_id, any_value(pos) as depth, count(*) as n, any_value(size) as size from paths group by path),
+children as (select substr(path, 1, length(path) - 32) as path, count(*) as n_children from nodes where depth > 0 group by 1),
+below as (
+  select a.path, sum(case when c.path is null then 1 else 0 end)::bigint as n_leaves, sum((w.n - 1) * w.size)::bigint as saved_tokens
+  from nodes w join paths a on a.conv_id = w.conv_id and a.pos <= w.depth left join children c on c.path = w.path group by a.path),
+ends as (
+  select path, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+  from (select conv_id, path from paths qualify row_number() over (partition by conv_id order by pos desc) = 1) group by path)
+select n.conv_id, n.depth::bigint as depth, up.conv_id as parent_conv_id, n.n as n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+  saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from nodes n left join nodes up on n.depth > 0 and up.path = substr(n.path, 1, length(n.path) - 32)
+  left join children c on c.path = n.path join below b on b.path = n.path left join ends e on e.path = n.path
+""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = trie.reopened(spark, trie.numbered(spark, table(spark, sf_dir, "conversations")))
+    return trie.trie(spark, turns, convs).drop("node", "parent", "turn_id")
