@@ -17,6 +17,7 @@ from salespipe.llm import (
     quality,
     sharding,
     simhash,
+    spelling,
     suffixes,
     toxicity,
     trie,
@@ -214,9 +215,10 @@ def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_classes(spark, table(spark, sf_dir, "documents"), shingle=4)
 
 
-def _crc32(text: str) -> str:
-    """SQL for the unsigned CRC-32 of an ASCII text, bit by bit."""
-    bits = f"list_transform(generate_series(0, 8 * length({text}) - 1), lambda i: (ascii(substr({text}, i // 8 + 1, 1)) >> (i % 8)) & 1)"
+def _crc32_of_hex(digits: str) -> str:
+    """SQL for the unsigned CRC-32 of bytes given as hexadecimal digits, bit by bit."""
+    bit = f"(('0x' || substr({digits}, 2 * (i // 8) + 1, 2))::bigint >> (i % 8)) & 1"
+    bits = f"list_transform(generate_series(0, 4 * length({digits}) - 1), lambda i: {bit})"
     step = "lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)"
     return f"xor(list_reduce(list_prepend(4294967295::bigint, {bits}::bigint[]), {step}), 4294967295::bigint)"
 
@@ -226,7 +228,7 @@ with turns as (
   select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, text) as k, role, text
   from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)),
 own as (select conv_id, count(*) as n, conv_id - conv_id % 5 as base, conv_id::varchar as name from turns group by conv_id),
-convs as (select *, {_crc32("name")} % 9 as h from own),
+convs as (select *, {_crc32_of_hex("hex(encode(name))")} % 9 as h from own),
 taking as (select c.conv_id, c.n, c.base, c.h, least(c.h, coalesce(b.n, 0)) as taken from convs c left join own b on b.conv_id = c.base),
 rebuilt as (
   select conv_id, taken + k - h as pos, role, text from turns join taking using (conv_id) where k > h
@@ -252,3 +254,31 @@ from nodes n left join nodes up on n.depth > 0 and up.path = substr(n.path, 1, l
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns, convs = trie.reopened(spark, trie.numbered(spark, table(spark, sf_dir, "conversations")))
     return trie.trie(spark, turns, convs).drop("node", "parent", "turn_id")
+
+
+@query(rf"""
+with recursive found as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{urls.UPPER}', '{urls.LOWER}') as run from documents),
+own as (select doc_id, run, count(*) as n, coalesce(doc_id::varchar, '') || ':' || run as named from found group by doc_id, run),
+bytes as (select *, hex(encode(named)) as x from own),
+hashed as (select *, {_crc32_of_hex("x")} as h from bytes),
+changed as (select n, case when h % 97 = 0
+    then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from hashed),
+words as (select word, sum(n)::bigint as n from changed where length(word) >= 5 group by word having sum(n) >= 3),
+-- two words are one edit apart if one is the other without a letter, or both are alike without their k-th
+cut as (select word, k, substr(word, 1, k - 1) || substr(word, k + 1) as rest
+    from (select word, unnest(generate_series(1, length(word))) as k from words)
+  union all select word, 0, word from words),
+near as (select distinct a.word, b.word as other from cut a join cut b on a.rest = b.rest and a.word <> b.word
+    where a.k = b.k or a.k = 0 or b.k = 0),
+best as (select near.word, count(*) as n_near, min(struct_pack(n := -o.n, word := other)) as b
+  from near join words o on o.word = other group by near.word),
+forms as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when -b.n >= 2 * w.n then b.word end as form,
+    case when -b.n >= 2 * w.n then -b.n end as form_n from words w left join best using (word)),
+steps as (select word, word as here from forms union all select s.word, f.form from steps s join forms f on f.word = s.here where f.form is not null),
+last as (select s.word, here as root from steps s join forms f on f.word = here where f.form is null)
+select f.word, form, root, n, n_near, form_n from forms f join last on last.word = f.word
+""")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(spark, table(spark, sf_dir, "documents"), change=spelling.damaged)
+    return spelling.variants(spark, words)
