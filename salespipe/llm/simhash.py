@@ -6,12 +6,13 @@ values of its word shingles, repeats included. Two fingerprints link if at most
 least ``SHARED`` = 8 - 4 equal bytes at equal positions.
 
 Distinct fingerprints are posted by (byte position, byte value). A pair that
-reaches the guaranteed minimum stands in four of these lists at once; the lists
-are therefore read as their intersections of four (70 choices of positions),
-which stay short at any size where single lists would grow with a 256th of
-the table. In an intersection the equal bytes of each pair are tallied; a pair is
-retained in the first of the intersections it is in, and its differing bits are
-counted.
+reaches the guaranteed minimum stands in four of these lists at once, so the
+lists are read as intersections of three, which stay short where single lists
+would grow with a 256th of the table: of any four positions some three are among 20 choices
+(three groups of positions: triples within a group, or of two from one group and
+one from the next). In an intersection the equal bytes of each pair are tallied;
+a pair that reaches the minimum is retained in the first of the intersections it
+is in, and its differing bits are counted.
 
 An intersection of more than ``CROWDED`` fingerprints, as large groups of near
 copies make, is never paired off. Its members are posted under every value
@@ -32,7 +33,7 @@ an empty table gives an empty result; other columns are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -50,7 +51,7 @@ SEED = 42
 BITS = 4
 BYTES = 8
 SHARED = BYTES - BITS
-CROWDED = 256  # about where pairing off a member's lists costs as much as its 2,081 postings
+CROWDED = 1024  # where pairing off 20 lists costs about as much as 2,081 postings, at ten checks of a pair each
 CHUNK = 1 << 16  # shingles hashed at a time
 
 
@@ -107,27 +108,36 @@ def _sign(size: int):
     return sign
 
 
-CHOICES = list(combinations(range(BYTES), SHARED))
+_GROUPS = ({0, 1, 2}, {3, 4, 5}, {6, 7})
+CHOICES = [
+    choice
+    for choice in combinations(range(BYTES), SHARED - 1)
+    if any(
+        len(own & {*choice}) == 3 or (len(own & {*choice}) == 2 and len(_GROUPS[(i + 1) % 3] & {*choice}) == 1)
+        for i, own in enumerate(_GROUPS)
+    )
+]
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def _mask(positions: Iterable[int]) -> int:
+    """The bytes at these positions, as a signed long."""
+    return int.from_bytes(bytes(0xFF * (p in positions) for p in range(BYTES)), "little", signed=True)
 
 
 def _posted(nodes: DataFrame) -> DataFrame:
     """Every fingerprint under its bytes at each choice of positions."""
-    masks = F.array(*[F.lit(_signed(sum(0xFF << (8 * p) for p in choice))) for choice in CHOICES])
+    masks = F.array(*[F.lit(_mask(choice)) for choice in CHOICES])
     each = nodes.select("fingerprint", F.posexplode(masks).alias("choice", "mask"))
     return each.select("fingerprint", "choice", F.expr("fingerprint & mask").alias("bytes"))
 
 
 def _retained(a: str, b: str, choice: str) -> Column:
     """Whether the tally of equal bytes reaches the minimum, this choice is the first to tell, and few bits differ."""
-    equal = f"filter(sequence(0, {BYTES - 1}), p -> (shiftright({a} ^ {b}, 8 * p) & 255) = 0)"
-    first = F.array(*[F.array(*[F.lit(p) for p in choice]) for choice in CHOICES])[F.col(choice)]
-    tally = F.expr(equal)
-    enough = (F.size(tally) >= SHARED) & (F.slice(tally, 1, SHARED) == first)
-    return F.expr(f"bit_count({a} ^ {b}) <= {BITS}") & enough
+    differing = F.col(a).bitwiseXOR(F.col(b))
+    alike = lambda positions: differing.bitwiseAND(F.lit(_mask(positions))) == 0
+    tally = sum((F.when(alike([p]), 1).otherwise(0) for p in range(BYTES)), F.lit(0))
+    first = F.array_position(F.array(*[alike(positions) for positions in CHOICES]), True)
+    return (tally >= SHARED) & (first == F.col(choice) + 1) & (F.bit_count(differing) <= BITS)
 
 
 def _flipped(fingerprints: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from itertools import combinations
 
 import xxhash
 
@@ -81,6 +82,11 @@ def test_fingerprints_and_classes_equal_brute_force_with_short_and_with_crowded_
         assert got(simhash.fingerprint_classes(spark, docs, 4, crowded)) == want
 
 
+def test_of_any_four_positions_three_are_a_choice():
+    assert len(simhash.CHOICES) == 20
+    assert all(any({*c} <= {*four} for c in simhash.CHOICES) for four in combinations(range(8), 4))
+
+
 def test_links_at_each_distance_and_spread_of_bits(spark):
     rng = random.Random(8)
     nodes = []
