@@ -123,6 +123,7 @@ def merge_parts(
     cast: str = "strict",
     broadcast_limit: int = BROADCAST_LIMIT,
     facts: SourceFacts | None = None,
+    images: bool = False,
 ) -> MergeParts:
     """Compute an upsert as (target rows with replacements, source rows without a match).
 
@@ -132,6 +133,8 @@ def merge_parts(
     and the target is not shuffled at all; a larger one is shuffle-joined, and
     as a left join that plan lets adaptive execution split a hot target key,
     which it cannot do for a full outer join.
+
+    ``images``: both halves show their changes as well, see ``with_images``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     newer = [newer_by] if isinstance(newer_by, str) else list(newer_by)
@@ -169,14 +172,13 @@ def merge_parts(
         theirs = F.struct(*[F.col(f"`__s_{c}`").alias(c) for c in newer])
         ours = F.struct(*[F.col(f"`{c}`").alias(c) for c in newer])
         use = use & (theirs > ours)
-    kept = joined.select(
-        *[
-            F.when(use, F.col(f"`__s_{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
-            if c in rows.columns and c not in keys
-            else F.col(f"`{c}`")
-            for c in target.columns
-        ]
-    )
+    after = [
+        F.when(use, F.col(f"`__s_{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
+        if c in rows.columns and c not in keys
+        else F.col(f"`{c}`")
+        for c in target.columns
+    ]
+    kept = with_images(joined, target.columns, use, after) if images else joined.select(*after)
 
     known = target.select(*keys).filter(_keys_set(keys))
     if small:
@@ -188,6 +190,9 @@ def merge_parts(
         unmatched = rows.filter(_keys_set(keys)).join(known.distinct(), keys, "left_anti")
         unmatched = unmatched.unionByName(rows.filter(~_keys_set(keys)))
     inserted = conform(unmatched, target.schema, missing="null")
+    if images:
+        whole = F.struct(*[F.col(f"`{c}`") for c in target.columns])
+        inserted = _imaged(inserted, target.columns, F.array(_image(DATA, whole), _image("insert", whole)))
     return MergeParts(kept, inserted, small)
 
 
@@ -218,6 +223,10 @@ def delete_where(df: DataFrame, condition: Column | str) -> DataFrame:
 
 def update_where(df: DataFrame, values: dict[str, object], condition: Column | str) -> DataFrame:
     """Set columns to constants or expressions of the old row where the condition is true."""
+    return df.select(*_updated(df, values, condition))
+
+
+def _updated(df: DataFrame, values: dict[str, object], condition: Column | str) -> list[Column]:
     chosen = _expr(condition)
     columns = []
     for field in df.schema:
@@ -230,7 +239,44 @@ def update_where(df: DataFrame, values: dict[str, object], condition: Column | s
     unknown = set(values) - set(df.columns)
     if unknown:
         raise ValueError(f"no such columns: {sorted(unknown)}")
-    return df.select(*columns)
+    return columns
+
+
+# -------------------------------------------------------------- change images
+
+KIND = "change_kind"
+DATA = "data"  # the kind of rows that are the table's own
+
+
+def _image(kind: str, row: Column) -> Column:
+    return F.struct(F.lit(kind).alias(KIND), row.alias("row"))
+
+
+def _imaged(df: DataFrame, names: list[str], images: Column) -> DataFrame:
+    shown = df.select(F.explode(images).alias("image"))
+    return shown.select(*[F.col("image.row")[c].alias(c) for c in names], f"image.{KIND}")
+
+
+def with_images(df: DataFrame, names: list[str], changed: Column, after: list[Column]) -> DataFrame:
+    """The new rows (kind ``data``) and, of changed ones, the old and the new row once more.
+
+    The table's rows and what changed in them come out of one pass, to be written side by side.
+    """
+    old, new = F.struct(*[F.col(f"`{c}`") for c in names]), F.struct(*[c.alias(n) for c, n in zip(after, names, strict=True)])
+    both = F.array(_image(DATA, new), _image("update_preimage", old), _image("update_postimage", new))
+    return _imaged(df, names, F.when(changed, both).otherwise(F.array(_image(DATA, new))))
+
+
+def delete_with_images(df: DataFrame, condition: Column | str) -> DataFrame:
+    """All rows: those that stay as kind ``data``, the others as kind ``delete``."""
+    gone = F.coalesce(_expr(condition), F.lit(False))
+    return df.withColumn(KIND, F.when(gone, F.lit("delete")).otherwise(F.lit(DATA)))
+
+
+def update_with_images(df: DataFrame, values: dict[str, object], condition: Column | str) -> DataFrame:
+    """As ``update_where``, with the old and new image of every row the condition holds for."""
+    after = _updated(df, values, condition)
+    return with_images(df, df.columns, F.coalesce(_expr(condition), F.lit(False)), after)
 
 
 # ---------------------------------------------------------------- change feed

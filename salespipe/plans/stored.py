@@ -136,12 +136,12 @@ def _hours(n: int) -> dt.datetime:
     return _AT + dt.timedelta(hours=n)
 
 
-def line_versions(spark: SparkSession, sf_dir: str, buckets: int = 0) -> VersionedTable:
+def line_versions(spark: SparkSession, sf_dir: str, buckets: int = 0, change_feed: bool = False) -> VersionedTable:
     """0 empty, 1 loaded, 2 high discounts deleted, 3 NULLs set to 0, 4 appended to itself with a ratio."""
     lines = lines_with_nulls(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     table = VersionedTable.create(
         spark, scratch_dir(spark, "lines"), lines.schema, not_null="l_orderkey",
-        bucket_by="l_orderkey" if buckets else (), buckets=buckets, now=_hours(0),
+        bucket_by="l_orderkey" if buckets else (), buckets=buckets, change_feed=change_feed, now=_hours(0),
     )
     table.append(lines, now=_hours(1))
     table.delete("l_discount > 0.08", now=_hours(2))
@@ -166,17 +166,8 @@ _V4 = f"""
     f" FROM ({sql})" for v, sql in enumerate([f"{_V1} LIMIT 0", _V1, _V2, _V3, _V4])
 ))
 def time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = line_versions(spark, sf_dir)
-    found = None
-    for version in range(5):
-        rows = table.read(version=version)
-        counted = rows.agg(
-            F.lit(version).alias("version"),
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(null_flag("l_discount")).alias("nulls"),
-        )
-        found = counted if found is None else found.unionByName(counted)
-    return found
+    counted = line_versions(spark, sf_dir).across(list(range(5)), nulls=null_flag("l_discount"))
+    return counted.select(F.col("version").cast("int").alias("version"), "rows", "nulls")
 
 
 @query(_V4)
@@ -279,6 +270,45 @@ def change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_versions(spark, sf_dir).changes(1, 2)
 
 
+_WHOLE = "l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, CAST(NULL AS DOUBLE) AS per_unit"
+_NEWER = """
+    SELECT DISTINCT l_orderkey, l_linenumber, 1.0::DOUBLE AS l_quantity, 0.5::DOUBLE AS l_discount, 0.25::DOUBLE AS l_tax
+    FROM lineitem WHERE l_orderkey % 10 = 0
+"""
+_RECORDED = f"""
+    SELECT {_WHOLE}, 'insert' AS _change, 1 AS _version FROM ({_V1})
+    UNION ALL SELECT {_WHOLE}, 'delete', 2 FROM ({_V1}) WHERE l_discount > 0.08
+    UNION ALL SELECT {_WHOLE}, 'update_preimage', 3 FROM ({_V2}) WHERE l_discount IS NULL
+    UNION ALL SELECT {_WHOLE}, 'update_postimage', 3 FROM (SELECT * REPLACE (0.0 AS l_discount) FROM ({_V2}) WHERE l_discount IS NULL)
+    UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_discount, NULL, l_quantity / nullif(l_discount, 0), 'insert', 4 FROM ({_V3})
+    UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, per_unit, 'update_preimage', 5
+        FROM ({_V4}) WHERE l_orderkey % 10 = 0
+    UNION ALL SELECT l_orderkey, l_linenumber, 1.0, 0.5, 0.25, per_unit, 'update_postimage', 5 FROM ({_V4}) WHERE l_orderkey % 10 = 0
+    UNION ALL SELECT {_WHOLE}, 'insert', 5 FROM ({_NEWER}) n
+        WHERE NOT EXISTS (SELECT 1 FROM ({_V4}) v WHERE v.l_orderkey = n.l_orderkey AND v.l_linenumber = n.l_linenumber)
+"""
+
+
+def _recorded_lines(spark: SparkSession, sf_dir: str, buckets: int = 0) -> VersionedTable:
+    """The versions of ``line_versions`` with recorded changes, and 5: every tenth order's lines upserted, all copies of a key."""
+    table = line_versions(spark, sf_dir, buckets, change_feed=True)
+    newer = load(spark, sf_dir, "lineitem").filter("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber").distinct()
+    values = [F.lit(v).alias(c) for c, v in (("l_quantity", 1.0), ("l_discount", 0.5), ("l_tax", 0.25))]
+    table.upsert(newer.select("*", *values), ["l_orderkey", "l_linenumber"], missing="keep", now=_hours(5))
+    return table
+
+
+@query(_RECORDED)
+def change_feed_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each write did, as recorded by it; the keys repeat once the table is appended to itself."""
+    return _recorded_lines(spark, sf_dir).recorded_changes(1).drop("_committed_at")
+
+
+@query(f"SELECT * FROM ({_RECORDED}) WHERE _version IN (3, 4, 5)")
+def change_feed_recorded_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recorded_lines(spark, sf_dir, buckets=4).recorded_changes(3, 5).drop("_committed_at")
+
+
 @query("""
     SELECT k % 3 AS kind, count(*) AS n, CAST(sum(CASE WHEN k % 3 = 0 THEN 0 ELSE 1 END) AS BIGINT) AS changed
     FROM (SELECT o_orderkey AS k FROM orders) GROUP BY 1

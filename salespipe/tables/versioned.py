@@ -11,6 +11,12 @@ parts that hold rows they touch; with ``buckets`` a version is split by a hash
 of the key into ``bucket_id=B`` parts, which is what keeps a small upsert
 into a big table small. Without buckets an upsert looks for the parts that hold
 its keys first.
+
+A table created with ``change_feed`` records what every write changes. A rewrite
+writes its rows and their changes in one pass, side by side in folders by
+``change_kind``; an append or overwrite writes nothing twice, as its parts are the
+changes. The commit lists the folders of its changes, so the feed of some versions
+opens these alone, shows every step between, and needs no key.
 """
 
 from __future__ import annotations
@@ -30,6 +36,7 @@ from salespipe.operators import changes
 from salespipe.sources import storage
 
 BUCKET = "bucket_id"
+KIND, DATA = changes.KIND, changes.DATA
 DEFAULT_RETENTION_HOURS = 7 * 24
 
 # The parts of a version are left out: together they grow with the square of the commits.
@@ -37,7 +44,10 @@ HISTORY_SCHEMA = (
     "version long, committed_at timestamp, operation string, params map<string,string>, rows long, "
     "schema string, query_id string, batch_id long"
 )
-_PART = r"/data/((?:version=[^/]+)(?:/bucket_id=\d+)?)/[^/]+$"
+LOG_SCHEMA = "version long, committed_at timestamp, parts array<struct<path:string>>, feed array<struct<path:string, kind:string>>"
+_PART = r"/data/((?:version=[^/]+)(?:/change_kind=[a-z_]+)?(?:/bucket_id=\d+)?)/[^/]+$"
+# Up to so many buckets the write itself counts their rows; each takes an aggregate of its own.
+COUNTED_BUCKETS = 64
 
 
 class SchemaMismatch(ValueError):
@@ -52,6 +62,14 @@ class VersionRetired(ValueError):
     """The version's files were vacuumed."""
 
 
+class NoChangeFeed(ValueError):
+    """The table does not record its changes."""
+
+
+class NotAppended(ValueError):
+    """A stream of appended rows came to a version that changed rows."""
+
+
 @dataclass(frozen=True)
 class Commit:
     """One version: what made it and which folders it consists of."""
@@ -68,6 +86,9 @@ class Commit:
     buckets: int = 0
     query_id: str | None = None
     batch_id: int | None = None
+    # Whether writes record their changes, and where this one's are.
+    change_feed: bool = False
+    feed: list[dict] = field(default_factory=list)
     # The last batch of every stream that wrote to the table.
     batches: dict[str, int] = field(default_factory=dict)
 
@@ -88,6 +109,11 @@ def _bucket_of(path: str) -> int:
     return int(path.rsplit(f"{BUCKET}=", 1)[1])
 
 
+def _entries(paths: list[str], kind: str) -> list[dict]:
+    """Whole parts as changes of one kind."""
+    return [{"path": p, "kind": kind} for p in paths]
+
+
 def _utc(moment: dt.datetime) -> dt.datetime:
     return moment.astimezone(dt.timezone.utc)
 
@@ -109,12 +135,14 @@ class VersionedTable:
         not_null: str | list[str] = (),
         bucket_by: str | list[str] = (),
         buckets: int = 0,
+        change_feed: bool = False,
         now: dt.datetime | None = None,
     ) -> VersionedTable:
         """Version 0, empty; an existing table is left as it is.
 
         ``buckets`` is fixed for the table's life: choose it so that a bucket
-        of the full-grown table is a few hundred megabytes.
+        of the full-grown table is a few hundred megabytes. ``change_feed``, also
+        fixed, records the changes of every write for ``recorded_changes``.
         """
         table = cls(spark, root)
         if table.exists():
@@ -123,8 +151,8 @@ class VersionedTable:
         keys = [bucket_by] if isinstance(bucket_by, str) else list(bucket_by)
         if bool(keys) != bool(buckets):
             raise ValueError("bucket_by and buckets go together")
-        if BUCKET in struct.fieldNames():
-            raise ValueError(f"{BUCKET} is the name of the table's bucket folders")
+        if {BUCKET, KIND} & set(struct.fieldNames()):
+            raise ValueError(f"{BUCKET} and {KIND} are the names of the table's own folders")
         required = [not_null] if isinstance(not_null, str) else list(not_null)
         required = sorted({*required, *[f.name for f in struct if not f.nullable]})
         table._publish(
@@ -136,6 +164,7 @@ class VersionedTable:
                 not_null=required,
                 bucket_by=keys,
                 buckets=buckets,
+                change_feed=change_feed,
             ),
             now,
         )
@@ -189,14 +218,69 @@ class VersionedTable:
         now = self._scan(new, [p for p in new.paths if p not in shared])
         return changes.change_feed(was, now, keys) if keys else changes.row_difference(was, now)
 
+    def recorded_changes(self, first: int, last: int | None = None) -> DataFrame:
+        """What versions ``first`` to ``last`` (default: the newest) changed, row by row as their writes recorded it.
+
+        Adds ``_change`` (insert, delete, update_preimage, update_postimage), ``_version`` and
+        ``_committed_at`` to the columns of the last version. Reads the folders of changes only.
+        """
+        head = self._commit(last)
+        if not head.change_feed:
+            raise NoChangeFeed(f"the table at {self.root} was created without change_feed")
+        found = self._log().filter(F.col("version").between(first, head.version))
+        entries = found.select("version", "committed_at", F.explode("feed").alias("f")).select(
+            F.col("f.path").alias("__part"), F.col("f.kind").alias("_change"),
+            F.col("version").alias("_version"), F.col("committed_at").alias("_committed_at"),
+        )
+        paths = sorted(r[0] for r in entries.select("__part").distinct().collect())
+        self._require(paths, f"changes of versions {first} to {head.version}")
+        rows = self._scan(head, paths, *([self._part()] if paths else [F.lit("").alias("__part")]))
+        return rows.join(entries, "__part").drop("__part")
+
+    def across(self, versions: list[int], **measures: Column) -> DataFrame:
+        """(version, rows, and the sum of each measure, a number for every row) of several versions.
+
+        Every part is scanned once and added up for all the versions that hold it.
+        The sum over a version without rows is NULL.
+        """
+        newest = self._commit(max(versions))
+        wanted = self.spark.createDataFrame([(v,) for v in versions], "version long")
+        held = self._log().join(wanted, "version").select("version", F.explode("parts.path").alias("__part"))
+        paths = sorted(r[0] for r in held.select("__part").distinct().collect())
+        self._require(paths, f"versions {versions}")
+        rows = self._scan(newest, paths, *([self._part()] if paths else [F.lit("").alias("__part")]))
+        shown = rows.select("__part", *[c.alias(n) for n, c in measures.items()])
+        sums = shown.groupBy("__part").agg(F.count(F.lit(1)).alias("rows"), *[F.sum(f"`{n}`").alias(n) for n in measures])
+        found = held.join(sums, "__part").groupBy("version").agg(
+            F.sum("rows").alias("rows"), *[F.sum(f"`{n}`").alias(n) for n in measures]
+        )
+        return wanted.join(found, "version", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+    def appended_by(self, versions: list[int]) -> DataFrame:
+        """The rows that these versions appended; a version that rewrote or removed rows raises."""
+        rows = [self._commit(v) for v in sorted(versions)]
+        parts: list[str] = []
+        for commit in rows:
+            if commit.operation in ("CREATE TABLE", "VACUUM"):
+                continue
+            own = [p for p in commit.paths if p.startswith(f"version={commit.version}-")]
+            before = self._commit(commit.version - 1).paths if commit.version else []
+            if commit.operation != "APPEND" or set(commit.paths) - set(own) != set(before):
+                raise NotAppended(f"version {commit.version} is no append but {commit.operation}")
+            parts += own
+        newest = rows[-1] if rows else self._commit()
+        self._require(parts, f"rows appended by versions {versions}")
+        return self._scan(newest, parts)
+
     # --------------------------------------------------------------- writing
 
     def overwrite(self, df: DataFrame, *, cast: str = "strict", now: dt.datetime | None = None) -> int:
         """Replace all rows; the schema stays."""
         head = self._commit()
         rows = conform(df, head.struct, cast=cast)
-        parts = self._write(head, self._laid_out(head, rows))
-        return self._publish(self._next(head, "OVERWRITE", parts), now)
+        parts, _ = self._write(head, self._laid_out(head, rows))
+        feed = _entries(head.paths, "delete") + _entries([p["path"] for p in parts], "insert")
+        return self._publish(self._next(head, "OVERWRITE", parts, feed), now)
 
     def append(self, df: DataFrame, *, merge_schema: bool = False, now: dt.datetime | None = None) -> int:
         """Add rows. A schema that differs raises, or (``merge_schema``) widens the table.
@@ -214,24 +298,23 @@ class VersionedTable:
         widened = T.StructType([*want.fields, *[f for f in have if f.name not in want.fieldNames()]])
         head = replace(head, schema=widened.json())
         rows = conform(df, widened, missing="null")
-        parts = self._write(head, self._laid_out(head, rows))
-        commit = self._next(head, "APPEND", head.parts + parts, mergeSchema=str(merge_schema).lower())
+        parts, _ = self._write(head, self._laid_out(head, rows))
+        feed = _entries([p["path"] for p in parts], "insert")
+        commit = self._next(head, "APPEND", head.parts + parts, feed, mergeSchema=str(merge_schema).lower())
         return self._publish(commit, now)
 
     def delete(self, condition: str | Column, *, now: dt.datetime | None = None) -> int:
         """Remove the rows for which the condition is true."""
-        return self._rewrite(
-            "DELETE", condition, lambda rows: changes.delete_where(rows, condition), now
-        )
+        change = changes.delete_with_images if self._commit().change_feed else changes.delete_where
+        return self._rewrite("DELETE", condition, lambda rows: change(rows, condition), now)
 
     def update(self, values: dict[str, object], condition: str | Column, *, now: dt.datetime | None = None) -> int:
         """Set columns where the condition is true."""
         head = self._commit()
         if set(values) & set(head.bucket_by):
             raise ValueError("the columns a table is bucketed by cannot be updated")
-        return self._rewrite(
-            "UPDATE", condition, lambda rows: changes.update_where(rows, values, condition), now
-        )
+        change = changes.update_with_images if head.change_feed else changes.update_where
+        return self._rewrite("UPDATE", condition, lambda rows: change(rows, values, condition), now)
 
     def upsert(
         self,
@@ -270,7 +353,9 @@ class VersionedTable:
             touched = [p for p in head.paths if _bucket_of(p) in facts.buckets]
         else:
             touched = self._parts_with(head, source, keys, changes.may_broadcast(facts, options))
-        halves = changes.merge_parts(self._scan(head, touched), source, keys, facts=facts, **options)
+        halves = changes.merge_parts(
+            self._scan(head, touched), source, keys, facts=facts, images=head.change_feed, **options
+        )
         if not head.buckets:
             rows = halves.kept.unionByName(halves.inserted)
         elif halves.source_broadcast:
@@ -280,9 +365,9 @@ class VersionedTable:
             rows = kept.unionByName(self._laid_out(head, halves.inserted))
         else:
             rows = self._laid_out(head, halves.kept.unionByName(halves.inserted))
-        parts = self._write(head, rows)
+        parts, feed = self._write(head, rows)
         untouched = [p for p in head.parts if p["path"] not in set(touched)]
-        commit = self._next(head, "MERGE", untouched + parts, keys=",".join(keys))
+        commit = self._next(head, "MERGE", untouched + parts, feed, keys=",".join(keys))
         if batch is not None:
             commit = replace(
                 commit, query_id=batch[0], batch_id=batch[1], batches={**head.batches, batch[0]: batch[1]}
@@ -311,16 +396,18 @@ class VersionedTable:
         cutoff = _utc(now) - dt.timedelta(hours=retain_hours)
         # Versions in force at the cutoff or later keep their parts; those in
         # force when it came are the newest of the older ones.
-        log = self.history().select("version", "committed_at")
-        first = log.filter(F.col("committed_at") <= F.lit(cutoff)).agg(F.max("version")).first()[0] or 0
-        kept = {path for version in range(first, head.version + 1) for path in self._commit(version).paths}
+        first = self.history().filter(F.col("committed_at") <= F.lit(cutoff)).agg(F.max("version")).first()[0] or 0
+        log = self._log().filter(F.col("version").between(first, head.version))
+        # What the first of them changed was recorded before the cutoff.
+        recorded = log.filter(F.col("version") > first).select(F.explode("feed.path").alias("path"))
+        live = log.select(F.explode("parts.path").alias("path")).union(recorded).distinct()
+        kept = {r[0] for r in live.collect()}
         gone = []
         for folder in storage.list_names(self.spark, self._data("")):
             # A folder of a version yet to come may be another writer's work.
             if int(folder.removeprefix("version=").split("-")[0]) > head.version:
                 continue
-            parts = [f"{folder}/{n}" for n in storage.list_names(self.spark, self._data(folder)) if n.startswith(BUCKET)]
-            parts = parts or [folder]
+            parts = self._parts_in(folder)
             stale = [p for p in parts if p not in kept]
             for path in [folder] if stale == parts else stale:
                 storage.delete_folder(self.spark, self._data(path))
@@ -362,18 +449,38 @@ class VersionedTable:
             raise VersionNotFound(f"no version {version} at {self.root}")
         return Commit(**json.loads(storage.read_text(self.spark, self._file(version))))
 
+    def _log(self) -> DataFrame:
+        """Versions with the folders of their rows and of their changes."""
+        return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/commits")
+
+    def _parts_in(self, folder: str) -> list[str]:
+        """The parts below a folder of one write: by kind of change, by bucket, by both, or the folder itself."""
+        names = storage.list_names(self.spark, self._data(folder))
+        below = [n for n in names if n.startswith((f"{KIND}=", f"{BUCKET}="))]
+        return [p for n in below for p in self._parts_in(f"{folder}/{n}")] or [folder]
+
     def _require_parts(self, commit: Commit) -> None:
-        folders = {p.split("/")[0] for p in commit.paths}
-        there = {n for f in folders for n in (f, *(f"{f}/{x}" for x in storage.list_names(self.spark, self._data(f))))}
-        there -= {f for f in folders if not storage.exists(self.spark, self._data(f))}
-        gone = [p for p in commit.paths if p not in there]
+        self._require(commit.paths, f"version {commit.version}")
+
+    def _require(self, paths: list[str], what: str) -> None:
+        tops = {p for p in paths if "/" not in p}
+        there = {p for p in tops if storage.exists(self.spark, self._data(p))}
+        for above in {p.rsplit("/", 1)[0] for p in paths if p not in tops}:
+            there |= {f"{above}/{n}" for n in storage.list_names(self.spark, self._data(above))}
+        gone = [p for p in paths if p not in there]
         if gone:
-            raise VersionRetired(f"version {commit.version} was vacuumed: {len(gone)} of its parts are gone")
+            raise VersionRetired(f"{what}: vacuumed, {len(gone)} of the parts are gone")
+
+    @staticmethod
+    def _part() -> Column:
+        return F.regexp_extract("_metadata.file_path", _PART, 1).alias("__part")
 
-    def _scan(self, commit: Commit, paths: list[str]) -> DataFrame:
+    def _scan(self, commit: Commit, paths: list[str], *more: Column) -> DataFrame:
+        columns = [F.col(f"`{f.name}`") for f in commit.struct]
         if not paths:
-            return self.spark.createDataFrame([], commit.struct)
-        return self.spark.read.schema(commit.struct).parquet(*[self._data(p) for p in paths])
+            return self.spark.createDataFrame([], commit.struct).select(*columns, *more)
+        rows = self.spark.read.schema(commit.struct).option("recursiveFileLookup", True)
+        return rows.parquet(*[self._data(p) for p in paths]).select(*columns, *more)
 
     @staticmethod
     def _bucket(commit: Commit) -> Column:
@@ -384,53 +491,63 @@ class VersionedTable:
         """Rows grouped by bucket for few files per folder; a big bucket may be split."""
         if not commit.buckets:
             return df
-        return df.withColumn(BUCKET, self._bucket(commit)).hint("rebalance", F.col(BUCKET))
+        by = [F.col(c) for c in (KIND, BUCKET) if c == BUCKET or c in df.columns]
+        return df.withColumn(BUCKET, self._bucket(commit)).hint("rebalance", *by)
 
-    def _write(self, head: Commit, rows: DataFrame) -> list[dict]:
-        """Write the parts of the version after ``head``; says which hold rows, and how many."""
+    def _write(self, head: Commit, rows: DataFrame) -> tuple[list[dict], list[dict]]:
+        """Write the parts of the version after ``head``: which hold rows and how many, and which hold changes."""
         folder = f"version={head.version + 1}-{uuid.uuid4().hex[:12]}"
-        checked = changes.require_not_null(rows, head.not_null)
-        if not head.buckets:
-            seen = Observation()
-            checked.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(self._data(folder))
-            count = seen.get["rows"]
-            return [{"path": folder, "rows": count}] if count else []
-        checked.write.partitionBy(BUCKET).parquet(self._data(folder))
-        if not any(n.startswith(BUCKET) for n in storage.list_names(self.spark, self._data(folder))):
-            return []
-        counts = self.spark.read.schema(T.StructType([*head.struct.fields, T.StructField(BUCKET, T.IntegerType())]))
-        found = counts.parquet(self._data(folder)).groupBy(BUCKET).count().sort(BUCKET).collect()
-        return [{"path": f"{folder}/{BUCKET}={r[BUCKET]}", "rows": r["count"]} for r in found]
+        by = [c for c in (KIND, BUCKET) if c in rows.columns]
+        own = F.col(KIND) == DATA if KIND in by else F.lit(True)
+        counts = [F.count_if(own).alias("rows")]
+        if BUCKET in by and head.buckets <= COUNTED_BUCKETS:
+            counts += [F.count_if(own & (F.col(BUCKET) == b)).alias(str(b)) for b in range(head.buckets)]
+        seen = Observation()
+        checked = changes.require_not_null(rows, head.not_null).observe(seen, *counts)
+        checked.write.partitionBy(*by).parquet(self._data(folder))
+        top = f"{folder}/{KIND}={DATA}" if KIND in by else folder
+        recorded = [p for p in self._parts_in(folder) if f"/{KIND}=" in p and not p.startswith(f"{top}/") and p != top]
+        feed = [{"path": p, "kind": p.split(f"{KIND}=", 1)[1].split("/")[0]} for p in recorded]
+        if not seen.get["rows"]:
+            return [], feed
+        if BUCKET not in by:
+            return [{"path": top, "rows": seen.get["rows"]}], feed
+        found = {b: seen.get[str(b)] for b in range(head.buckets)} if len(counts) > 1 else self._counted(head, top)
+        return [{"path": f"{top}/{BUCKET}={b}", "rows": n} for b, n in sorted(found.items()) if n], feed
+
+    def _counted(self, head: Commit, top: str) -> dict[int, int]:
+        """Rows by bucket of a table of too many buckets to count while they are written."""
+        rows = self.spark.read.schema(T.StructType([*head.struct.fields, T.StructField(BUCKET, T.IntegerType())]))
+        return {r[BUCKET]: r["count"] for r in rows.parquet(self._data(top)).groupBy(BUCKET).count().collect()}
 
     def _rewrite(self, operation: str, condition, change, now) -> int:
         """Replace the parts that hold rows of the condition; carry the others over."""
         head = self._commit()
         touched = self._parts_where(head, condition)
-        parts = []
+        parts, feed = [], []
         if touched:
             rows = change(self._scan(head, touched))
             if head.buckets:
                 # Not shuffled since the scan: tasks still hold whole bucket folders.
                 rows = rows.withColumn(BUCKET, self._bucket(head))
-            parts = self._write(head, rows)
+            parts, feed = self._write(head, rows)
         untouched = [p for p in head.parts if p["path"] not in set(touched)]
         shown = condition if isinstance(condition, str) else str(condition)
-        return self._publish(self._next(head, operation, untouched + parts, predicate=shown), now)
+        return self._publish(self._next(head, operation, untouched + parts, feed, predicate=shown), now)
 
     def _parts_where(self, head: Commit, condition) -> list[str]:
         """Parts with a row of the condition: a scan of the condition's columns only."""
         if not head.paths:
             return []
-        matching = self._scan(head, head.paths).filter(F.expr(condition) if isinstance(condition, str) else condition)
-        part = F.regexp_extract("_metadata.file_path", _PART, 1)
-        return sorted(r[0] for r in matching.select(part).distinct().collect())
+        rows = self._scan(head, head.paths, self._part())
+        matching = rows.filter(F.expr(condition) if isinstance(condition, str) else condition)
+        return sorted(r[0] for r in matching.select("__part").distinct().collect())
 
     def _parts_with(self, head: Commit, source: DataFrame, keys: list[str], small: bool) -> list[str]:
         """Parts with a key of the source: a scan of the key columns only."""
         if not head.paths:
             return []
-        part = F.regexp_extract("_metadata.file_path", _PART, 1).alias("__part")
-        target = self._scan(head, head.paths).select(part, *[F.col(f"`{k}`") for k in keys])
+        target = self._scan(head, head.paths, self._part()).select("__part", *[F.col(f"`{k}`") for k in keys])
         wanted = source.select(*keys).distinct()
         hits = target.join(F.broadcast(wanted) if small else wanted, keys, "left_semi")
         return sorted(r[0] for r in hits.select("__part").distinct().collect())
@@ -439,7 +556,7 @@ class VersionedTable:
         return head.batches.get(batch[0], -1) >= batch[1]
 
     @staticmethod
-    def _next(head: Commit, operation: str, parts: list[dict], **params: str) -> Commit:
+    def _next(head: Commit, operation: str, parts: list[dict], feed: list[dict] | None = None, **params: str) -> Commit:
         return replace(
             head,
             version=head.version + 1,
@@ -447,6 +564,7 @@ class VersionedTable:
             params=params,
             parts=parts,
             rows=sum(p["rows"] for p in parts),
+            feed=feed if feed and head.change_feed else [],
             query_id=None,
             batch_id=None,
         )

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from salespipe.operators.changes import AmbiguousMerge
 from salespipe.sources import storage
-from salespipe.tables.versioned import SchemaMismatch, VersionedTable, VersionNotFound, VersionRetired
+from salespipe.tables.versioned import (
+    NoChangeFeed,
+    NotAppended,
+    SchemaMismatch,
+    VersionedTable,
+    VersionNotFound,
+    VersionRetired,
+)
 
 SCHEMA = "k int, v int, d int"
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -234,3 +241,95 @@ def test_the_newest_version_is_found_with_a_stale_or_no_hint(spark, root, rows,
         storage.overwrite_text(spark, table._hint(), hint)
     assert table.version() == 2 and table.read().count() == 2
     assert not VersionedTable(spark, f"{root}/none").exists()
+
+
+@pytest.fixture(params=[0, 4, 100], ids=["plain", "bucketed", "many buckets"])
+def recorded(spark, root, request):
+    return VersionedTable.create(
+        spark, f"{root}/r", SCHEMA, now=hour(0), change_feed=True,
+        bucket_by="k" if request.param else (), buckets=request.param,
+    )
+
+
+def test_every_write_records_what_it_changed(spark, recorded, rows):
+    table = recorded
+    table.append(frame(spark, (1, 10, 1), (2, None, 1), (None, 5, 1)), now=hour(1))
+    table.append(table.read().filter("k = 1"), now=hour(2))  # the key repeats
+    table.upsert(frame(spark, (1, 11, 2), (3, 30, 2), (None, 7, 2)), "k", now=hour(3))
+    table.update({"v": 0}, "v is null", now=hour(4))
+    table.delete("k = 1", now=hour(5))
+    table.delete("k = 77", now=hour(6))
+    table.overwrite(frame(spark, (9, 9, 9)), now=hour(7))
+    assert rows(table.read(version=5)) == [(None, 5, 1), (None, 7, 2), (2, 0, 1), (3, 30, 2)]
+    found = table.recorded_changes(1)
+    assert found.columns == ["k", "v", "d", "_change", "_version", "_committed_at"]
+    assert rows(found.drop("_committed_at")) == rows(spark.createDataFrame([
+        (1, 10, 1, "insert", 1), (2, None, 1, "insert", 1), (None, 5, 1, "insert", 1), (1, 10, 1, "insert", 2),
+        (1, 10, 1, "update_preimage", 3), (1, 11, 2, "update_postimage", 3), (1, 10, 1, "update_preimage", 3),
+        (1, 11, 2, "update_postimage", 3), (3, 30, 2, "insert", 3), (None, 7, 2, "insert", 3),
+        (2, None, 1, "update_preimage", 4), (2, 0, 1, "update_postimage", 4),
+        (1, 11, 2, "delete", 5), (1, 11, 2, "delete", 5),
+        (None, 5, 1, "delete", 7), (None, 7, 2, "delete", 7), (2, 0, 1, "delete", 7), (3, 30, 2, "delete", 7), (9, 9, 9, "insert", 7),
+    ], "k int, v int, d int, _change string, _version long"))
+    assert {r._version: r._committed_at.hour for r in found.collect()} == {v: v for v in (1, 2, 3, 4, 5, 7)}
+    assert rows(table.recorded_changes(4, 5), "_version") == [(4,), (4,), (5,), (5,)]
+    assert table.recorded_changes(6, 6).count() == 0
+
+
+def test_changes_applied_to_a_version_give_the_next(spark, recorded, rows):
+    table = recorded
+    table.append(frame(spark, *[(i % 7, i, 0) for i in range(40)]))
+    table.upsert(frame(spark, *[(i, 1000 + i, 1) for i in range(3, 12)]), "k")
+    table.update({"v": -1}, "v % 2 = 0")
+    table.delete("k < 3")
+    for version in range(2, 5):
+        feed = table.recorded_changes(version, version)
+        gained = feed.filter("_change in ('insert', 'update_postimage')").select("k", "v", "d")
+        lost = feed.filter("_change in ('delete', 'update_preimage')").select("k", "v", "d")
+        assert rows(table.read(version=version - 1).unionByName(gained).exceptAll(lost)) == rows(table.read(version=version))
+
+
+def test_the_feed_opens_the_folders_of_changes_only(spark, recorded):
+    table = recorded
+    table.append(frame(spark, *[(i, i, 0) for i in range(50)]))
+    table.update({"v": 0}, "k = 3")
+    files = [f for f in table.recorded_changes(2).inputFiles() if f.endswith(".parquet")]
+    assert files and all("/change_kind=update_" in f for f in files)
+
+
+def test_a_table_without_a_feed_says_so(spark, table):
+    table.append(frame(spark, (1, 1, 1)))
+    with pytest.raises(NoChangeFeed):
+        table.recorded_changes(1)
+
+
+def test_vacuum_retires_recorded_changes_with_their_versions(spark, recorded, rows):
+    table = recorded
+    table.append(frame(spark, (1, 1, 1), (2, 2, 2)), now=hour(1))
+    table.update({"v": 5}, "k = 1", now=hour(2))
+    table.update({"v": 6}, "k = 1", now=hour(20))
+    table.vacuum(10, check=False, now=hour(21))
+    assert rows(table.read(version=2)) == [(1, 5, 1), (2, 2, 2)]
+    assert rows(table.recorded_changes(3), "v", "_change") == [(5, "update_preimage"), (6, "update_postimage")]
+    with pytest.raises(VersionRetired):
+        table.recorded_changes(2)
+
+
+def test_versions_are_compared_in_one_scan_of_their_parts(spark, table):
+    for i in range(3):
+        table.append(frame(spark, *[(j, j if j % 2 else None, i) for j in range(10)]))
+    table.delete("d = 1")
+    found = table.across([0, 1, 3, 4], v=F.coalesce(F.col("v"), F.lit(0)), nulls=F.col("v").isNull().cast("int"))
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 0, None, None), (1, 10, 25, 5), (3, 30, 75, 15), (4, 20, 50, 10)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_rows_of_appends_alone(spark, table, rows):
+    table.append(frame(spark, (1, 1, 1)))
+    table.append(frame(spark, (2, 2, 2)))
+    assert rows(table.appended_by([0, 1, 2])) == [(1, 1, 1), (2, 2, 2)]
+    assert rows(table.appended_by([2])) == [(2, 2, 2)]
+    table.delete("k = 1")
+    with pytest.raises(NotAppended):
+        table.appended_by([2, 3])
