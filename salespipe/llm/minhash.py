@@ -20,10 +20,11 @@ its square. What passes the count of collisions is confirmed on the full sets,
 and components of confirmed links are the classes.
 
 Documents with equal sets are one class from the start, however many they are;
-the smallest stands for them. Documents without words (NULL or empty texts) and
-rows without an id are linked with nothing and kept. Rows that repeat an id
-must have equal texts. An empty
-table gives an empty result; other columns are left out.
+one row stands for them, and copies of a row cost no more than their reading.
+Documents without words (NULL or empty texts) and rows without an id are linked
+with nothing and kept. An id on unequal texts is so many documents, each in the
+class of its own text. An empty table gives an empty result; other columns are
+left out.
 """
 
 from __future__ import annotations
@@ -73,7 +74,8 @@ def _sign(size: int):
                 empty = counts == 0
                 tokens = pa.FixedSizeListArray.from_arrays(pa.array(tokens.ravel()), COORDINATES).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": column(batch, "doc_id").slice(part.first, part.n), "n_shingles": counts,
+                    "doc_id": column(batch, "doc_id").slice(part.first, part.n),
+                    "text_hash": column(batch, "text_hash").slice(part.first, part.n), "n_shingles": counts,
                     "name1": pa.array(names[:, 0].view(np.int64), mask=empty),
                     "name2": pa.array(names[:, 1].view(np.int64), mask=empty), "tokens": tokens,
                 })
@@ -120,20 +122,37 @@ def near_duplicates(
     spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY
 ) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest id reachable by links) and kept."""
-    texts = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
+    found = document_classes(spark, docs, shingle, similarity)
+    kept = F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept)
+
+
+def document_classes(
+    spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY
+) -> DataFrame:
+    """Per document: doc_id, text_hash (XXH64 of the text), n_shingles, component_id and keeper_hash.
+
+    Of a class the document of the smallest id stays, and of texts that share this id the one with ``keeper_hash``.
+    """
+    texts = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").withColumn("text_hash", F.xxhash64("text"))
     signed = written(
-        spark, texts.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, name1 long, name2 long, tokens array<long>"), "signed"
+        spark,
+        texts.mapInArrow(_sign(shingle), "doc_id long, text_hash long, n_shingles long, name1 long, name2 long, tokens array<long>"),
+        "signed",
     )
     name = ["name1", "name2", "n_shingles"]
-    # Equal sets, whose names agree in 128 bits, have equal signatures.
-    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*name).agg(F.min("doc_id").alias("rep"))
-    classes = written(spark, classes, "classes")
-    reps = classes.select(F.col("rep").alias("doc_id")).join(signed.select("doc_id", "n_shingles", "tokens"), "doc_id")
-    posted = reps.select(F.col("doc_id").alias("rep"), F.explode("tokens").alias("token"))
+    # Equal sets, whose names agree in 128 bits, have equal signatures; ``rep`` numbers the classes.
+    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*name).agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("keeper"), F.first("tokens").alias("tokens")
+    )
+    classes = written(spark, classes, "classes").withColumn("rep", F.monotonically_increasing_id())
+    classes = written(spark, classes, "numbered")
+    reps = classes.select("rep", "n_shingles", "tokens")
+    posted = reps.select("rep", F.explode("tokens").alias("token"))
     shared = written(spark, posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     ranked = posted.join(shared, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("ranked"))
     ranked = ranked.where(F.size("ranked") >= MATCHES)
-    sizes = reps.select(F.col("doc_id").alias("rep"), "n_shingles")
+    sizes = reps.select("rep", "n_shingles")
     indexed = written(
         spark,
         ranked.join(sizes, "rep").select(
@@ -149,7 +168,9 @@ def near_duplicates(
     stars = lists.join(heads, "token").where("rep <> head")
     stars = stars.select(F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b"))
     stars = written(spark, _colliding(stars.distinct(), indexed, similarity), "stars")
-    texts = texts.withColumnRenamed("doc_id", "rep").join(indexed.select("rep"), "rep", "left_semi")
+    keepers = classes.join(indexed.select("rep"), "rep", "left_semi").select("rep", "keeper.doc_id", "keeper.text_hash")
+    # Copies of a row fall together before and after the exchange that the join needs anyway.
+    texts = texts.where("doc_id is not null").dropDuplicates(["doc_id", "text_hash"]).join(keepers, ["doc_id", "text_hash"])
     sets = texts.selectExpr("rep as doc_id", "text").mapInArrow(_shingle_sets(shingle), "rep long, shingles binary")
     sets = written(spark, sets, "sets")
     links = _links(spark, stars, sets, similarity)
@@ -164,12 +185,17 @@ def near_duplicates(
     every = links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
     final = written(spark, components(spark, every), "components")
     named = classes.join(final, classes.rep == final.node, "left").select(
-        *name, F.coalesce("component", "rep").alias("component")
+        *name, F.coalesce("component", "rep").alias("component"), "keeper"
+    )
+    keepers = named.groupBy("component").agg(F.min("keeper").alias("least"))
+    named = named.join(keepers, "component").select(
+        *name, F.col("least.doc_id").alias("component_id"), F.col("least.text_hash").alias("keeper_hash")
     )
-    named = written(spark, named, "named")
-    return signed.join(named, name, "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
-        F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
+    joined = signed.join(written(spark, named, "named"), name, "left")
+    return joined.select(
+        "doc_id", "text_hash", "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("keeper_hash", "text_hash")).alias("keeper_hash"),
     )
 
 

@@ -65,3 +65,21 @@ def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark, spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200}
+
+
+def test_thousands_of_copies_of_one_row(spark):
+    text = " ".join(f"word{i}" for i in range(120))
+    copies = spark.range(5000).selectExpr("7L as doc_id", f"'{text}' as text")
+    other = spark.createDataFrame([(3, text + " more"), (9, "nothing like it at all, is it")], "doc_id long, text string")
+    found = minhash.near_duplicates(spark, copies.unionByName(other)).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert sorted(tuple(r) for r in found) == [(3, 3, True, 1), (7, 3, False, 5000), (9, 9, True, 1)]
+
+
+def test_an_id_on_several_texts_is_so_many_documents(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (4, b + " tail"), (1, c)]
+    found = minhash.document_classes(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = spark.createDataFrame([(t,) for t in (a, b, c, b + " tail")], "text string").selectExpr("text", "xxhash64(text) as h").collect()
+    named = {r.h: r.text for r in texts}
+    got = sorted((r.doc_id, named[r.text_hash], r.component_id, named[r.keeper_hash]) for r in found.collect())
+    assert got == sorted([(1, a, 1, a), (2, a, 1, a), (2, b, 2, b), (4, b + " tail", 2, b), (1, c, 1, c), (3, c, 1, c)])
