@@ -2,10 +2,12 @@
 
 N-grams of 1 to 3 letters, lower-cased and with everything but letters read as
 a space, are hashed to ``DIMS`` places. Document frequencies come from all
-documents. The model is fitted by follow-the-regularised-leader with L1 and L2
-penalties on about ``PER_LANGUAGE`` rows of each language, chosen by a hash of
-their ids (all rows of a rarer language); one in five of them is kept back to
-fit the temperature that calibrates the scores. Every text is judged whole.
+documents that may teach. The model is fitted by follow-the-regularised-leader with
+L1 and L2 penalties on about ``PER_LANGUAGE`` rows of each language, chosen by a
+hash of their ids (all rows of a rarer language). The temperature that calibrates the
+scores is fitted on all these rows, each scored by a model of the other ``FOLDS`` - 1
+parts of them, against targets smoothed by one wrong answer more than there are, so
+that it is finite even if no answer is wrong. Every text is judged whole.
 
 A text that is NULL or has no letter is ``und`` with score 0, as is every text
 if there is no labelled row. Of equally likely languages the first by name
@@ -29,7 +31,9 @@ DIMS = 1 << 14
 SIZES = (1, 2, 3)
 PER_LANGUAGE = 800
 EPOCHS = 4
+FOLDS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
+LOG_TEMPERATURES = (np.log(0.02), np.log(20.0))
 UNKNOWN = "und"
 
 _LETTER = np.array([chr(i).isalpha() for i in range(1 << 16)])
@@ -131,35 +135,46 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def _temperature(logits: np.ndarray, truth: np.ndarray) -> float:
-    """The temperature of least loss, by golden section on its logarithm."""
-    if not len(truth):
+    """The temperature of least loss against smoothed targets, by golden section on its logarithm."""
+    n, langs = logits.shape
+    if n == 0 or langs < 2:
         return 1.0
+    target = np.full((n, langs), 1 / (n + 2) / (langs - 1))
+    target[np.arange(n), truth] = (n + 1) / (n + 2)
 
     def loss(t: float) -> float:
         scaled = logits / np.exp(t)
-        top = scaled.max(axis=1)
-        return float((np.log(np.exp(scaled - top[:, None]).sum(axis=1)) + top - scaled[np.arange(len(truth)), truth]).mean())
+        top = scaled.max(axis=1, keepdims=True)
+        every = np.log(np.exp(scaled - top).sum(axis=1, keepdims=True)) + top - scaled
+        return float((target * every).sum(axis=1).mean())
 
-    low, high, ratio = np.log(0.02), np.log(20.0), (np.sqrt(5) - 1) / 2
+    low, high, ratio = *LOG_TEMPERATURES, (np.sqrt(5) - 1) / 2
     for _ in range(60):
         a, b = high - ratio * (high - low), low + ratio * (high - low)
         low, high = (low, b) if loss(a) <= loss(b) else (a, high)
     return float(np.exp((low + high) / 2))
 
 
+def _taught(langs: list[str], idf: np.ndarray, data: list[tuple]) -> Model:
+    model = Model(langs, idf)
+    for _ in range(EPOCHS):
+        for places, counts, lang in data:
+            model.learn(places, weighted(places, counts, idf), lang)
+    model.finish()
+    return model
+
+
 def fit(spark: SparkSession, docs: DataFrame, train: Column) -> Model:
-    """A model of the rows where ``train`` holds and ``lang`` is known; ``docs`` gives the document frequencies."""
-    texts = docs.select(F.col("text").cast("string").alias("text"))
+    """A model of the rows where ``train`` holds, of which those with a ``lang`` are learned; no other row has a part in it."""
+    texts = docs.where(train).select(F.col("text").cast("string").alias("text"))
     frequency = summed(spark, texts, _frequencies, DIMS + 1)
     idf = np.log((1 + frequency[DIMS]) / (1 + frequency[:DIMS])) + 1
     labelled = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
     labelled = labelled.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "cast(lang as string) lang")
     numbers = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
     langs = sorted(numbers)
-    model = Model(langs, idf)
     if not langs:
-        model.finish()
-        return model
+        return _taught(langs, idf, [])
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, PER_LANGUAGE / numbers[lang]))])
     place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / (1 << 30)
     sample = labelled.where(place < share[F.col("lang")])
@@ -167,16 +182,14 @@ def fit(spark: SparkSession, docs: DataFrame, train: Column) -> Model:
     rows = sorted(rows, key=lambda r: (hash_of(r.doc_id), bytes(r.places)))
     data = [(np.frombuffer(bytes(r.places), np.int32), np.frombuffer(bytes(r.counts), np.int32), langs.index(r.lang)) for r in rows]
     data = [d for d in data if len(d[0])]
-    kept_back = data[::5] if len(data) >= 25 else []
-    taught = [d for i, d in enumerate(data) if i % 5] if kept_back else data
-    for _ in range(EPOCHS):
-        for places, counts, lang in taught:
-            model.learn(places, weighted(places, counts, idf), lang)
-    model.finish()
-    if kept_back:
-        model.temperature = _temperature(
-            np.array([model.logits(p, c) for p, c, _ in kept_back]), np.array([lang for _, _, lang in kept_back])
-        )
+    model = _taught(langs, idf, data)
+    if len(data) >= 10 * FOLDS:
+        logits, truth = [], []
+        for fold in range(FOLDS):
+            others = _taught(langs, idf, [d for i, d in enumerate(data) if i % FOLDS != fold])
+            logits += [others.logits(places, counts) for places, counts, _ in data[fold::FOLDS]]
+            truth += [lang for _, _, lang in data[fold::FOLDS]]
+        model.temperature = _temperature(np.array(logits), np.array(truth))
     return model
 
 

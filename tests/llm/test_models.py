@@ -18,6 +18,68 @@ def test_language_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_held_out_texts_have_no_part_in_the_language_model(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
+    other = docs.withColumn("text", F.when(train, F.col("text")).otherwise(F.lit("zzq xxv wholly other words")))
+    a, b = language.fit(spark, docs, train), language.fit(spark, other, train)
+    assert (a.idf == b.idf).all() and (a.w == b.w).all() and a.temperature == b.temperature
+
+
+def test_language_scores_are_calibrated(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
+    model = language.fit(spark, docs, train)
+    low, high = np.exp(language.LOG_TEMPERATURES)
+    assert 1.5 * low < model.temperature < high / 1.5
+    truth = docs.where(~train).select("doc_id", "lang")
+    got = language.identify(docs, model).join(truth, "doc_id").collect()
+    accuracy = np.mean([r.lang == r.lang_pred for r in got])
+    assert abs(np.mean([r.score for r in got]) - accuracy) < 0.02 and accuracy > 0.97
+
+
+def test_temperature_of_flat_and_of_sharp_scores():
+    rng = np.random.Generator(np.random.PCG64(3))
+    truth = rng.integers(0, 3, 4000)
+    logits = rng.normal(size=(4000, 3))
+    logits[np.arange(4000), truth] += 1.5
+    at = language._temperature(logits, truth)
+    # Scores sharpened tenfold need ten times the temperature.
+    assert np.isclose(language._temperature(10 * logits, truth), 10 * at, rtol=1e-3)
+
+
+def test_an_epoch_of_the_language_model_equals_a_plain_loop():
+    rng = np.random.Generator(np.random.PCG64(5))
+    model = language.Model(["a", "b", "c"], np.ones(language.DIMS))
+    z, n = {}, {}
+
+    def weight(i, k):
+        zi = z.get((i, k), 0.0)
+        if abs(zi) <= language.L1:
+            return 0.0
+        sign = 1 if zi > 0 else -1
+        return -(zi - sign * language.L1) / ((language.BETA + n.get((i, k), 0.0) ** 0.5) / language.ALPHA + language.L2)
+
+    for _ in range(60):
+        places = np.sort(rng.choice(40, 6, replace=False))
+        values, lang = rng.random(6), int(rng.integers(0, 3))
+        model.learn(places, values, lang)
+        x = {**dict(zip(places.tolist(), values.tolist(), strict=True)), language.DIMS: 1.0}
+        scores = [sum(v * weight(i, k) for i, v in x.items()) for k in range(3)]
+        p = np.exp(np.array(scores) - max(scores))
+        p /= p.sum()
+        old = {(i, k): weight(i, k) for i in x for k in range(3)}
+        for i, v in x.items():
+            for k in range(3):
+                g = v * (p[k] - (k == lang))
+                before = n.get((i, k), 0.0)
+                z[i, k] = z.get((i, k), 0.0) + g - ((before + g * g) ** 0.5 - before**0.5) / language.ALPHA * old[i, k]
+                n[i, k] = before + g * g
+    model.finish()
+    assert all(np.isclose(model.w[i, k], weight(i, k)) for i, k in z)
+
+
 def test_language_of_odd_rows(spark, odd, none):
     model = language.fit(spark, odd, F.lit(True))
     got = {r.doc_id: r for r in language.identify(odd, model).collect()}
