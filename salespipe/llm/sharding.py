@@ -6,10 +6,12 @@ and Yates under the bucket's own seed. Bucket after bucket, the rows form one
 uniform permutation; the row at place r goes to shard r mod n, so that shards
 differ by one row at most.
 
-The hash covers the whole row, so a hot source or language spreads evenly; rows
-alike in every column share a bucket. NULL texts count no bytes. The
-permutation depends on the rows and the seed alone, not on their order, and is
-the same if a task runs again. An empty table gives an empty result.
+The hash covers the whole row, so a hot source or language spreads evenly. Rows
+alike in every column would share a bucket; where they are more than ``COPIES``
+they are counted, and laid out again with the number of each copy in its
+hash. NULL texts count no bytes. The permutation depends on the rows and the seed
+alone, not on their order, and is the same if a task runs again. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from salespipe.llm.store import written
 
 BUCKET_BYTES = 8 << 20
 BLOCK = 1 << 12  # buckets whose places are added up together
+COPIES = 1000
 SEED = 17
 
 
@@ -34,7 +37,14 @@ def two_pass(
     rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.expr(size).cast("long").alias("size"))
     total = rows.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    scattered = rows.select("row", F.xxhash64("row", F.lit(seed)).alias("order"))
+    hashed = rows.select("row", F.xxhash64("row", F.lit(seed)).alias("order"))
+    crowds = hashed.groupBy("order").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COPIES)
+    crowds = written(spark, crowds.select("order"), "crowds")
+    if crowds.isEmpty():
+        scattered = hashed
+    else:
+        scattered = hashed.join(crowds, "order", "left_anti").select("row", "order")
+        scattered = scattered.unionByName(_copies(spark, hashed.join(crowds, "order", "left_semi"), seed))
     scattered = scattered.withColumn("bucket", F.pmod(F.xxhash64("order"), F.lit(buckets)))
     starts = _starts(spark, written(spark, scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")), "sizes"))
     schema = T.StructType([rows.schema["row"], T.StructField("place", T.LongType())])
@@ -50,6 +60,15 @@ def two_pass(
     return scattered.join(starts, "bucket").groupBy("bucket").applyInArrow(shuffle, schema)
 
 
+def _copies(spark: SparkSession, crowded: DataFrame, seed: int) -> DataFrame:
+    """Equal rows summed up to one with a count, and laid out again, a thousand copies to a task's row."""
+    counted = crowded.groupBy("order").agg(F.first("row").alias("row"), F.count(F.lit(1)).alias("n"))
+    runs = counted.select("order", "row", "n", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})")).alias("run"))
+    runs = runs.repartition("order", "run")
+    copy = F.explode(F.expr(f"sequence(run * {COPIES}, least(run * {COPIES} + {COPIES} - 1, n - 1))")).alias("copy")
+    return runs.select("row", "order", copy).select("row", F.xxhash64("order", "copy", F.lit(seed)).alias("order"))
+
+
 def _starts(spark: SparkSession, sizes: DataFrame) -> DataFrame:
     """The place of the first row of each bucket, by blocks of buckets, so that no task sees them all."""
     sizes = sizes.withColumn("block", F.expr(f"bucket div {BLOCK}"))
