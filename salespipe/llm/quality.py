@@ -1,8 +1,9 @@
 """Line-first cleaning and the verdict on what is left.
 
 Each line is judged by itself: it must end like a sentence or be long enough
-(punctuation), must not be a list of links (navigation) and must hold no stock
-phrase (boilerplate). Lines that fail are removed; a document that loses more
+(punctuation), must not be a list of links (navigation) and must not consist of
+stock phrases (boilerplate: whole words that make up ``PHRASE_SHARE`` percent of the
+line's words). Lines that fail are removed; a document that loses more
 than ``max_lost`` percent of its bytes is rejected, as is one that fails the
 base figures (too few words, or too many words in repeated windows).
 
@@ -12,6 +13,7 @@ empty table gives an empty result. Other columns are left out of the result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ SYMBOLS = b"#*$%&|<>"
 SENTENCE_ENDS = (".", "!", "?", '"', "'", ")", "…", ":", ";")
 NAVIGATION = (" | ", " > ", " » ", "home |", "skip to", "next page", "previous page", "read more", "click here")
 BOILERPLATE = (
-    "cookie", "terms of use", "terms of service", "privacy policy", "all rights reserved", "javascript",
+    "cookie", "cookies", "terms of use", "terms of service", "privacy policy", "all rights reserved", "javascript",
     "copyright ©", "sign up", "log in", "subscribe", "lorem ipsum",
 )
 
@@ -34,6 +36,7 @@ MAX_REPEATED = 30
 WINDOW = 8
 MIN_LINE_WORDS = 10
 NAVIGATION_MARKS = 2
+PHRASE_SHARE = 10
 MAX_LOST = 50
 
 SCHEMA = (
@@ -43,17 +46,32 @@ SCHEMA = (
 )
 
 
+_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def bordered(phrase: str) -> str:
+    """A pattern of the phrase as whole words; borders are those of ASCII letters and digits."""
+    ends = [r"\b" if c.isascii() and c.isalnum() else "" for c in (phrase[0], phrase[-1])]
+    return ends[0] + phrase + ends[1]
+
+
+_PHRASES = [(re.compile(bordered(p), re.ASCII), len(p.split(" "))) for p in BOILERPLATE]
+
+
 def line_fails(line: str) -> str | None:
     """The rule that a line with a word fails, or None."""
     text = line.strip(" \t\n\x0b\x0c\r")
     low = text.lower()
+    n_words = len(_WORDS.findall(text))
     if any(phrase in low for phrase in BOILERPLATE):
-        return "boilerplate"
+        stock = sum(size * len(phrase.findall(low)) for phrase, size in _PHRASES)
+        if stock and 100 * stock >= PHRASE_SHARE * n_words:
+            return "boilerplate"
     if any(low.startswith(mark) for mark in NAVIGATION if mark[0] != " ") or (
         sum(low.count(mark) for mark in NAVIGATION if mark[0] == " ") >= NAVIGATION_MARKS
     ):
         return "navigation"
-    if not text.endswith(SENTENCE_ENDS) and len(text.split()) < MIN_LINE_WORDS:
+    if not text.endswith(SENTENCE_ENDS) and n_words < MIN_LINE_WORDS:
         return "punctuation"
     return None
 

@@ -46,7 +46,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
-_PHRASES = " or ".join(f"contains(low, '{p}')" for p in quality.BOILERPLATE)
+_STOCK = " + ".join(
+    f"{len(p.split(' '))} * len(regexp_extract_all(low, '{quality.bordered(p)}'))" for p in quality.BOILERPLATE
+)
 _STARTS = " or ".join(f"starts_with(low, '{m}')" for m in quality.NAVIGATION if m[0] != " ")
 _MARKS = " + ".join(
     f"(length(low) - length(replace(low, '{m}', ''))) // {len(m)}" for m in quality.NAVIGATION if m[0] == " "
@@ -60,8 +62,9 @@ with docs as (
 lines as (select r, unnest(string_split(text, chr(10))) as whole from docs),
 l as (select r, whole, trim(whole, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line from lines),
 wordy as (select r, whole, line, lower(line) as low from l where line <> ''),
-judged as (select r, whole, ({_PHRASES}) or ({_STARTS}) or ({_MARKS}) >= {quality.NAVIGATION_MARKS}
-    or (not ({_ENDS}) and len({WORDS.format("line")}) < {quality.MIN_LINE_WORDS}) as fails from wordy),
+stocked as (select *, {_STOCK} as stock, len({WORDS.format("line")}) as line_words from wordy),
+judged as (select r, whole, (stock > 0 and 100 * stock >= {quality.PHRASE_SHARE} * line_words) or ({_STARTS}) or ({_MARKS}) >= {quality.NAVIGATION_MARKS}
+    or (not ({_ENDS}) and line_words < {quality.MIN_LINE_WORDS}) as fails from stocked),
 lost as (select r, count(*) as n_lines, count(*) - count(distinct whole) as dup, count(*) filter (fails) as removed,
     coalesce(sum(octet_length(encode(whole))) filter (fails), 0) as line_bytes from judged group by r),
 counts as (select r, len(string_split(text, chr(10))) as all_lines from docs),

@@ -6,10 +6,12 @@ import collections
 import math
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from salespipe.llm import mixing, packing, quality, sharding, urls
+from salespipe.llm.queries import ORACLES, QUERIES
 
 
 def base(text):
@@ -23,13 +25,35 @@ def base(text):
 
 def test_base_figures(spark, odd):
     texts = ["a b c d e f g h i a b c d e f g h i", "x\nx\ny\n\n \nx ", "#*$%&|<> é漢", None, "", "one two three four five six seven " * 9]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(odd.select("doc_id", "text"))
+    docs = spark.createDataFrame(list(enumerate(texts, 20)), "doc_id long, text string").unionByName(odd.select("doc_id", "text"))
     want = {r.doc_id: base(r.text) for r in docs.collect() if r.doc_id is not None}
-    for r in quality.line_first(docs).collect():
-        if r.doc_id is not None and r.doc_id < 10:
-            assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
-    got = quality.line_first(docs.filter("doc_id > 6 or doc_id in (0, 3)"))
-    assert all((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want[r.doc_id] for r in got.collect())
+    got = [r for r in quality.line_first(docs).collect() if r.doc_id is not None]
+    assert {r.doc_id for r in got} == set(want) and max(w[4] for w in want.values()) > 30
+    for r in got:
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want[r.doc_id]
+
+
+def test_stock_phrases_are_whole_words_and_a_share_of_the_line():
+    long = "The editors catalog indexes and dialog in scenes, " + "with many further words " * 5 + "to the end."
+    assert quality.line_fails(long) is None
+    assert quality.line_fails("Please log in.") == "boilerplate" and quality.line_fails("A blog in print.") is None
+    assert quality.line_fails("We use cookies here.") == "boilerplate"
+    assert quality.line_fails(" ".join(["One cookie among so many words that it is no notice at all,"] * 3) + " is it.") is None
+    # Ten words for a reader, but joined by no-break spaces they are one word here.
+    assert quality.line_fails("\u00a0".join("ten words that end without a stop in this line".split())) == "punctuation"
+
+
+def test_stock_phrases_and_odd_spaces_as_in_sql(spark, tmp_path):
+    lines = ["Please log in.", "A blog in print, a dialog in a catalog in time.", "\u00a0".join("abcdefghijk"), "Cookies! cookie? COOKIES.", "Read more", "a | b | c", "text with javascript in one word of these twelve words at the end."]
+    rows = [(i, "\n".join(lines[i:] + ["A sentence of some length that ends as it should do, well and good."] * i)) for i in range(len(lines))]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(ORACLES["op3_quality_rules"])
+    names = [d[0] for d in want.description]
+    got = QUERIES["op3_quality_rules"](spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr(tuple(r)) for r in want.fetchall())
 
 
 def test_lines_are_cleaned_first(spark, none):
@@ -97,6 +121,18 @@ def test_hosts_and_paths(spark):
     assert got == [("ex.com:80", ""), ("y", "//z"), ("h", "/p\nq"), ("É", "/É")]
 
 
+def test_identical_rows_are_spread_over_the_buckets(spark):
+    docs = spark.range(12000).selectExpr("if(id < 9000, 1, id) as doc_id", "repeat('x', 50) as text")
+    outs = [sharding.two_pass(spark, d, "length(text)", bucket_bytes=20_000) for d in (docs, docs.repartition(5))]
+    for out in outs:
+        # The permutation mixes copies and others evenly: every tenth of the places holds about three quarters copies.
+        rows = out.select("row.doc_id", "place").orderBy("place").collect()
+        assert [r.place for r in rows] == list(range(12000))
+        assert all(780 < sum(r.doc_id == 1 for r in rows[i : i + 1200]) < 1020 for i in range(0, 12000, 1200))
+    ids = [[r.doc_id for r in out.select("row.doc_id", "place").orderBy("place").collect()] for out in outs]
+    assert ids[0] == ids[1], "the same however the input is split"
+
+
 def test_shards(spark, odd, none):
     docs = spark.range(1000).selectExpr("id as doc_id", "repeat('x', cast(id % 90 as int)) as text", "'s' as shard", "id as bucket")
     size = "length(text) + 1"
