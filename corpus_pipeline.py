@@ -37,10 +37,25 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates; rows that repeat both id and text are one document."""
-    found = minhash.near_duplicates(spark, docs)
-    gone = written(spark, found.where("not kept").select("doc_id"), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """The first document of each group of near duplicates; rows that repeat both id and text are one document.
+
+    Rows go by id and text, so an id on several texts loses none that copies nothing.
+    """
+    found = minhash.document_classes(spark, docs)
+    own = "component_id = doc_id and keeper_hash = text_hash"
+    gone = found.where(f"component_id is not null and not ({own})").select("doc_id", "text_hash").distinct()
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = docs.withColumns({"_hash": F.xxhash64(F.col("text").cast("string")), "_key": key})
+    rows = rows.join(
+        written(spark, gone, "near-duplicates").withColumnsRenamed({"doc_id": "_id", "text_hash": "_gone"}),
+        (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_gone")), "left_anti",
+    )
+    # Only rows of a key that repeats are compared whole.
+    repeated = docs.groupBy(key.alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_again")
+    repeated = written(spark, repeated, "repeated")
+    again = F.col("_key") == F.col("_again")
+    once = rows.join(repeated, again, "left_anti").select(*docs.columns)
+    return once.unionByName(rows.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
 
 
 @stage
