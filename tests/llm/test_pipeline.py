@@ -80,3 +80,11 @@ def test_odd_rows_and_empty_tables_pass(spark, odd, none, tmp_path):
     # Rows 4 repeat each other, and the two rows without an id differ.
     assert ids(out["near-duplicates"]) == [1, 2, 3, 4, 5, 6, None, None]
     assert all(out_stage.count() == 0 for out_stage in stages(spark, none, str(tmp_path)).values())
+
+
+def test_no_text_is_lost_to_an_id_it_shares_and_copies_go(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (2, b), (4, ""), (None, a), (None, a), (5, c + " end")] + [(9, a)] * 2000
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], ", ".join(["doc_id long, text string, lang string, source string, n_chars long"]))
+    left = dict(corpus_pipeline.STAGES)["near-duplicates"](spark, docs, "")
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted([(1, a), (2, b), (3, c), (4, ""), (None, a)], key=repr)
