@@ -62,11 +62,6 @@ def _in_groups(pairs: list, size: int, job: Callable[[list], DataFrame]) -> Data
     return reduce(DataFrame.unionByName, jobs)
 
 
-def _as_cells(sums: DataFrame, pairs: list, r: Callable[[int], Column]) -> DataFrame:
-    cells = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r(i).alias("r")) for i, (x, y) in enumerate(pairs)]
-    return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
-
-
 def _centred_correlations(values: DataFrame, names: list[str]) -> DataFrame:
     """Means first (three numbers per column come to the driver), then the sums
     of products of the centred columns; that order of work loses no digits.
@@ -106,16 +101,53 @@ def _centred_correlations(values: DataFrame, names: list[str]) -> DataFrame:
 
 
 def _pairwise_correlations(values: DataFrame, pairs: list) -> DataFrame:
-    def job(group: list) -> DataFrame:
-        found = []
-        for i, (x, y) in enumerate(group):
-            a = F.when(F.col(f"`{y}`").isNotNull(), F.col(f"`{x}`"))
-            b = F.when(F.col(f"`{x}`").isNotNull(), F.col(f"`{y}`"))
-            found += [F.covar_pop(a, b).alias(f"c_{i}"), F.stddev_pop(a).alias(f"a_{i}"), F.stddev_pop(b).alias(f"b_{i}")]
-        spread = lambda i: F.col(f"a_{i}") * F.col(f"b_{i}")
-        return _as_cells(values.agg(*found), group, lambda i: F.try_divide(F.col(f"c_{i}"), spread(i)))
-
-    return _in_groups(pairs, 9, job)
+    """Of the rows where both columns of a pair are known, for all pairs in two passes.
+
+    The means first, as above; then a task multiplies its batches with NULLs as 0, and with
+    the masks of what is known: that gives the sums of every pair over its own rows, one row a pair and task.
+    """
+    names = list(dict.fromkeys(x for pair in pairs for x in pair))
+    found = values.agg(*[F.avg(f"`{c}`").alias(f"m_{i}") for i, c in enumerate(names)]).first()
+    means = np.array([found[f"m_{i}"] if found[f"m_{i}"] is not None else 0.0 for i in range(len(names))])
+    cells = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    ends = ["low_x", "high_x", "low_y", "high_y"]
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = len(names)
+        sums = {c: np.zeros((p, p)) for c in cells}
+        low, high = np.full((p, p), np.inf), np.full((p, p), -np.inf)
+        for batch in batches:
+            known = np.array([~np.asarray(c.is_null()) for c in batch.columns]).reshape(p, -1)
+            x = np.array([np.asarray(c.fill_null(0.0)) for c in batch.columns]).reshape(p, -1)
+            x = np.where(known, x - means[:, None], 0.0)
+            mask = known.astype(float)
+            sums["n"] += mask @ mask.T
+            sums["sx"] += x @ mask.T
+            sums["sxx"] += (x * x) @ mask.T
+            sums["sxy"] += x @ x.T
+            for j in range(p):
+                # The range of each column where column j is known: a column is constant by it, not by rounding.
+                both = known & known[j]
+                low[:, j] = np.minimum(low[:, j], np.where(both, x, np.inf).min(axis=1, initial=np.inf))
+                high[:, j] = np.maximum(high[:, j], np.where(both, x, -np.inf).max(axis=1, initial=-np.inf))
+        i, j = np.triu_indices(p)
+        sums["sy"], sums["syy"] = sums["sx"].T, sums["sxx"].T
+        columns = [i, j, *(sums[c][i, j] for c in cells), low[i, j], high[i, j], low[j, i], high[j, i]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["i", "j", *cells, *ends])
+
+    schema = "i long, j long, " + ", ".join(f"{c} double" for c in cells + ends)
+    merged = values.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(products, schema).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in cells], *[(F.min if c.startswith("low") else F.max)(c).alias(c) for c in ends]
+    )
+    varies = (F.col("low_x") < F.col("high_x")) & (F.col("low_y") < F.col("high_y"))
+    covar = F.expr("sxy - sx * sy / n")
+    spread = F.sqrt(F.expr("sxx - sx * sx / n")) * F.sqrt(F.expr("syy - sy * sy / n"))
+    # A column's product with itself is its own spread, so its correlation is 1 whatever the rounding.
+    r = F.when(varies, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.try_divide(covar, spread)))
+    listed = values.sparkSession.createDataFrame(
+        [(x, y, names.index(x), names.index(y)) for x, y in pairs], "x string, y string, i long, j long"
+    )
+    return listed.join(merged, ["i", "j"], "left").select("x", "y", r.alias("r"))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -11,6 +11,7 @@ from salespipe.functions import scalars
 from salespipe.functions.conform import conform
 from salespipe.operators import changes, profile
 from salespipe.operators.encode import category_codes as add_category_codes
+from salespipe.operators.encode import category_codes_of
 from salespipe.operators.latest import latest_by_maximum, latest_per_key
 from salespipe.operators.lookup import enrich, join_lookup
 from salespipe.operators.split import in_first_part
@@ -279,6 +280,21 @@ def category_codes_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_category_codes(names, "c_name", "code").drop("c_name")
 
 
+@query("""
+    SELECT o_orderkey,
+        CASE WHEN o_orderpriority = '5-LOW' THEN -1 ELSE dense_rank() OVER (ORDER BY nullif(o_orderpriority, '5-LOW') NULLS LAST) - 1 END
+            AS o_orderpriority_code,
+        dense_rank() OVER (ORDER BY o_orderdate) - 1 AS o_orderdate_code,
+        dense_rank() OVER (ORDER BY o_totalprice) - 1 AS o_totalprice_code
+    FROM orders
+""")
+def category_codes_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of a text, a time and a number column, from one pass over the table."""
+    columns = ["o_orderpriority", "o_orderdate", "o_totalprice"]
+    orders = load(spark, sf_dir, "orders").withColumn("o_orderpriority", null_if("o_orderpriority", "5-LOW"))
+    return category_codes_of(orders.select("o_orderkey", *columns), columns).drop(*columns)
+
+
 @query("SELECT c_custkey, regexp_replace(c_name, '\\W+', '_', 'g') AS name FROM customer")
 def sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "customer").select("c_custkey", scalars.sanitize_name("c_name").alias("name"))

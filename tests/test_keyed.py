@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salespipe.operators import profile
-from salespipe.operators.encode import category_codes
+from salespipe.operators.encode import category_codes, category_codes_of
 from salespipe.operators.latest import latest_by_maximum, latest_per_key
 from salespipe.operators.lookup import enrich, join_lookup
 from salespipe.operators.sizing import fits_broadcast, measure
@@ -149,3 +149,43 @@ def test_measured_size_grows_with_text(spark):
     long = spark.createDataFrame([("a" * 1000,)] * 10, "s string")
     assert measure(short)[0] == 10 and measure(long)[1] > measure(short)[1] + 9000
     assert fits_broadcast(10, 100) and not fits_broadcast(10, 10**10) and not fits_broadcast(10**9, 1)
+
+
+def test_pairwise_correlations_take_two_passes_and_leave_out_rows_with_a_null(spark):
+    value = lambda i: F.when((F.col("id") * 7 + i) % (i + 4) != 0, (F.col("id") * (i + 3)) % 101 + i)
+    wide = spark.range(300).select(*[value(i).alias(f"c{i}") for i in range(40)])
+    matrix = profile.correlation_matrix(wide, fill=None)
+    # The means came with the call; what is left reads the rows once.
+    assert matrix._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    got = {(r.x, r.y): r.r for r in matrix.collect()}
+    exact = wide.toPandas().astype(float).corr(min_periods=2)
+    assert len(got) == 1600 and all(got[x, y] == pytest.approx(exact[x][y], abs=1e-9) for x, y in got)
+
+
+def test_pairwise_correlations_of_constant_and_empty_columns(spark):
+    df = spark.createDataFrame([(1.0, 0.1, None, 1), (2.0, 0.1, None, 2), (3.0, None, None, 3), (None, 0.3, 5.0, 4)], "a double, b double, c double, d int")
+    got = {(r.x, r.y): r.r for r in profile.correlation_matrix(df, fill=None).collect()}
+    # b is constant where a is known, but not by itself; c has one value only.
+    assert got["a", "b"] is None and got["b", "b"] == pytest.approx(1) and got["a", "d"] == pytest.approx(1)
+    assert all(got["c", x] is None for x in "abcd")
+    assert all(r.r is None for r in profile.correlation_matrix(df.limit(0), fill=None).collect())
+
+
+def test_codes_of_many_columns_at_once(spark, rows):
+    df = spark.sql("""
+        select * from values
+          (1, 'c', 10, 2.5D, date'2024-01-02', timestamp_ntz'2024-03-31 02:30:00.5', true),
+          (2, 'a', 9, -1.0D, date'2023-01-02', timestamp_ntz'2024-03-31 03:30:00', false),
+          (3, null, null, null, null, null, null),
+          (4, 'b', 100, 10.0D, date'2024-01-02', timestamp_ntz'2024-03-31 02:30:00.05', true) as t(i, s, n, x, d, t, f)
+    """)
+    got = category_codes_of(df, ["s", "n", "x", "d", "t", "f"])
+    assert got.columns == [*df.columns, *[f"{c}_code" for c in "snxdtf"]]
+    assert rows(got, "i", *[f"{c}_code" for c in "snxdtf"]) == [
+        (1, 2, 1, 1, 1, 1, 1), (2, 0, 0, 0, 0, 2, 0), (3, -1, -1, -1, -1, -1, -1), (4, 1, 2, 2, 1, 0, 1),
+    ]
+    wide = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("v"), (F.col("id") % 17).alias("w"))
+    coded = category_codes_of(wide, ["w", "v"]).agg(F.count_distinct("v_code"), F.max("v_code"), F.max("w_code")).first()
+    assert coded[:] == (3000, 2999, 16)
+    with pytest.raises(ValueError):
+        category_codes_of(df.withColumn("a", F.array("i")), ["a"])
