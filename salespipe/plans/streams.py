@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salespipe.operators.lookup import enrich
 from salespipe.plans.registry import query
@@ -13,6 +14,7 @@ from salespipe.plans.relational import ENRICHED, ORDER_STATE
 from salespipe.plans.tables import customers, load, nations
 from salespipe.session import scratch_dir
 from salespipe.sources import readers, writers
+from salespipe.streaming.appended import RESCUED, kept_schema, stream_appends, stream_files, widened
 from salespipe.streaming.ingest import append_to_path, append_to_table
 from salespipe.streaming.upsert import start_upsert, upsert_batch
 from salespipe.tables.versioned import VersionedTable
@@ -164,3 +166,53 @@ def stream_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     _forget(spark, db)
     both = [spark.read.parquet(f"{root}/{seen}").withColumn("seen", F.lit(seen)) for seen in ("table", "stream")]
     return both[0].unionByName(both[1]).select("seen", "o_orderkey", "o_custkey", "o_orderpriority")
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders")
+def stream_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended to a versioned table, streamed into another one; a second run goes on where the first ended."""
+    orders = load(spark, sf_dir, "orders").select(*ORDER_STATE)
+    root = scratch_dir(spark, "stream-versions")
+    source = VersionedTable.create(spark, f"{root}/source", orders.schema)
+    target = VersionedTable.create(spark, f"{root}/target", orders.schema)
+    upsert = upsert_batch(target, "o_orderkey", "o_orderdate", tie_break="o_totalprice")
+
+    def run() -> None:
+        stream_appends(source, upsert, f"{root}/checkpoint", versions_per_batch=2).awaitTermination()
+
+    for i in range(3):
+        source.append(orders.filter(F.col("o_orderkey") % 4 == i))
+    run()
+    source.append(orders.filter("o_orderkey % 4 = 3"))
+    run()
+    return target.read()
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice,
+        CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE o_custkey END AS o_custkey,
+        CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+        CASE WHEN o_orderkey % 3 = 1 THEN '{"o_custkey":"C' || o_custkey || '"}' END AS _rescued
+    FROM orders
+""")
+def stream_kept_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three schemas in two runs: a new column widens the kept schema, a value of another type is rescued."""
+    orders = load(spark, sf_dir, "orders").withColumn("o_custkey", F.col("o_custkey").cast("long"))
+    root = scratch_dir(spark, "kept-schema")
+
+    def land(i: int, *columns: str | Column) -> None:
+        orders.filter(F.col("o_orderkey") % 3 == i).select("o_orderkey", *columns).write.mode("append").parquet(f"{root}/landing")
+
+    def run() -> None:
+        def append(rows: DataFrame, batch_id: int) -> None:
+            rows.write.mode("append").parquet(f"{root}/out")
+
+        stream_files(spark, f"{root}/landing", append, f"{root}/checkpoint").awaitTermination()
+
+    land(0, "o_totalprice", "o_custkey")
+    run()
+    land(1, "o_totalprice", F.concat(F.lit("C"), "o_custkey").alias("o_custkey"), "o_orderpriority")
+    land(2, "o_orderpriority", "o_totalprice", F.col("o_custkey").cast("int").alias("o_custkey"))
+    run()
+    schema = widened(kept_schema(spark, f"{root}/checkpoint"), T.StructType([T.StructField(RESCUED, T.StringType())]))
+    return readers.read_parquet(spark, f"{root}/out", schema)

@@ -258,19 +258,15 @@ class VersionedTable:
 
     def appended_by(self, versions: list[int]) -> DataFrame:
         """The rows that these versions appended; a version that rewrote or removed rows raises."""
-        rows = [self._commit(v) for v in sorted(versions)]
+        commits = [self._commit(v) for v in sorted(versions)]
         parts: list[str] = []
-        for commit in rows:
-            if commit.operation in ("CREATE TABLE", "VACUUM"):
-                continue
-            own = [p for p in commit.paths if p.startswith(f"version={commit.version}-")]
-            before = self._commit(commit.version - 1).paths if commit.version else []
-            if commit.operation != "APPEND" or set(commit.paths) - set(own) != set(before):
+        for commit in commits:
+            if commit.operation == "APPEND":
+                parts += [p for p in commit.paths if p.startswith(f"version={commit.version}-")]
+            elif commit.version and set(commit.paths) != set(self._commit(commit.version - 1).paths):
                 raise NotAppended(f"version {commit.version} is no append but {commit.operation}")
-            parts += own
-        newest = rows[-1] if rows else self._commit()
         self._require(parts, f"rows appended by versions {versions}")
-        return self._scan(newest, parts)
+        return self._scan(commits[-1] if commits else self._commit(), parts)
 
     # --------------------------------------------------------------- writing
 
