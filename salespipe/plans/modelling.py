@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salespipe.functions.scalars import truncate_to_int
-from salespipe.model import regression
-from salespipe.operators.split import hash_split
+from salespipe.model import boosting, regression
+from salespipe.operators.split import exact_split, hash_split
 from salespipe.plans.registry import query
 from salespipe.plans.stored import line_versions
 from salespipe.plans.tables import lines_with_nulls, load
@@ -129,3 +129,81 @@ def pinned_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.drop_table(spark, f"{db}.features")
     spark.sql(f"DROP DATABASE `{db}`")
     return readers.read_parquet(spark, f"{root}/features", schema)
+
+
+# The contract that the boosted rounds are held to, by name.
+_CONTRACT = [
+    "best round has the least held loss", "ends by patience", "every round has a loss", "every round has its leaves",
+    "first leaves equal their closed form", "fit is good", "importances sum to one", "last leaves equal their closed form",
+    "no later round within patience is a gain", "stored model predicts as fitted",
+]
+# Shallow trees, and gains under 5 percent not counting, keep the rounds of this check few.
+_BOOST = {"depth": 4, "tolerance": 0.05, "patience": boosting.PATIENCE}
+
+
+def _recomputed(spark: SparkSession, model: boosting.Boosted, train_rows: DataFrame, number: int) -> DataFrame:
+    """Whether the leaves of a round equal their closed form, by SQL over the stored (row, leaf, residual) table."""
+    earlier = boosting.Boosted(model.features, model.start, model.step, model.trees[: number - 1], model.values[: number - 1], [], [])
+    placed = boosting.leaf_ids(model.trees[number - 1], earlier.predict(train_rows, "fitted"), FEATURES)
+    path = scratch_dir(spark, "residuals")
+    placed.select(*KEY, "leaf", (F.col(LABEL) - F.col("fitted")).alias("residual")).write.parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("boosted_residuals")
+    model.leaf_table(spark).filter(F.col("round") == number).createOrReplaceTempView("boosted_leaves")
+    return spark.sql(f"""
+        WITH sums AS (SELECT leaf, sum(residual) AS g, count(*) AS h FROM boosted_residuals GROUP BY leaf),
+        closed AS (SELECT leaf, h, CASE WHEN g > {boosting.L1} THEN g - {boosting.L1} WHEN g < -{boosting.L1} THEN g + {boosting.L1}
+            ELSE 0 END / (h + {boosting.L2}) AS value FROM sums)
+        SELECT count(*) > 1 AND bool_and(l.leaf IS NOT NULL AND c.leaf IS NOT NULL AND l.rows = c.h
+            AND abs(l.value - c.value) <= 1e-6 * (1 + abs(c.value))) AS holds
+        FROM boosted_leaves l FULL JOIN closed c ON l.leaf = c.leaf
+    """)
+
+
+@query("SELECT unnest([" + ", ".join(f"'{name}'" for name in _CONTRACT) + "]) AS contract, true AS holds, count(*) AS n" + _TEST_ROWS)
+def boosted_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Penalised leaves, patience, the best round and the record of all rounds, each held to what it promises."""
+    train_rows, test_rows = hash_split(_features(spark, sf_dir), *KEY)
+    model = boosting.fit(train_rows, FEATURES, LABEL, held_key=KEY, **_BOOST)
+    root = scratch_dir(spark, "boosted")
+    model.save(spark, root)
+    curve = spark.read.parquet(f"{root}/curve")
+    facts = curve.agg(
+        F.count(F.lit(1)).alias("rounds"), F.max("round").alias("last"), F.min("held_loss").alias("least"),
+        F.min(F.when(F.col("round") <= model.best_round, F.col("held_loss"))).alias("best"),
+        F.min(F.when(F.col("round") > model.best_round, F.col("held_loss"))).alias("later"),
+        F.count_if(F.col("train_loss").isNotNull() & F.col("held_loss").isNotNull()).alias("losses"),
+    ).first()
+    leaf_rounds = spark.read.parquet(f"{root}/leaves").select("round").distinct().count()
+    fitted = train_rows.filter(~boosting.held_back(KEY))
+    stored = boosting.Boosted.load(spark, root)
+    both = stored.predict(model.predict(test_rows, "a"), "b")
+    scored = both.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("a") - F.col("b"))).alias("apart"),
+        (1 - F.try_divide(F.avg(F.pow(F.col(LABEL) - F.col("a"), 2)), F.var_pop(LABEL))).alias("r2"),
+    ).first()
+    importances = model.importances(spark).agg(F.sum("importance")).first()[0]
+    holds = {
+        "best round has the least held loss": facts["best"] <= facts["least"] * (1 + _BOOST["tolerance"]),
+        "ends by patience": facts["rounds"] == model.best_round + _BOOST["patience"],
+        "every round has a loss": facts["losses"] == facts["rounds"] == facts["last"],
+        "every round has its leaves": leaf_rounds == facts["rounds"],
+        "first leaves equal their closed form": _recomputed(spark, model, fitted, 1).first()[0],
+        "fit is good": scored["r2"] > 0.9,
+        "importances sum to one": abs(importances - 1) < 1e-9,
+        "last leaves equal their closed form": _recomputed(spark, model, fitted, model.best_round).first()[0],
+        "no later round within patience is a gain": facts["later"] >= facts["best"] * (1 - _BOOST["tolerance"]),
+        "stored model predicts as fitted": scored["apart"] == 0,
+    }
+    return spark.createDataFrame([(name, bool(holds[name]), scored["n"]) for name in _CONTRACT], "contract string, holds boolean, n long")
+
+
+@query("""
+    WITH ranked AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY md5('42|' || o_orderkey)) AS place, count(*) OVER () AS n
+        FROM orders)
+    SELECT o_orderkey, o_totalprice, CASE WHEN place <= (n + 3) // 4 THEN 'test' ELSE 'train' END AS part FROM ranked
+""")
+def exact_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train and test rows of which exactly a quarter, rounded up, is test."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    train_rows, test_rows = exact_split(orders, "o_orderkey")
+    return train_rows.withColumn("part", F.lit("train")).unionByName(test_rows.withColumn("part", F.lit("test")))
