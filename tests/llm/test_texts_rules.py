@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import random
 import re
 
 import duckdb
@@ -199,6 +200,48 @@ def test_best_fit_fills_and_downsizes():
     assert bins == [] and sizes == []
 
 
+def _least_cost(lengths, capacities):
+    """The cost of the cheapest packing, over all ways to part the pieces."""
+    def parts(rest):
+        if not rest:
+            yield []
+            return
+        for mask in range(1 << (len(rest) - 1)):
+            own = [rest[0]] + [x for i, x in enumerate(rest[1:]) if mask >> i & 1]
+            if sum(own) <= max(capacities):
+                for more in parts([x for i, x in enumerate(rest[1:]) if not mask >> i & 1]):
+                    yield [own, *more]
+
+    return min(sum(packing.bin_cost(min(c for c in capacities if c >= sum(own))) for own in found) for found in parts(lengths))
+
+
+def test_costs_of_small_blocks_are_near_the_least():
+    rng = random.Random(12)
+    ratios = []
+    for _ in range(60):
+        capacities = (512, 1024, 2048, 4096)
+        lengths = sorted((rng.choice([rng.randrange(1, 200), rng.randrange(1, 4097)]) for _ in range(rng.randrange(1, 8))), reverse=True)
+        bins, sizes = packing.best_fit(lengths, capacities)
+        held = collections.Counter()
+        for b, length in zip(bins, lengths, strict=True):
+            held[b] += length
+        assert all(held[b] <= c and not any(held[b] <= s < c for s in capacities) for b, c in enumerate(sizes))
+        ratios.append(sum(map(packing.bin_cost, sizes)) / _least_cost(lengths, capacities))
+    assert max(ratios) < 1.5 and sum(ratios) / len(ratios) < 1.06 and sum(r < 1 + 1e-9 for r in ratios) > 30
+
+
+def test_sizes_are_chosen_jointly_and_beat_any_single_one():
+    rng = random.Random(3)
+    lengths = sorted((min(4096, int(rng.lognormvariate(5.5, 1.3)) + 1) for _ in range(4000)), reverse=True)
+    bins, sizes = packing.best_fit(lengths)
+    used = collections.Counter(sizes)
+    assert len(used) >= 3 and max(used.values()) < 0.97 * len(sizes)
+    cost = sum(map(packing.bin_cost, sizes))
+    alone = packing.best_fit(lengths, [4096])[1]
+    assert cost < 0.99 * sum(map(packing.bin_cost, alone)), "cheaper than sequences of 4,096 alone"
+    assert sum(sizes) < 1.002 * sum(lengths), "hardly any padding"
+
+
 def test_packing_loses_no_word(spark, odd, none):
     docs = odd.unionByName(spark.range(300).selectExpr("id + 100 as doc_id", "repeat('w ', cast(id * 7 as int)) as text", "'en' as lang", "'z' as source", "id as n_chars"))
     out = packing.pack(spark, docs, capacities=(64, 256, 1024), per_block=50)
