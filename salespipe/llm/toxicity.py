@@ -10,9 +10,9 @@ the examples themselves (each judged by the others), give the score; the
 nearest examples are its evidence.
 
 At most about ``PER_CLASS`` examples of each label are kept, chosen by a hash
-of their ids. A text with no term of the vocabulary, as NULL and empty texts
-are, gets the score of examples without one, but always under a half: nothing
-speaks against it. Without labelled rows, or with
+of their ids; the vocabulary holds every term that tells their labels apart better than
+chance would among so many terms, however rare. A text with no term of it, as
+NULL and empty texts are, gets the calibrated score of the examples without one. Without labelled rows, or with
 one label only, every score is 0 or that label. An id labelled twice counts as
 toxic if any label says so. Repeated rows get equal results, ties between
 examples go to the smaller id; an empty table gives an empty result. Input
@@ -34,15 +34,12 @@ from salespipe.llm.texts import Slice, column, mix, plain, slices
 from salespipe.llm.vectors import summed
 
 PER_CLASS = 2000
-TERMS = 512
-LEAST_SHARE = 0.05  # of the largest chi-squared
-LEAST_DOCS = 3
+LEAST_DOCS = 3  # the approximation by chi-squared means nothing for fewer examples
 PREFIXES = (4, 5, 6)
 NEIGHBOURS = 15
 BLOCK = 64
 EVIDENCE = 5
 SMOOTH = 1.0
-UNDECIDED = 0.49
 
 RESULT = T.StructType([
     T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
@@ -204,7 +201,7 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _choose(terms: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """The terms that tell the labels apart best, by chi-squared, at most ``TERMS``."""
+    """The terms that tell the labels apart better than chance, by chi-squared."""
     every, at = np.unique(np.concatenate(terms), return_inverse=True)
     owner = np.repeat(labels, [len(t) for t in terms])
     toxic, both = np.bincount(at, owner, len(every)), np.bincount(at, minlength=len(every)).astype(float)
@@ -212,10 +209,9 @@ def _choose(terms: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     n0 = n - n1
     cross = toxic * (n0 - (both - toxic)) - (both - toxic) * (n1 - toxic)
     chi2 = n * cross**2 / np.maximum(both * (n - both) * n1 * n0, 1e-9)
-    # Of so many terms without meaning, about one exceeds twice the logarithm of their number by chance.
-    chance = 2 * np.log(max(2, (both >= LEAST_DOCS).sum()))
-    good = np.flatnonzero((chi2 >= max(chance, LEAST_SHARE * chi2.max())) & (both >= LEAST_DOCS))
-    return every[good[np.lexsort((every[good], -chi2[good]))[:TERMS]]]
+    # Of n terms without meaning the largest is near 2 log(n); beyond 4 log(n) one comes once in about n such tables.
+    chance = 4 * np.log(max(2, (both >= LEAST_DOCS).sum()))
+    return every[(chi2 >= chance) & (both >= LEAST_DOCS)]
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column) -> Model:
@@ -288,7 +284,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     vectors = _tfidf(model.vocabulary.counts(part), model.idf)
                     vote, near, cosine = model.votes(vectors)
                     scores = model.score(vote)
-                    scores = np.where(vectors.any(axis=1), scores, np.minimum(scores, UNDECIDED))
                     evidence = [
                         [
                             {"doc_id": int(model.index.ids[r]), "toxic": int(model.index.labels[r]), "similarity": float(s)}
