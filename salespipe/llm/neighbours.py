@@ -13,7 +13,8 @@ seen from a query, all are read but one counts towards ``LEAST_LISTS``. Lists
 are stored in blocks of bounded size, and every block of a selected list is
 read, however long the list is. Queries meet blocks, not rows.
 
-Scores are exact cosines in double precision. Vectors that are NULL, zero, of
+Scores are exact cosines in double precision; vectors are scaled by powers of
+two first, which changes no digit and keeps components of any size finite. Vectors that are NULL, zero, of
 another length than most, or hold NULL, NaN or infinite components take no
 part; so do rows without an id. Ties go to the smaller id, so that of equal
 vectors only the k + 1 with the smallest ids can be among the k nearest of
@@ -48,6 +49,12 @@ BLOCK = 1024
 QUERY_BLOCK = 256
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, exactly, so that squares of its components neither overflow nor vanish."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0.0))
+    return np.ldexp(x, -exponent)
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-300)
 
@@ -186,7 +193,7 @@ def _placed(index: Centroids, dim: int, choose):
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, x = np.array(column(batch, "vec_id")), _matrix(column(batch, "embedding"), dim)
+            ids, x = np.array(column(batch, "vec_id")), _scaled(_matrix(column(batch, "embedding"), dim))
             lists = [choose(index, v) for v in _unit(x)]
             which = np.repeat(np.arange(len(ids)), [len(c) for c in lists])
             where = np.concatenate(lists) if lists else np.zeros(0, np.int64)
@@ -253,7 +260,7 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int) -
     number = kept.where("copy = 1").count()
     place = F.pmod(F.xxhash64("vec_id", F.lit("centroids")), F.lit(1 << 30)) / (1 << 30)
     sample = kept.where("copy = 1").where(place < min(1.0, SAMPLE / number)).orderBy("vec_id").select("embedding").toArrow()
-    x = _matrix(sample.column("embedding").combine_chunks(), dim)
+    x = _scaled(_matrix(sample.column("embedding").combine_chunks(), dim))
     if not len(x):
         x = np.eye(1, dim)
     index = Centroids(x, max(1, min(CENTROIDS, number // PER_CENTROID, len(x))))

@@ -197,3 +197,25 @@ def test_neighbours_of_odd_vectors(spark):
     assert [(a, b, c) for a, b, c, _ in got] == [(0, 1, 50), (0, 2, 1), (50, 1, 0), (50, 2, 1)]
     assert np.allclose([r[3] for r in got], [half, 0.0, half, half])
     assert neighbours.nearest(spark, table.limit(0), F.lit(True), 5).collect() == []
+
+
+def test_neighbours_of_vectors_with_huge_and_tiny_components(spark):
+    rng = np.random.Generator(np.random.PCG64(9))
+    x = rng.normal(size=(120, 8))
+    big, tiny = x * 1e200, x * 1e-200
+    # A power of two changes no digit, so the scores are the same to the last one.
+    both = [neighbours.nearest(
+        spark, spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(m)], "vec_id long, embedding array<double>"),
+        F.col("vec_id") % 50 == 0, 5,
+    ).collect() for m in (x, x * 2.0**600, big, tiny)]
+    found = [sorted(tuple(r) for r in rows) for rows in both]
+    assert found[0] == found[1] and len(found[0]) == 15
+    for other in found[2:]:
+        assert [r[:3] for r in other] == [r[:3] for r in found[0]]
+        assert np.allclose([r[3] for r in other], [r[3] for r in found[0]], rtol=1e-12)
+
+
+def test_neighbours_leave_out_further_columns(spark):
+    table = spark.createDataFrame([(0, [1.0, 0.0], 7, 8), (1, [1.0, 1.0], 7, 8)], "vec_id long, embedding array<double>, list long, rank int")
+    got = neighbours.nearest(spark, table, F.col("vec_id") == 0, 5).collect()
+    assert [tuple(r)[:3] for r in got] == [(0, 1, 1)]
