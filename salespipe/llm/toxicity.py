@@ -260,7 +260,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column)
     weight = np.array([numbers[c] / max(1, (truth == c).sum()) for c in (0, 1)])[truth]
     weight *= len(truth) / weight.sum()
     blank = ~vectors.any(axis=1)
-    model.prior = float((weight * truth).sum() / weight.sum())
+    # One example more that is not toxic: where little is known, nothing speaks against a text.
+    model.prior = float((weight * truth).sum() / (weight.sum() + SMOOTH))
     model.blank = float(((weight * truth)[blank].sum() + SMOOTH * model.prior) / (weight[blank].sum() + SMOOTH))
     model.index = BlockMaxIndex(ids[~blank], truth[~blank], vectors[~blank])
     vote = model.votes(vectors, ids)[0]
