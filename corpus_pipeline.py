@@ -45,17 +45,18 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     own = "component_id = doc_id and keeper_hash = text_hash"
     gone = found.where(f"component_id is not null and not ({own})").select("doc_id", "text_hash").distinct()
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = docs.withColumns({"_hash": F.xxhash64(F.col("text").cast("string")), "_key": key})
-    rows = rows.join(
-        written(spark, gone, "near-duplicates").withColumnsRenamed({"doc_id": "_id", "text_hash": "_gone"}),
-        (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_gone")), "left_anti",
-    )
+    rows = docs.withColumn("_key", key)
     # Only rows of a key that repeats are compared whole.
     repeated = docs.groupBy(key.alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_again")
     repeated = written(spark, repeated, "repeated")
     again = F.col("_key") == F.col("_again")
-    once = rows.join(repeated, again, "left_anti").select(*docs.columns)
-    return once.unionByName(rows.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    once = rows.join(repeated, again, "left_anti").drop("_key")
+    single = rows.join(repeated, again, "left_semi").drop("_key").dropDuplicates(["doc_id", "text"])
+    gone = written(spark, gone, "near-duplicates").withColumnsRenamed({"doc_id": "_id", "text_hash": "_gone"})
+    # What goes grows with the documents, so it is never broadcast.
+    hashed = once.unionByName(single).withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_gone"))
+    return hashed.join(gone.hint("merge"), same, "left_anti").select(*docs.columns)
 
 
 @stage
