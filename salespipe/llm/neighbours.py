@@ -6,10 +6,13 @@ balanced; they are joined in a graph of near centroids, which a best-first
 search walks in memory. Every vector is posted to its nearest centroid, and to
 the next ones if it lies near the border (distance within ``BORDER`` times the
 least, and not behind a centroid that already has it). A query reads the lists
-of all centroids whose distance is within ``REACH`` times the least, at least
-``LEAST_LISTS``; the search widens until it has them. Copies in the sample
+of all centroids whose distance is within ``reach`` times the least, and at least
+``least`` lists; the search widens until it has them. Both are calibrated: of the
+pairs by which ``QUERIES`` sampled vectors find ``RECALL`` of their nearest in the
+sample, the one that reads the fewest lists. The sample's vectors lie further
+apart than the table's, so the table's recall is about that or higher. Copies in the sample
 count once, and twin centroids are merged; of centroids that lie together as
-seen from a query, all are read but one counts towards ``LEAST_LISTS``. Lists
+seen from a query, all are read but one counts towards ``least``. Lists
 are stored in blocks of bounded size, and every block of a selected list is
 read, however long the list is. Queries meet blocks, not rows.
 
@@ -40,9 +43,12 @@ PER_CENTROID = 128  # vectors a centroid stands for, while there are fewer than
 DEGREE = 16
 BEAM = 256  # centroids a search holds at first
 REPLICAS = 4
-BORDER = 1.15
-REACH = 1.25
-LEAST_LISTS = 48
+BORDER = 1.02
+REACH = 1.25  # before calibration
+LEAST_LISTS = 48  # before calibration
+QUERIES = 200  # sampled vectors that reach and least lists are calibrated on
+RECALL = 0.97  # share of their nearest in the sample that they must find
+REACHES = (1.02, 1.05, 1.08, 1.11, 1.14, 1.17, 1.2, 1.25, 1.3, 1.4, 1.6, 2.0)
 TWIN = 1e-6  # distance of unit vectors that are copies but for rounding
 TOGETHER = 0.25  # of a query's distance: centroids this near to a nearer one lie in the same direction
 BLOCK = 1024
@@ -115,6 +121,7 @@ class Centroids:
                 back[other].append(c)
         self.links = [np.unique(np.concatenate((near, np.array(b, np.int64)))) for near, b in zip(self.links, back, strict=True)]
         self.entries = np.arange(0, number, max(1, number // 8))
+        self.reach, self.least = REACH, LEAST_LISTS
 
     def search(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
         """About the ``beam`` nearest centroids of a unit vector by best-first search, and their distances."""
@@ -160,21 +167,58 @@ class Centroids:
         while True:
             near, distance = self.search(x, beam)
             least = self._least(near, distance)
-            within = int(np.searchsorted(distance, REACH * max(distance[0], 1e-9), side="right"))
+            within = int(np.searchsorted(distance, self.reach * max(distance[0], 1e-9), side="right"))
             if beam >= len(self.points) or max(least, within) < len(near):
                 return near[: max(least, within)]
             beam *= 2
 
     def _least(self, near: np.ndarray, distance: np.ndarray) -> int:
-        """How many of the nearest centroids hold ``LEAST_LISTS`` that do not lie together as seen from the query."""
+        """How many of the nearest centroids hold ``least`` that do not lie together as seen from the query."""
         counted: list[int] = []
         for i, (c, d) in enumerate(zip(near, distance, strict=True)):
-            if len(counted) == LEAST_LISTS:
+            if len(counted) == self.least:
                 return i
             if not counted or (self._distance(self.points[c], np.array(counted)) > TOGETHER * d).all():
                 counted.append(c)
         return len(near)
 
+    def _before(self, near: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        """For each of the nearest centroids, how many nearer ones count towards the least lists."""
+        counts = np.ones(len(near), bool)
+        for i, c in enumerate(near):
+            if counts[i]:
+                counts[i + 1 :] &= self._distance(self.points[c], near[i + 1 :]) > TOGETHER * distance[i + 1 :]
+        return np.cumsum(counts) - counts
+
+    def calibrate(self, sample: np.ndarray, k: int, seed: int = 11) -> None:
+        """Set reach and least lists to the pair that reads the fewest lists and finds ``RECALL`` of the k nearest."""
+        x = _apart(_unit(sample))
+        asked = np.random.Generator(np.random.PCG64(seed)).permutation(len(x))[:QUERIES]
+        k = min(k, len(x) - 1)
+        if k < 1:
+            return
+        cosine = x[asked] @ x.T
+        cosine[np.arange(len(asked)), asked] = -2.0
+        nearest = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+        lists = {v: self.post(x[v]) for v in np.unique(nearest)}
+        ratios, before, needed = [], [], []
+        for q, own in zip(asked, nearest, strict=True):
+            near, distance = self.search(x[q], len(self.points))
+            place = np.argsort(near)
+            ratios.append(distance / max(distance[0], 1e-9))
+            before.append(self._before(near, distance))
+            needed.append([place[lists[v]].min() for v in own])
+        ratio, ahead = (np.array([a[i] for a, i in zip(of, needed, strict=True)]).ravel() for of in (ratios, before))
+        ratios, before = np.array(ratios), np.array(before)
+        may_miss = int((1 - RECALL) * len(ratio))
+        choices = []
+        for reach in REACHES:
+            beyond = np.sort(ahead[ratio > reach])[::-1]
+            least = int(beyond[may_miss]) + 1 if len(beyond) > may_miss else 1
+            choices.append((int(((ratios <= reach) | (before < least)).sum()), -reach, least))
+        _, reach, self.least = min(choices)
+        self.reach = -reach
+
 
 def valid(vectors: DataFrame) -> DataFrame:
     """vec_id and embedding of the rows that take part, one for each id."""
@@ -264,6 +308,7 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int) -
     if not len(x):
         x = np.eye(1, dim)
     index = Centroids(x, max(1, min(CENTROIDS, number // PER_CENTROID, len(x))))
+    index.calibrate(x, k)
     schema = "list long, vec_id long, vector binary"
     posted = _blocks(spark, kept.mapInArrow(_placed(index, dim, Centroids.post), schema), BLOCK)
     asked = _blocks(spark, rows.where(is_query).mapInArrow(_placed(index, dim, Centroids.select), schema), QUERY_BLOCK)

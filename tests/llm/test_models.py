@@ -187,6 +187,37 @@ def test_search_widens_past_a_hot_topic():
     assert elsewhere.sum() >= neighbours.LEAST_LISTS - 1 and len(chosen) > neighbours.BEAM
 
 
+def test_calibrated_lists_hold_the_nearest():
+    rng = np.random.Generator(np.random.PCG64(12))
+    centres = rng.normal(size=(30, 24))
+    x = centres[rng.integers(0, 30, 6000)] + 0.5 * rng.normal(size=(6000, 24))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    index = neighbours.Centroids(x[:3000], 100)
+    index.calibrate(x[:3000], 5)
+    posts = [set(index.post(v).tolist()) for v in x]
+    hits = read = 0
+    for q in range(5900, 6000):
+        chosen = set(index.select(x[q]).tolist())
+        cosine = x @ x[q]
+        cosine[q] = -9
+        hits += sum(bool(chosen & posts[i]) for i in np.argsort(-cosine)[:5])
+        read += sum(bool(chosen & p) for p in posts)
+    assert hits >= 0.93 * 500 and read < 0.5 * 6000 * 100
+    assert sum(map(len, posts)) < 2 * 6000
+
+
+def test_calibration_of_few_vectors():
+    for x in (np.eye(1, 4), np.ones((7, 4))):
+        index = neighbours.Centroids(x, 1)
+        index.calibrate(x, 5)
+        assert (index.reach, index.least) == (neighbours.REACH, neighbours.LEAST_LISTS)
+        assert index.select(np.eye(1, 4)[0]).tolist() == [0]
+    x = np.concatenate((np.eye(3), np.eye(3)))
+    index = neighbours.Centroids(x, 2)
+    index.calibrate(x, 5)
+    assert len(index.select(np.eye(3)[0])) >= 1
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (50, [1.0, 1.0]), (1, [0.0, 2.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]),
