@@ -53,6 +53,7 @@ TWIN = 1e-6  # distance of unit vectors that are copies but for rounding
 TOGETHER = 0.25  # of a query's distance: centroids this near to a nearer one lie in the same direction
 BLOCK = 1024
 QUERY_BLOCK = 256
+HELD = 1 << 18  # finds a task holds before it keeps the k best of each query
 
 
 def _scaled(x: np.ndarray) -> np.ndarray:
@@ -265,10 +266,36 @@ def _blocks(spark: SparkSession, placed: DataFrame, per_block: int) -> DataFrame
     return written(spark, dealt.groupBy("list", "block").applyInArrow(pack, "list long, ids binary, vectors binary"), "blocks")
 
 
+def _first(finds: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    """The k best of each query among (query, id, score) arrays; a pair found in several lists counts once."""
+    asked, ids, scores = (np.concatenate(a) for a in zip(*finds, strict=True))
+    order = np.lexsort((ids, -scores, asked))
+    asked, ids, scores = asked[order], ids[order], scores[order]
+    again = np.zeros(len(asked), bool)
+    again[1:] = (asked[1:] == asked[:-1]) & (ids[1:] == ids[:-1])
+    asked, ids, scores = asked[~again], ids[~again], scores[~again]
+    keep = np.arange(len(asked)) - np.searchsorted(asked, asked) < k
+    return asked[keep], ids[keep], scores[keep]
+
+
 def _best(dim: int, k: int):
-    """The k nearest of each block for each query of a block."""
+    """The k nearest among all blocks of a task for each query; beyond ``HELD`` finds they are passed on in parts."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finds, held = [], 0
+        for found in scored(batches):
+            finds.append(found)
+            held += len(found[0])
+            if held > HELD:
+                finds = [_first(finds, k)]
+                held = len(finds[0][0])
+                if held > HELD // 2:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, finds[0])), ["query_id", "vec_id", "score"])
+                    finds, held = [], 0
+        if finds:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, _first(finds, k))), ["query_id", "vec_id", "score"])
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             for i in range(batch.num_rows):
                 q_ids, c_ids = (np.frombuffer(column(batch, n)[i].as_buffer(), np.int64) for n in ("q_ids", "ids"))
@@ -282,9 +309,7 @@ def _best(dim: int, k: int):
                 at, own, exact = at[order], own[order], exact[order]
                 rank = np.arange(len(at)) - np.searchsorted(at, at)
                 keep = rank < k
-                yield pa.RecordBatch.from_pydict({
-                    "query_id": q_ids[at[keep]], "vec_id": c_ids[own[keep]], "score": exact[keep]
-                })
+                yield q_ids[at[keep]], c_ids[own[keep]], exact[keep]
 
     return score
 

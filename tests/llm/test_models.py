@@ -206,6 +206,11 @@ def test_calibrated_lists_hold_the_nearest():
     assert sum(map(len, posts)) < 2 * 6000
 
 
+def test_the_best_of_several_lists():
+    finds = [(np.array([1, 1, 2]), np.array([7, 8, 9]), np.array([0.5, 0.4, 0.1])), (np.array([2, 1, 1]), np.array([3, 7, 5]), np.array([0.1, 0.5, 0.4]))]
+    assert [a.tolist() for a in neighbours._first(finds, 2)] == [[1, 1, 2, 2], [7, 5, 3, 9], [0.5, 0.4, 0.1, 0.1]]
+
+
 def test_calibration_of_few_vectors():
     for x in (np.eye(1, 4), np.ones((7, 4))):
         index = neighbours.Centroids(x, 1)
