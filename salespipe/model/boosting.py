@@ -3,9 +3,9 @@
 A round fits one Spark ML tree to the residuals, which gives the splits. The
 values of its leaves come from one aggregate by leaf: with the sum G of the
 residuals of a leaf and its number of rows H, the value is
-``soft(G, l1) / (H + l2)``, where ``soft`` moves G towards 0 by l1. The next residuals and
-the losses of both parts follow from that. Rows never leave the
-executors; the driver sees one row per leaf and two sums a round.
+``soft(G, l1) / (H + l2)``, where ``soft`` moves G towards 0 by l1. The next residuals
+follow from that, and so do the losses of both parts, as the same aggregate adds up the
+squares. Rows never leave the executors; the driver sees two rows per leaf a round.
 
 A part of the rows is held back. Fitting ends after ``patience`` rounds without
 a gain there, and the model is cut to the rounds up to the best one. A gain is a
@@ -15,9 +15,12 @@ loss less than the best so far by more than ``tolerance`` of it (0: any less).
 from __future__ import annotations
 
 import json
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +35,8 @@ VECTOR, LEAF, FITTED, RESIDUAL, HELD = "__features", "__leaf", "__fitted", "__re
 # Fixed values of the job this follows, as far as trees of Spark have them; depth is explained in regression.py.
 ROUNDS, PATIENCE, STEP, L1, L2, DEPTH = 1000, 10, 0.4, 0.15, 0.2, 8
 CHECKPOINT_ROUNDS = 5
+PARTITION_ROWS = 250_000
+STORED_AT_ONCE = 8
 CURVE_SCHEMA = "round int, train_loss double, held_loss double"
 LEAF_SCHEMA = "round int, leaf int, rows long, residuals double, value double"
 
@@ -61,8 +66,7 @@ class Boosted:
         """Add the prediction next to the row it belongs to."""
         rows = _assembled(df, self.features).withColumn(FITTED, F.lit(self.start))
         for tree, values in zip(self.trees, self.values, strict=True):
-            rows = tree.transform(rows).withColumn(FITTED, F.col(FITTED) + self.step * _lookup(values))
-            rows = rows.drop(LEAF, tree.getPredictionCol())
+            rows = _placed(tree, rows).withColumn(FITTED, F.col(FITTED) + self.step * _lookup(values)).drop(LEAF)
         value = truncate_to_int(F.col(FITTED)) if as_int else F.col(FITTED)
         return rows.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(prediction))
 
@@ -84,8 +88,7 @@ class Boosted:
         return spark.createDataFrame([(f, t / whole) for f, t in zip(self.features, total, strict=True)], "feature string, importance double")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        for i, tree in enumerate(self.trees):
-            tree.write().save(f"{path}/trees/{i:06d}")
+        _at_once(lambda i: self.trees[i].write().save(_tree_path(path, i)), self.best_round)
         self.loss_curve(spark).coalesce(1).write.parquet(f"{path}/curve")
         self.leaf_table(spark).coalesce(1).write.parquet(f"{path}/leaves")
         # Written last: without it there is no model.
@@ -95,13 +98,34 @@ class Boosted:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Boosted:
         facts = json.loads(storage.read_text(spark, f"{path}/model.json"))
-        trees = [DecisionTreeRegressionModel.load(f"{path}/trees/{i:06d}") for i in range(facts["rounds"])]
+        trees = _at_once(lambda i: DecisionTreeRegressionModel.load(_tree_path(path, i)), facts["rounds"])
         curve = [tuple(r) for r in spark.read.schema(CURVE_SCHEMA).parquet(f"{path}/curve").sort("round").collect()]
         leaves = [tuple(r) for r in spark.read.schema(LEAF_SCHEMA).parquet(f"{path}/leaves").sort("round", "leaf").collect()]
         values = [{leaf: v for n, leaf, _, _, v in leaves if n == i + 1} for i in range(facts["rounds"])]
         return cls(facts["features"], facts["start"], facts["step"], trees, values, curve, leaves)
 
 
+def _tree_path(path: str, i: int) -> str:
+    return f"{path}/trees/{i:06d}"
+
+
+def _at_once(run: Callable[[int], object], n: int) -> list:
+    """``run`` of 0 to n - 1, several at a time: storing a tree takes a few jobs of one task each."""
+    with ThreadPool(STORED_AT_ONCE) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.active())(run), range(n))
+
+
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """The rows over all cores, however few parts they come in, and in parts of bounded size."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * max(1, -(-rows // (cores * PARTITION_ROWS))))
+
+
+def _placed(tree: DecisionTreeRegressionModel, df: DataFrame) -> DataFrame:
+    """Add the leaf of each row; the tree's own prediction is of no use here."""
+    return tree.copy().setPredictionCol("").transform(df)
+
+
 def _assembled(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol=VECTOR).transform(df)
 
@@ -114,7 +138,7 @@ def _lookup(values: dict[int, float]) -> Column:
 
 def leaf_ids(tree: DecisionTreeRegressionModel, df: DataFrame, features: list[str]) -> DataFrame:
     """Add the ``leaf`` of a tree that each row falls into."""
-    placed = tree.transform(_assembled(df, features))
+    placed = _placed(tree, _assembled(df, features))
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], F.col(LEAF).cast("int").alias("leaf"))
 
 
@@ -123,6 +147,15 @@ def held_back(keys: list, percent: int = 20) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(100)) < percent
 
 
+def _loss(sums: list, values: dict[int, float], step: float) -> float | None:
+    """The mean square error of a part once its leaves have moved, from the count, sum and squares of each leaf's residuals."""
+    n = sum(r["known"] for r in sums)
+    if not n:
+        return None
+    moved = [(r, step * values.get(r["leaf"], 0.0)) for r in sums if r["known"]]
+    return max(math.fsum(r["squares"] - 2 * by * r["residuals"] + r["known"] * by * by for r, by in moved) / n, 0.0)
+
+
 def fit(
     rows: DataFrame,
     features: list[str],
@@ -146,10 +179,12 @@ def fit(
     # The columns are computed before the vector; the vector alone goes on.
     known = rows.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in features], F.col(label).cast("double").alias(label), held.alias(HELD))
     known = _assembled(known, features).select(VECTOR, label, HELD)
-    start, n = known.filter(~F.col(HELD)).agg(F.avg(label), F.count(F.lit(1))).first()
+    fitted = ~F.col(HELD)
+    start, n, total = known.agg(F.avg(F.when(fitted, F.col(label))), F.count_if(fitted), F.count(F.lit(1))).first()
     if not n:
         raise ValueError("there are no rows to fit on")
-    now = known.withColumn(FITTED, F.lit(start)).persist(StorageLevel.MEMORY_AND_DISK)
+    # Every round reads the rows many times.
+    now = dealt(known, total).withColumn(FITTED, F.lit(start)).persist(StorageLevel.MEMORY_AND_DISK)
     kept: list[DataFrame] = [now]
     trees, values, curve, leaves = [], [], [], []
     best, best_loss = 0, None
@@ -159,30 +194,33 @@ def fit(
             residual = now.withColumn(RESIDUAL, F.col(label) - F.col(FITTED))
             tree = DecisionTreeRegressor(
                 featuresCol=VECTOR, labelCol=RESIDUAL, predictionCol="__tree", leafCol=LEAF, maxDepth=depth, seed=seed + number
-            ).fit(residual.filter(~F.col(HELD)))
-            placed = tree.transform(residual)
-            sums = placed.filter(~F.col(HELD)).groupBy(F.col(LEAF).cast("int").alias("leaf")).agg(
-                F.count(F.lit(1)).alias("rows"), F.sum(RESIDUAL).alias("residuals")
+            ).fit(residual.filter(fitted))
+            placed = _placed(tree, residual)
+            # One pass gives the leaves and, as a leaf moves all its rows by one value, the losses after the round too.
+            sums = placed.groupBy(F.col(LEAF).cast("int").alias("leaf"), HELD).agg(
+                F.count(F.lit(1)).alias("rows"), F.count(RESIDUAL).alias("known"), F.sum(RESIDUAL).alias("residuals"),
+                F.sum(F.col(RESIDUAL) * F.col(RESIDUAL)).alias("squares"),
             )
-            found = sums.withColumn("value", leaf_value(F.col("residuals"), F.col("rows"), l1, l2)).sort("leaf").collect()
-            own = {r["leaf"]: r["value"] for r in found}
-            after = placed.withColumn(FITTED, F.col(FITTED) + step * _lookup(own)).select(VECTOR, label, HELD, FITTED)
-            # The rows of a round are kept while the next is made of them; their lineage is cut every few rounds.
-            after = after.checkpoint() if number % CHECKPOINT_ROUNDS == 0 else after
-            after = after.persist(StorageLevel.MEMORY_AND_DISK)
-            kept.append(after)
-            error = (F.col(label) - F.col(FITTED)) * (F.col(label) - F.col(FITTED))
-            losses = after.agg(F.avg(F.when(~F.col(HELD), error)).alias("train"), F.avg(F.when(F.col(HELD), error)).alias("held")).first()
+            found = sums.withColumn("value", leaf_value(F.col("residuals"), F.col("rows"), l1, l2)).collect()
+            # That pass has read, and so kept, all rows of this round: those they were made of can go.
+            while len(kept) > 1:
+                kept.pop(0).unpersist()
+            own = {r["leaf"]: r["value"] for r in found if not r[HELD]}
+            train_loss, held_loss = (_loss([r for r in found if r[HELD] == part], own, step) for part in (False, True))
             trees.append(tree)
             values.append(own)
-            leaves += [(number, r["leaf"], r["rows"], r["residuals"], r["value"]) for r in found]
+            own_leaves = sorted((r for r in found if not r[HELD]), key=lambda r: r["leaf"])
+            leaves += [(number, r["leaf"], r["rows"], r["residuals"], r["value"]) for r in own_leaves]
             # Without held-back rows there is nothing to wait for: the fitted rows stand in.
-            held_loss = losses["held"] if losses["held"] is not None else losses["train"]
-            curve.append((number, losses["train"], held_loss))
+            held_loss = held_loss if held_loss is not None else train_loss
+            curve.append((number, train_loss, held_loss))
             if best_loss is None or held_loss < best_loss * (1 - tolerance):
                 best, best_loss = number, held_loss
-            kept.pop(0).unpersist()
-            now = after
+            # The rows of a round are kept while the next is made of them; their lineage is cut every few rounds.
+            now = placed.withColumn(FITTED, F.col(FITTED) + step * _lookup(own)).select(VECTOR, label, HELD, FITTED)
+            now = now.checkpoint() if number % CHECKPOINT_ROUNDS == 0 else now
+            now = now.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(now)
     finally:
         for df in kept:
             df.unpersist()

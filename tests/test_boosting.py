@@ -72,3 +72,34 @@ def test_small_tables(spark):
     assert fitted.predict(one).first().prediction == pytest.approx(5.0)
     with pytest.raises(ValueError):
         boosting.fit(one.limit(0), ["a"], "y", held_key="id")
+
+
+def test_rows_of_one_part_are_fitted_in_many(spark, data, monkeypatch):
+    seen, fit = [], boosting.DecisionTreeRegressor.fit
+
+    def watched(self, rows, *more):
+        seen.append((rows.rdd.getNumPartitions(), rows.rdd.glom().map(len).collect()))
+        return fit(self, rows, *more)
+
+    monkeypatch.setattr(boosting.DecisionTreeRegressor, "fit", watched)
+    boosting.fit(data.coalesce(1), ["a", "b"], "y", held_key="id", rounds=2, depth=2)
+    assert len(seen) == 2
+    for parts, sizes in seen:
+        assert parts == spark.sparkContext.defaultParallelism and min(sizes) > 0
+
+
+def test_parts_have_a_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "PARTITION_ROWS", 10)
+    cores = spark.sparkContext.defaultParallelism
+    assert boosting.dealt(spark.range(1), cores * 10 + 1).rdd.getNumPartitions() == 2 * cores
+    assert boosting.dealt(spark.range(1), 0).rdd.getNumPartitions() == cores
+
+
+def test_losses_of_the_record_are_those_of_the_rows(spark, data):
+    fitted = boosting.fit(data, ["a", "b"], "y", held_key="id", rounds=7, depth=2)
+    for number, train, held in fitted.curve:
+        cut = boosting.Boosted(fitted.features, fitted.start, fitted.step, fitted.trees[:number], fitted.values[:number], [], [])
+        error = F.pow(F.col("y") - F.col("p"), 2)
+        apart = boosting.held_back(["id"])
+        found = cut.predict(data, "p").agg(F.avg(F.when(~apart, error)), F.avg(F.when(apart, error))).first()
+        assert (train, held) == pytest.approx(tuple(found), rel=1e-9)
