@@ -129,7 +129,7 @@ def merge_parts(
 
     Target rows are kept or replaced by a left join from the target, so
     duplicates of a key stay duplicates. A source within ``broadcast_limit``
-    (measured by the same aggregate that looks for repeated keys) is broadcast
+    (as a relation, measured by the same aggregate that looks for repeated keys) is broadcast
     and the target is not shuffled at all; a larger one is shuffle-joined, and
     as a left join that plan lets adaptive execution split a hot target key,
     which it cannot do for a full outer join.

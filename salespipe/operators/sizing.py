@@ -13,11 +13,14 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 # Spark refuses broadcast relations of this many rows or more, whatever their size.
 BROADCAST_MAX_ROWS = 100_000_000
 
-_WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
+# What Spark's hashed relation adds to a row: a pointer, and its places in a hash table that is kept at most half full and
+# grows by doubling. The memory of the rows grows by doubling too.
+RELATION_ROW_BYTES = 72
+RELATION_GROWTH = 2
 
 
 def row_bytes(schema: T.StructType) -> Column:
-    """Bytes one row takes in memory: 16 per row, fixed widths, and the text it holds."""
+    """Bytes one row takes in memory: 16 per row, 8 per field (a decimal 16), and the text it holds."""
     parts = [F.lit(16)]
     for field in schema:
         kind = field.dataType
@@ -27,12 +30,13 @@ def row_bytes(schema: T.StructType) -> Column:
             as_text = F.to_json(F.struct(F.col(f"`{field.name}`").alias("v")))
             parts.append(F.coalesce(F.octet_length(as_text), F.lit(0)) + 16)
         else:
-            parts.append(F.lit(_WIDTHS.get(kind.simpleString(), 16 if "decimal" in kind.simpleString() else 8)))
+            parts.append(F.lit(16 if "decimal" in kind.simpleString() else 8))
     return reduce(lambda a, b: a + b, parts).cast("long")
 
 
 def fits_broadcast(rows: int, size: int, limit: int = BROADCAST_LIMIT) -> bool:
-    return rows < BROADCAST_MAX_ROWS and size <= limit
+    """Whether rows of ``size`` bytes in all stay within the limit as a broadcast relation, as the driver holds it."""
+    return rows < BROADCAST_MAX_ROWS and RELATION_GROWTH * size + RELATION_ROW_BYTES * rows <= limit
 
 
 def measure(df: DataFrame) -> tuple[int, int]:

@@ -164,3 +164,10 @@ def test_applying_the_change_feed_gives_the_new_state(spark, rows, a, b):
     gone = feed.filter("_change = 'delete'").select("k")
     applied = changes.upsert(old.join(gone, "k", "left_anti"), feed.filter("_change <> 'delete'").drop("_change"), "k")
     assert rows(applied) == rows(new)
+
+
+def test_a_source_of_many_narrow_rows_is_not_sent_through_the_driver(spark):
+    source = spark.range(500_000).selectExpr("id AS k", "id AS d", "id AS v")
+    halves = changes.merge_parts(source.limit(10), source, "k")
+    assert not halves.source_broadcast
+    assert changes.merge_parts(source.limit(10), source.limit(1000), "k").source_broadcast

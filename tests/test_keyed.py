@@ -151,6 +151,13 @@ def test_measured_size_grows_with_text(spark):
     assert fits_broadcast(10, 100) and not fits_broadcast(10, 10**10) and not fits_broadcast(10**9, 1)
 
 
+def test_a_broadcast_is_measured_as_the_relation_the_driver_holds(spark):
+    # 24 MB of rows, but above 80 MB as a hashed relation with its table of keys.
+    many = spark.range(500_000).selectExpr("id AS k", "id AS a", "id AS b", "id AS c")
+    assert not fits_broadcast(*measure(many))
+    assert fits_broadcast(*measure(many.limit(100_000)))
+
+
 def test_pairwise_correlations_take_two_passes_and_leave_out_rows_with_a_null(spark):
     value = lambda i: F.when((F.col("id") * 7 + i) % (i + 4) != 0, (F.col("id") * (i + 3)) % 101 + i)
     wide = spark.range(300).select(*[value(i).alias(f"c{i}") for i in range(40)])
