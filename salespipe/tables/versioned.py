@@ -274,7 +274,7 @@ class VersionedTable:
         """Replace all rows; the schema stays."""
         head = self._commit()
         rows = conform(df, head.struct, cast=cast)
-        parts, _ = self._write(head, self._laid_out(head, rows))
+        parts = self._write(head, self._laid_out(head, rows))
         feed = _entries(head.paths, "delete") + _entries([p["path"] for p in parts], "insert")
         return self._publish(self._next(head, "OVERWRITE", parts, feed), now)
 
@@ -294,7 +294,7 @@ class VersionedTable:
         widened = T.StructType([*want.fields, *[f for f in have if f.name not in want.fieldNames()]])
         head = replace(head, schema=widened.json())
         rows = conform(df, widened, missing="null")
-        parts, _ = self._write(head, self._laid_out(head, rows))
+        parts = self._write(head, self._laid_out(head, rows))
         feed = _entries([p["path"] for p in parts], "insert")
         commit = self._next(head, "APPEND", head.parts + parts, feed, mergeSchema=str(merge_schema).lower())
         return self._publish(commit, now)
@@ -361,7 +361,7 @@ class VersionedTable:
             rows = kept.unionByName(self._laid_out(head, halves.inserted))
         else:
             rows = self._laid_out(head, halves.kept.unionByName(halves.inserted))
-        parts, feed = self._write(head, rows)
+        parts, feed = self._write_recorded(head, rows)
         untouched = [p for p in head.parts if p["path"] not in set(touched)]
         commit = self._next(head, "MERGE", untouched + parts, feed, keys=",".join(keys))
         if batch is not None:
@@ -490,7 +490,11 @@ class VersionedTable:
         by = [F.col(c) for c in (KIND, BUCKET) if c == BUCKET or c in df.columns]
         return df.withColumn(BUCKET, self._bucket(commit)).hint("rebalance", *by)
 
-    def _write(self, head: Commit, rows: DataFrame) -> tuple[list[dict], list[dict]]:
+    def _write(self, head: Commit, rows: DataFrame) -> list[dict]:
+        """Write rows that are all the table's own; the parts that hold them."""
+        return self._write_recorded(head, rows)[0]
+
+    def _write_recorded(self, head: Commit, rows: DataFrame) -> tuple[list[dict], list[dict]]:
         """Write the parts of the version after ``head``: which hold rows and how many, and which hold changes."""
         folder = f"version={head.version + 1}-{uuid.uuid4().hex[:12]}"
         by = [c for c in (KIND, BUCKET) if c in rows.columns]
@@ -526,7 +530,7 @@ class VersionedTable:
             if head.buckets:
                 # Not shuffled since the scan: tasks still hold whole bucket folders.
                 rows = rows.withColumn(BUCKET, self._bucket(head))
-            parts, feed = self._write(head, rows)
+            parts, feed = self._write_recorded(head, rows)
         untouched = [p for p in head.parts if p["path"] not in set(touched)]
         shown = condition if isinstance(condition, str) else str(condition)
         return self._publish(self._next(head, operation, untouched + parts, feed, predicate=shown), now)
