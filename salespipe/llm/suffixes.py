@@ -12,7 +12,9 @@ strings meet and nothing else has to:
    to a repeat; slices send the anchors they hold to their buckets, which answer
    which are shared.
 2. Slices send their distinct segments with shared anchors, with the least
-   document of each, to the anchors' buckets. There the segments are dealt to
+   document of each, to the anchors' buckets; the slices of a task send together,
+   some megabytes of text at a time, so that messages stay long however many
+   buckets there are. There the segments are dealt to
    shards, each shard gets the transform of its rotations (sorted once, alone),
    and the transforms are merged by refining their interleave: every round
    reads the symbols before each rotation in the order so far and deals the
@@ -22,6 +24,10 @@ strings meet and nothing else has to:
    repeated strings, and the least document in each goes back to the slices.
 3. Slices mark the bytes and cut them out.
 
+Slices lie in files dealt by their number, so that answers and marks come to them
+and the texts are moved once. Segments are on disk once, as files of their shuffle,
+and what a step has shuffled goes with its end.
+
 A passage copied a billion times is sent once by each slice. An anchor that
 more than ``HOT`` slices hold is split: its strings go to buckets by their own
 hash, one by one.
@@ -42,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salespipe.llm.store import written
+from salespipe.llm.store import shuffles_dropped, written, written_by
 from salespipe.llm.texts import Slice, column, mix, rolling, slices
 
 LENGTH = 50
@@ -51,6 +57,7 @@ HOT = 4096
 SHARDS = 2
 PACK_BYTES = 1 << 20
 BUCKET_BYTES = 12 << 20
+SEND_BYTES = 16 << 20  # of slices whose segments are sent together
 MERGE_BYTES = 1 << 16  # of segments merged at a time, about what a processor keeps at hand
 SYMBOL = 8
 
@@ -273,38 +280,68 @@ def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     return data[np.repeat(start - first, size) + np.arange(size.sum())]
 
 
+def _delta(values: np.ndarray, dtype=np.int64) -> bytes:
+    return _squeeze(np.diff(values, prepend=0).astype(dtype))
+
+
+def _places(packed: Packed, found: Candidates) -> dict:
+    """Where each segment occurs, in the order of the slice; goes by a bucket of its own to the marks of the slice."""
+    order = np.argsort(found.start, kind="stable")
+    return {
+        "bucket": -1 - packed.slice, "n": len(order), "bytes": 0, "kind": _delta(found.kind[order], np.int32),
+        "least": _delta(found.start[order]), "most": _delta(found.doc[order]),
+    }
+
+
+def _messages(held: list[tuple[Packed, Candidates]], length: int, buckets: int) -> list[dict]:
+    """The distinct segments of some slices, one row for each bucket."""
+    base = np.cumsum([0] + [len(packed.text.data) for packed, _ in held])
+    data = np.concatenate([packed.text.data for packed, _ in held])
+    own = [found.head for _, found in held]
+    start = np.concatenate([found.start[head] + b for (_, found), head, b in zip(held, own, base, strict=False)])
+    strings = np.concatenate([found.strings[head] for (_, found), head in zip(held, own, strict=True)])
+    anchor, least, most = (np.concatenate([getattr(found, name) for _, found in held]) for name in ("anchor", "least", "most"))
+    kind = np.concatenate([np.arange(len(head)) for head in own])
+    home = np.repeat([packed.slice for packed, _ in held], [len(head) for head in own])
+    out = []
+    for b, at in _by_bucket(_bucket(anchor, buckets)):
+        size = strings[at] + length - 1
+        text = _gather(data, start[at], size)
+        group = (anchor[at] & np.uint64(0xFF)).astype(np.uint8)
+        out.append({
+            "bucket": b, "n": len(at), "bytes": len(text), "slice": _delta(home[at]), "kind": _delta(kind[at], np.int32),
+            "size": _squeeze(size.astype(np.int32)), "least": _squeeze(least[at]), "most": _squeeze(most[at] - least[at]),
+            "group": _squeeze(group), "text": _squeeze(text),
+        })
+    return out
+
+
 def _tell_segments(length: int, buckets: int):
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for row in _rows(batches):
             packed = Packed(row, length)
             found = Candidates(packed, row["replies"], buckets)
-            out = []
-            for b, at in _by_bucket(_bucket(found.anchor, buckets)):
-                size = found.strings[found.head[at]] + length - 1
-                text = _gather(packed.text.data, found.start[found.head[at]], size)
-                group = (found.anchor[at] & np.uint64(0xFF)).astype(np.uint8)
-                out.append({
-                    "bucket": b, "slice": packed.slice, "n": len(at), "bytes": len(text), "kind": _squeeze(np.diff(at, prepend=0).astype(np.int32)),
-                    "size": _squeeze(size.astype(np.int32)), "least": _squeeze(found.least[at]), "most": _squeeze(found.most[at] - found.least[at]),
-                    "group": _squeeze(group), "text": _squeeze(text),
-                })
-            # Where each segment occurs stays with the slice.
-            order = np.argsort(found.kind, kind="stable")
-            out.append({
-                "bucket": -1, "slice": packed.slice, "n": len(order), "bytes": 0, "kind": _squeeze(found.kind[order].astype(np.int32)),
-                "least": _squeeze(found.start[order]), "most": _squeeze(found.doc[order]),
-            })
-            yield pa.RecordBatch.from_pylist(out, _SEGMENTS)
+            if not len(found.head):
+                continue
+            yield pa.RecordBatch.from_pylist([_places(packed, found)], _SEGMENTS)
+            held.append((packed, found))
+            size += len(packed.text.data)
+            if size >= SEND_BYTES:
+                yield pa.RecordBatch.from_pylist(_messages(held, length, buckets), _SEGMENTS)
+                held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(_messages(held, length, buckets), _SEGMENTS)
 
     return tell
 
 
 _SEGMENTS = pa.schema([
-    ("bucket", pa.int64()), ("slice", pa.int64()), ("n", pa.int64()), ("bytes", pa.int64()), ("kind", pa.binary()),
+    ("bucket", pa.int64()), ("n", pa.int64()), ("bytes", pa.int64()), ("slice", pa.binary()), ("kind", pa.binary()),
     ("size", pa.binary()), ("least", pa.binary()), ("most", pa.binary()), ("group", pa.binary()), ("text", pa.binary()),
 ])
 _SEGMENT_ROWS = (
-    "bucket long, slice long, n long, bytes long, kind binary, size binary, least binary, most binary, group binary, text binary"
+    "bucket long, n long, bytes long, slice binary, kind binary, size binary, least binary, most binary, group binary, text binary"
 )
 
 
@@ -415,16 +452,24 @@ def least_documents(data: np.ndarray, size: np.ndarray, least: np.ndarray, lengt
 
 def _merge_bucket(length: int, shards: int):
     def answer(rows: pa.Table) -> pa.Table:
+        bucket = rows.column("bucket")[0].as_py()
+        if bucket < 0:
+            # The places of a slice, on their way to its marks.
+            own = rows.select(["n", "kind", "least", "most"]).rename_columns(["n", "kind", "string", "doc"])
+            return own.add_column(0, "slice", pa.array([-1 - bucket])).add_column(4, "run", pa.nulls(1, pa.binary())).cast(_MARKS)
         n, sizes = rows.column("n").to_pylist(), rows.column("bytes").to_pylist()
 
         def joined(name: str, dtype, counts=n) -> np.ndarray:
             return np.concatenate([_expand(x, dtype, k) for x, k in zip(rows.column(name), counts, strict=True)])
 
         data, size = joined("text", np.uint8, sizes), joined("size", np.int32).astype(np.int64)
-        least, more, group, kind = joined("least", np.int64), joined("most", np.int64), joined("group", np.uint8), joined("kind", np.int32).astype(np.int64)
+        least, more, group = joined("least", np.int64), joined("most", np.int64), joined("group", np.uint8)
         firsts = np.cumsum(n) - n
-        kind = np.cumsum(kind) - np.repeat(np.cumsum(kind)[firsts] - kind[firsts], n)
-        home = np.repeat(rows.column("slice").to_numpy(), n)
+
+        def summed(steps: np.ndarray) -> np.ndarray:
+            return np.cumsum(steps) - np.repeat(np.cumsum(steps)[firsts] - steps[firsts], n)
+
+        kind, home = summed(joined("kind", np.int32).astype(np.int64)), summed(joined("slice", np.int64))
         start = np.cumsum(size) - size
         out, order = [], np.argsort(group, kind="stable")
         filled = np.cumsum(size[order]) // MERGE_BYTES
@@ -484,8 +529,9 @@ def _covered(packed: Packed, places: dict, marks: list[dict]) -> np.ndarray:
     def read(row: dict, name: str, dtype) -> np.ndarray:
         return np.frombuffer(pa.decompress(row[name], row["n"] * np.dtype(dtype).itemsize, codec="zstd"), dtype)
 
-    kinds, start, doc = read(places, "kind", np.int32), read(places, "least", np.int64), read(places, "most", np.int64)
-    ids = packed.ids[doc]
+    kinds, start, doc = (np.cumsum(read(places, name, kind)) for name, kind in (("kind", np.int32), ("string", np.int64), ("doc", np.int64)))
+    order = np.argsort(kinds, kind="stable")
+    kinds, start, ids = kinds[order], start[order], packed.ids[doc[order]]
     for m in marks:
         kind, string, run = (read(m, name, np.int32) for name in ("kind", "string", "run"))
         first = np.searchsorted(kinds, kind)
@@ -547,18 +593,24 @@ def remove_repeats(
     texts = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     others = [f for f in texts.schema.fields if f.name not in ("text", *RESULT.names)]
     texts = texts.select(*[f.name for f in others], "text")
-    packed = written(spark, texts.mapInArrow(_pack, _PACKED), "packed")
-    total = packed.agg(F.sum("bytes")).first()[0] or 0
+    packed = written_by(spark, texts.mapInArrow(_pack, _PACKED), "packed", "slice")
+    with shuffles_dropped(spark):
+        total = packed.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
     told = packed.mapInArrow(_tell_anchors(length, buckets), "bucket long, slice long, anchors binary, several binary")
     shared = told.groupBy("bucket").applyInArrow(_answer_anchors(hot), "slice long, bucket long, shared binary")
     replies = shared.groupBy("slice").agg(F.collect_list(F.struct("bucket", "shared")).alias("replies"))
-    replies = written(spark, replies, "replies")
-    segments = written(spark, packed.join(replies, "slice").mapInArrow(_tell_segments(length, buckets), _SEGMENT_ROWS), "segments")
-    marked = segments.where("bucket >= 0").groupBy("bucket").applyInArrow(_merge_bucket(length, shards), _MARK_ROWS)
-    marks = marked.groupBy("slice").agg(F.collect_list(F.struct("n", "kind", "string", "run", "doc")).alias("marks"))
-    places = segments.where("bucket < 0").select("slice", F.struct("n", "kind", "least", "most").alias("places"))
-    marks = written(spark, marks.join(places, "slice"), "marks")
+    with shuffles_dropped(spark):
+        replies = written(spark, replies, "replies")
+        segments = packed.join(replies, "slice").mapInArrow(_tell_segments(length, buckets), _SEGMENT_ROWS)
+        marked = segments.groupBy("bucket").applyInArrow(_merge_bucket(length, shards), _MARK_ROWS)
+        # A row without runs has the places of its slice.
+        told, place = F.struct("n", "kind", "string", "run", "doc"), F.struct("n", "kind", "string", "doc")
+        marks = marked.groupBy("slice").agg(
+            F.collect_list(F.when(F.col("run").isNotNull(), told)).alias("marks"),
+            F.first(F.when(F.col("run").isNull(), place), ignorenulls=True).alias("places"),
+        )
+        marks = written(spark, marks.where(F.size("marks") > 0), "marks")
     return packed.join(marks, "slice", "left").mapInArrow(
         _cut(length, characters), T.StructType([*others, *RESULT.fields])
     )

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from salespipe.llm import suffixes
+from salespipe.llm import store, suffixes
 
 
 def brute(rows, length):
@@ -84,3 +86,49 @@ def test_merging_gives_the_order_of_all_rotations():
         whole.append(s[p - first[owner[p]] :][:length])
     assert whole == sorted(whole)
     assert border.tolist() == [True] + [a != b for a, b in zip(whole, whole[1:], strict=False)]
+
+
+def test_texts_are_moved_once_and_segments_lie_nowhere_twice(spark, monkeypatch):
+    labels, scratch = [], store.scratch_dir
+    monkeypatch.setattr(store, "scratch_dir", lambda spark, label: labels.append(label) or scratch(spark, label))
+    monkeypatch.setattr(suffixes, "PACK_BYTES", 300)
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+
+    def shuffled():
+        found = files()
+        return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+    rows = [(i, f"{i} {'the same passage of more than fifty bytes in every document ' * 2}{i}") for i in range(40)]
+    before = shuffled()
+    got = suffixes.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert not left, "files of a shuffle whose step is over"
+    assert labels == ["packed", "replies", "marks"]
+    assert found(got) == brute(rows, suffixes.LENGTH)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert got.select("*")._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(slice") == 1, "only marks go to the slices"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_slices_of_a_task_send_together():
+    texts = [f"{i:02d}" + "a passage that all these texts share, long enough to be found" for i in range(6)]
+    held = []
+    for i, text in enumerate(texts):
+        data = np.frombuffer(text.encode(), np.uint8)
+        packed = object.__new__(suffixes.Packed)
+        packed.slice, packed.length, packed.ids, packed.known = i, 50, np.array([i]), np.array([True])
+        packed.text = suffixes.Slice(0, data, np.array([0, len(data)]))
+        cut = suffixes.Segments(packed)
+        hashed = np.unique(cut.anchor)
+        replies = pa.scalar([{"bucket": 0, "shared": suffixes._squeeze(np.ones(len(hashed), np.uint8))}])
+        held.append((packed, suffixes.Candidates(packed, replies, 1)))
+    rows = suffixes._messages(held, 50, 1)
+    assert len(rows) == 1 and rows[0]["n"] == sum(len(f.head) for _, f in held)
+    marks = suffixes._merge_bucket(50, 2)(pa.Table.from_pylist(rows, suffixes._SEGMENTS))
+    assert sorted(marks.column("slice").to_pylist()) == [1, 2, 3, 4, 5], "all but the first have it from an earlier one"
