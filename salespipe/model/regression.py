@@ -13,8 +13,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salespipe.functions.scalars import truncate_to_int
+from salespipe.model import boosting, cells
 from salespipe.operators.profile import regression_metrics
 from salespipe.session import ensure_checkpoint_dir
 from salespipe.sources import storage
@@ -22,6 +24,7 @@ from salespipe.sources import storage
 FEATURE_VECTOR = "features"
 RAW_PREDICTION = "raw_prediction"
 HELD_OUT = "held_out"
+BINS = 32  # of a feature, as Spark has it
 RUN_SCHEMA = "run_id string, started_at timestamp, params map<string,string>, metrics map<string,double>"
 
 # Up to a thousand rounds; early stopping ends the fit. Each level of a tree is a
@@ -54,7 +57,8 @@ def train(
     Fitting stops at the first round that improves the loss there by less than
     ``tolerance`` (relative), which is Spark's rule, without patience.
 
-    Rows stay in the partitions they are read in; ``partitions`` spreads them anew.
+    With Spark's settings for squared error the rows go in as cells (see cells.py), which give the trees the rows
+    would give; else as they are. Rows stay in the partitions they are read in; ``partitions`` spreads them anew.
     """
     ensure_checkpoint_dir(train_rows.sparkSession)
     settings = {**DEFAULTS, **params}
@@ -66,19 +70,54 @@ def train(
         rows = rows.withColumn(HELD_OUT, F.pmod(F.xxhash64(*keys), F.lit(100)) < 20)
         settings.update(validationIndicatorCol=HELD_OUT, validationTol=tolerance)
         needed.append(HELD_OUT)
+    rows = rows.select(*needed)
+    if celled := _fits_cells(rows, features, settings):
+        rows, n = _cells(rows, features, label, settings.get("maxBins", BINS), stop_early, partitions)
+        settings.update(weightCol=cells.ROWS, maxBins=cells.bins_of_trees(settings.get("maxBins", BINS), n))
+    elif partitions:
+        rows = rows.repartition(partitions)
     trees = GBTRegressor(
         featuresCol=FEATURE_VECTOR, labelCol=label, predictionCol=RAW_PREDICTION, checkpointInterval=10, **settings
     )
     assemble = VectorAssembler(inputCols=features, outputCol=FEATURE_VECTOR)
-    rows = rows.select(*needed)
     # Fitting reads the rows several times before it keeps its own binned copy.
-    rows = (rows.repartition(partitions) if partitions else rows).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows if celled else rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=[assemble, trees]).fit(rows)
     finally:
         rows.unpersist()
 
 
+def _fits_cells(rows: DataFrame, features: list[str], settings: dict) -> bool:
+    """Whether cells stand for the rows: only sums of labels and squares are asked, of numbers, and no row counts by itself."""
+    plain = {"lossType": "squared", "minInstancesPerNode": 1, "minWeightFractionPerNode": 0.0, "subsamplingRate": 1.0}
+    numbers = all(isinstance(rows.schema[f].dataType, T.NumericType | T.BooleanType) for f in features)
+    return numbers and "weightCol" not in settings and all(settings.get(k, v) == v for k, v in plain.items())
+
+
+def _cells(rows: DataFrame, features: list[str], label: str, bins: int, apart: bool, partitions: int | None) -> tuple[DataFrame, int]:
+    """The cells of the rows, kept, with a weight each; how many there are.
+
+    A held-out cell comes as two halves, the spread of its labels apart, so that the loss there is that of its rows.
+    """
+    by = [HELD_OUT] if apart else []
+    rows = rows.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in features], F.col(f"`{label}`").cast("double").alias(label), *by)
+    taught = ~F.col(HELD_OUT) if apart else F.lit(True)
+    around = rows.agg(*[cells.quantiles(f, bins, taught) for f in features]).first()
+    found = cells.cells(rows, dict(zip(features, around, strict=True)), label, *by)
+    weight, mean = F.col(cells.ROWS).cast("double"), F.col(cells.MEAN)
+    off = F.sqrt(F.col(cells.SPREAD) / F.col(cells.KNOWN))
+    whole = F.array(F.struct(mean.alias(label), weight.alias(cells.ROWS)))
+    halves = F.array(*[F.struct((mean + sign * off).alias(label), (weight / 2).alias(cells.ROWS)) for sign in (-1, 1)])
+    parts = F.when(F.col(HELD_OUT) & (off > 0), halves).otherwise(whole) if apart else whole
+    found = found.select(*[F.col(f"`{f}`") for f in features], *by, F.inline(parts)).persist(StorageLevel.MEMORY_AND_DISK)
+    n = found.count()
+    kept = (found.repartition(partitions) if partitions else boosting.dealt(found, n)).persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    found.unpersist()
+    return kept, n
+
+
 def rounds(model: PipelineModel) -> int:
     """How many rounds of boosting the fit took."""
     return model.stages[-1].getNumTrees
