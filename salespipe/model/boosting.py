@@ -7,6 +7,9 @@ residuals of a leaf and its number of rows H, the value is
 follow from that, and so do the losses of both parts, as the same aggregate adds up the
 squares. Rows never leave the executors; the driver sees two rows per leaf a round.
 
+Rounds go over cells (see cells.py): rows whose features fall into the same bins. All sums
+are those of the rows.
+
 A part of the rows is held back. Fitting ends after ``patience`` rounds without
 a gain there, and the model is cut to the rounds up to the best one. A gain is a
 loss less than the best so far by more than ``tolerance`` of it (0: any less).
@@ -16,17 +19,23 @@ from __future__ import annotations
 
 import json
 import math
+import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import count
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salespipe.functions.scalars import truncate_to_int
+from salespipe.model import cells
 from salespipe.session import ensure_checkpoint_dir
 from salespipe.sources import storage
 
@@ -34,8 +43,10 @@ VECTOR, LEAF, FITTED, RESIDUAL, HELD = "__features", "__leaf", "__fitted", "__re
 
 # Fixed values of the job this follows, as far as trees of Spark have them; depth is explained in regression.py.
 ROUNDS, PATIENCE, STEP, L1, L2, DEPTH = 1000, 10, 0.4, 0.15, 0.2, 8
+BINS = 64  # of a feature in all rounds; Spark gives a tree 32, other ones in each round
 CHECKPOINT_ROUNDS = 5
 PARTITION_ROWS = 250_000
+UNEVEN = 2  # times its share of the rows that a part may have
 STORED_AT_ONCE = 8
 CURVE_SCHEMA = "round int, train_loss double, held_loss double"
 LEAF_SCHEMA = "round int, leaf int, rows long, residuals double, value double"
@@ -64,11 +75,28 @@ class Boosted:
 
     def predict(self, df: DataFrame, prediction: str = "prediction", *, as_int: bool = False) -> DataFrame:
         """Add the prediction next to the row it belongs to."""
-        rows = _assembled(df, self.features).withColumn(FITTED, F.lit(self.start))
-        for tree, values in zip(self.trees, self.values, strict=True):
-            rows = _placed(tree, rows).withColumn(FITTED, F.col(FITTED) + self.step * _lookup(values)).drop(LEAF)
-        value = truncate_to_int(F.col(FITTED)) if as_int else F.col(FITTED)
-        return rows.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(prediction))
+        found = self._function()(*[F.col(f"`{f}`").cast("double") for f in self.features])
+        value = truncate_to_int(found) if as_int else found
+        return df.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(prediction))
+
+    def _function(self) -> Callable[..., Column]:
+        """The sum of all trees as one function of the features, of whole batches: an expression of so many trees is too long to compile."""
+        start, step, trees = self.start, self.step, [_nodes(t, v) for t, v in zip(self.trees, self.values, strict=True)]
+
+        @F.pandas_udf("double")
+        def run(*columns: pd.Series) -> pd.Series:
+            x = np.array([c.to_numpy(np.float64) for c in columns])
+            if np.isnan(x).any():
+                raise ValueError("a feature is NULL or NaN")
+            total, row = np.full(x.shape[1], start), np.arange(x.shape[1])
+            for depth, feature, border, left, right, value in trees:
+                at = np.zeros(x.shape[1], np.int64)
+                for _ in range(depth):
+                    at = np.where(x[feature[at], row] <= border[at], left[at], right[at])
+                total = total + step * value[at]
+            return pd.Series(total)
+
+        return run
 
     def loss_curve(self, spark: SparkSession) -> DataFrame:
         """One row per round fitted, those after the best one too."""
@@ -88,7 +116,8 @@ class Boosted:
         return spark.createDataFrame([(f, t / whole) for f, t in zip(self.features, total, strict=True)], "feature string, importance double")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        _at_once(lambda i: self.trees[i].write().save(_tree_path(path, i)), self.best_round)
+        if self.trees:
+            _together(self.trees).write().save(f"{path}/ensemble")
         self.loss_curve(spark).coalesce(1).write.parquet(f"{path}/curve")
         self.leaf_table(spark).coalesce(1).write.parquet(f"{path}/leaves")
         # Written last: without it there is no model.
@@ -98,7 +127,15 @@ class Boosted:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Boosted:
         facts = json.loads(storage.read_text(spark, f"{path}/model.json"))
-        trees = _at_once(lambda i: DecisionTreeRegressionModel.load(_tree_path(path, i)), facts["rounds"])
+        if not facts["rounds"]:
+            trees = []
+        elif storage.exists(spark, f"{path}/ensemble"):
+            # Trees of an ensemble forget their columns.
+            whole = GBTRegressionModel.load(f"{path}/ensemble")
+            trees = [t.copy().setFeaturesCol(VECTOR).setLeafCol(LEAF) for t in whole.trees]
+        else:
+            # Stored before the trees lay in one table.
+            trees = _at_once(lambda i: DecisionTreeRegressionModel.load(_tree_path(path, i)), facts["rounds"])
         curve = [tuple(r) for r in spark.read.schema(CURVE_SCHEMA).parquet(f"{path}/curve").sort("round").collect()]
         leaves = [tuple(r) for r in spark.read.schema(LEAF_SCHEMA).parquet(f"{path}/leaves").sort("round", "leaf").collect()]
         values = [{leaf: v for n, leaf, _, _, v in leaves if n == i + 1} for i in range(facts["rounds"])]
@@ -110,11 +147,53 @@ def _tree_path(path: str, i: int) -> str:
 
 
 def _at_once(run: Callable[[int], object], n: int) -> list:
-    """``run`` of 0 to n - 1, several at a time: storing a tree takes a few jobs of one task each."""
+    """``run`` of 0 to n - 1, several at a time: loading a tree takes a few jobs of one task each."""
     with ThreadPool(STORED_AT_ONCE) as pool:
         return pool.map(inheritable_thread_target(SparkSession.active())(run), range(n))
 
 
+def _nodes(tree: DecisionTreeRegressionModel, values: dict[int, float]) -> tuple:
+    """Depth, and of each node: feature, threshold, children and value. Leaves are numbered from the left; each is its own child."""
+    lines = iter(line.strip() for line in tree.toDebugString.splitlines()[1:])
+    feature, border, left, right, value, depths, leaf = [], [], [], [], [], [0], count()
+
+    def read(depth: int) -> int:
+        line, at = next(lines), len(feature)
+        for column, first in ((feature, 0), (border, math.inf), (left, at), (right, at), (value, 0.0)):
+            column.append(first)
+        if split := re.fullmatch(r"If \(feature (\d+) <= (\S+)\)", line):
+            feature[at], border[at] = int(split[1]), float(split[2])
+            left[at] = read(depth + 1)
+            next(lines)  # Else
+            right[at] = read(depth + 1)
+        else:
+            depths.append(depth)
+            value[at] = values.get(next(leaf), 0.0)
+        return at
+
+    read(0)
+    return max(depths), np.array(feature), np.array(border), np.array(left), np.array(right), np.array(value)
+
+
+def _together(trees: list[DecisionTreeRegressionModel]) -> GBTRegressionModel:
+    """The trees as one model of Spark, which is stored at once."""
+    context = SparkSession.active().sparkContext
+    single = context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    listed, weights = context._gateway.new_array(single, len(trees)), context._gateway.new_array(context._jvm.double, len(trees))
+    for i, tree in enumerate(trees):
+        listed[i], weights[i] = tree._java_obj, 1.0
+    ensemble = context._jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"boosted_{uuid.uuid4().hex}", listed, weights)
+    return GBTRegressionModel._from_java(ensemble)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows as they are if their parts are even enough to keep all cores at work, else ``dealt``."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    most, rows = parts.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return df if most * cores <= UNEVEN * rows else dealt(df, rows)
+
+
 def dealt(df: DataFrame, rows: int) -> DataFrame:
     """The rows over all cores, however few parts they come in, and in parts of bounded size."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -176,30 +255,34 @@ def fit(
     ensure_checkpoint_dir(rows.sparkSession)
     keys = held_key if isinstance(held_key, list) else [held_key] if held_key is not None else features
     held = held_back(keys, held_percent)
-    # The columns are computed before the vector; the vector alone goes on.
     known = rows.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in features], F.col(label).cast("double").alias(label), held.alias(HELD))
-    known = _assembled(known, features).select(VECTOR, label, HELD)
     fitted = ~F.col(HELD)
-    start, n, total = known.agg(F.avg(F.when(fitted, F.col(label))), F.count_if(fitted), F.count(F.lit(1))).first()
+    start, n, *around = known.agg(
+        F.avg(F.when(fitted, F.col(label))), F.count_if(fitted), *[cells.quantiles(f, BINS, fitted) for f in features]
+    ).first()
     if not n:
         raise ValueError("there are no rows to fit on")
-    # Every round reads the rows many times.
-    now = dealt(known, total).withColumn(FITTED, F.lit(start)).persist(StorageLevel.MEMORY_AND_DISK)
+    summed = cells.cells(known, dict(zip(features, around, strict=True)), label, HELD).persist(StorageLevel.MEMORY_AND_DISK)
+    total = summed.count()
+    # Every round reads the cells many times; the vector alone goes on.
+    now = dealt(_assembled(summed, features).select(VECTOR, HELD, *cells.SUMMARY), total).withColumn(FITTED, F.lit(start))
+    now = now.persist(StorageLevel.MEMORY_AND_DISK)
     kept: list[DataFrame] = [now]
     trees, values, curve, leaves = [], [], [], []
     best, best_loss = 0, None
     try:
         while len(trees) < rounds and len(trees) - best < patience:
             number = len(trees) + 1
-            residual = now.withColumn(RESIDUAL, F.col(label) - F.col(FITTED))
+            residual = now.withColumn(RESIDUAL, F.col(cells.MEAN) - F.col(FITTED))
             tree = DecisionTreeRegressor(
-                featuresCol=VECTOR, labelCol=RESIDUAL, predictionCol="__tree", leafCol=LEAF, maxDepth=depth, seed=seed + number
-            ).fit(residual.filter(fitted))
+                featuresCol=VECTOR, labelCol=RESIDUAL, predictionCol="__tree", leafCol=LEAF, maxDepth=depth, seed=seed + number,
+                weightCol=cells.ROWS, maxBins=cells.bins_of_trees(BINS, total),
+            ).fit(residual.filter(fitted))
             placed = _placed(tree, residual)
             # One pass gives the leaves and, as a leaf moves all its rows by one value, the losses after the round too.
             sums = placed.groupBy(F.col(LEAF).cast("int").alias("leaf"), HELD).agg(
-                F.count(F.lit(1)).alias("rows"), F.count(RESIDUAL).alias("known"), F.sum(RESIDUAL).alias("residuals"),
-                F.sum(F.col(RESIDUAL) * F.col(RESIDUAL)).alias("squares"),
+                F.sum(cells.ROWS).alias("rows"), F.sum(cells.KNOWN).alias("known"), F.sum(F.col(cells.KNOWN) * F.col(RESIDUAL)).alias("residuals"),
+                F.sum(F.col(cells.SPREAD) + F.col(cells.KNOWN) * F.col(RESIDUAL) * F.col(RESIDUAL)).alias("squares"),
             )
             found = sums.withColumn("value", leaf_value(F.col("residuals"), F.col("rows"), l1, l2)).collect()
             # That pass has read, and so kept, all rows of this round: those they were made of can go.
@@ -217,7 +300,7 @@ def fit(
             if best_loss is None or held_loss < best_loss * (1 - tolerance):
                 best, best_loss = number, held_loss
             # The rows of a round are kept while the next is made of them; their lineage is cut every few rounds.
-            now = placed.withColumn(FITTED, F.col(FITTED) + step * _lookup(own)).select(VECTOR, label, HELD, FITTED)
+            now = placed.withColumn(FITTED, F.col(FITTED) + step * _lookup(own)).select(VECTOR, HELD, *cells.SUMMARY, FITTED)
             now = now.checkpoint() if number % CHECKPOINT_ROUNDS == 0 else now
             now = now.persist(StorageLevel.MEMORY_AND_DISK)
             kept.append(now)

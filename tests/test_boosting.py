@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salespipe.model import boosting
+from salespipe.sources import storage
 
 SETTINGS = {"depth": 3, "patience": 4, "tolerance": 0.1}
 
@@ -103,3 +104,45 @@ def test_losses_of_the_record_are_those_of_the_rows(spark, data):
         apart = boosting.held_back(["id"])
         found = cut.predict(data, "p").agg(F.avg(F.when(~apart, error)), F.avg(F.when(apart, error))).first()
         assert (train, held) == pytest.approx(tuple(found), rel=1e-9)
+
+
+def test_rounds_go_over_cells_however_often_rows_repeat(spark, data, monkeypatch):
+    seen, fit = [], boosting.DecisionTreeRegressor.fit
+
+    def watched(self, rows, *more):
+        seen.append((rows.count(), rows.agg(F.sum("__rows")).first()[0]))
+        return fit(self, rows, *more)
+
+    monkeypatch.setattr(boosting.DecisionTreeRegressor, "fit", watched)
+    monkeypatch.setattr(boosting, "BINS", 8)
+    own = (F.col("id") + 10_000 * F.col("copy")).alias("id")
+    spread = data.crossJoin(spark.range(20).toDF("copy")).select(own, (F.col("a") + F.col("copy") / 20).alias("a"), "b", "y").cache()
+    fitted = boosting.fit(spread, ["a", "b"], "y", held_key="id", rounds=3, depth=3)
+    taught = spread.filter(~boosting.held_back(["id"]))
+    assert [rows for _, rows in seen] == [taught.count()] * 3 and all(n <= 8 * 8 for n, _ in seen)
+    for number in (1, 3):
+        earlier = boosting.Boosted(fitted.features, fitted.start, fitted.step, fitted.trees[: number - 1], fitted.values[: number - 1], [], [])
+        placed = boosting.leaf_ids(fitted.trees[number - 1], earlier.predict(taught, "p"), fitted.features)
+        sums = {r.leaf: (r.n, r.g) for r in placed.groupBy("leaf").agg(F.count("y").alias("n"), F.sum(F.col("y") - F.col("p")).alias("g")).collect()}
+        stated = {r.leaf: (r.rows, r.residuals) for r in fitted.leaf_table(spark).filter(F.col("round") == number).collect()}
+        assert stated.keys() == sums.keys()
+        for leaf, (n, g) in sums.items():
+            assert stated[leaf][0] == n and stated[leaf][1] == pytest.approx(g, rel=1e-6, abs=1e-6)
+
+
+def test_an_unknown_feature_or_label_is_refused(spark, data, model):
+    odd = data.limit(20).withColumn("a", F.when(F.col("id") % 2 == 0, F.col("a")))
+    with pytest.raises(Exception, match="NULL or NaN"):
+        model.predict(odd).collect()
+    with pytest.raises(Exception):
+        boosting.fit(odd, ["a", "b"], "y", held_key="id", held_percent=0, rounds=1)
+    with pytest.raises(Exception):
+        boosting.fit(data.withColumn("y", F.when(F.col("id") > 3, F.col("y"))), ["a"], "y", held_key="id", held_percent=0, rounds=1)
+
+
+def test_trees_stored_one_by_one_are_still_read(spark, data, model, tmp_path):
+    model.save(spark, f"{tmp_path}/m")
+    old = [tree.write().overwrite().save(boosting._tree_path(f"{tmp_path}/m", i)) for i, tree in enumerate(model.trees)]
+    storage.delete_folder(spark, f"{tmp_path}/m/ensemble")
+    both = boosting.Boosted.load(spark, f"{tmp_path}/m").predict(model.predict(data, "p"), "q")
+    assert len(old) == model.best_round and both.filter("p <> q").count() == 0
